@@ -3,7 +3,7 @@
 import importlib
 
 # The modules that register queries.
-MODULES = ["scans", "joining"]
+MODULES = ["scans", "joining", "scalar", "texts"]
 
 
 def load_all() -> None:

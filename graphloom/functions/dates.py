@@ -64,7 +64,9 @@ def now() -> Column:
 
 def to_epoch(lex) -> Column:
     """Seconds since 1970-01-01 of a date or dateTime."""
-    return F.unix_seconds(F.to_utc_timestamp(parse_time(_s(lex)).cast("timestamp"), F.current_timezone()))
+    ts = parse_time(_s(lex))
+    return (F.unix_date(ts.cast("date")).cast("bigint") * 86400
+            + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts))
 
 
 def timestamp_difference(a, b) -> Column:
