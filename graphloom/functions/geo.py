@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, functions as F
 
-from graphloom.functions.terms import _c
+from graphloom.functions.terms import _c, let
 
 EARTH_RADIUS_KM = 6371.01
 
@@ -85,11 +85,14 @@ def bounding_box(wkt) -> Column:
     wkt = _c(wkt)
     is_wkt = wkt.rlike(r"(?i)^\s*(MULTI)?(POINT|LINESTRING|POLYGON)\s*\(|^\s*GEOMETRYCOLLECTION\s*\(")
     numbers = F.transform(F.regexp_extract_all(wkt, F.lit(f"({_NUMBER})"), F.lit(1)), lambda x: x.cast("double"))
-    xs = F.filter(numbers, lambda _, i: i % 2 == 0)
-    ys = F.filter(numbers, lambda _, i: i % 2 == 1)
-    return F.when(is_wkt & (F.size(numbers) >= 2) & (F.size(numbers) % 2 == 0), F.struct(
-        F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"),
-        F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy")))
+
+    def box(n: Column) -> Column:
+        xs, ys = F.filter(n, lambda _, i: i % 2 == 0), F.filter(n, lambda _, i: i % 2 == 1)
+        return F.when((F.size(n) >= 2) & (F.size(n) % 2 == 0), F.struct(
+            F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"),
+            F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy")))
+
+    return F.when(is_wkt, let(numbers, box))
 
 
 # IRIs of the simple-feature types.

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from graphloom.functions.terms import LANG_STRING, XSD, _c, make_term, number_text, typed_literal
+from graphloom.functions.terms import LANG_STRING, XSD, _c, let, literal_of_type, make_term, number_text
 
 
 def _s(x) -> Column:
@@ -49,7 +49,7 @@ def str_lang(term, lang: str) -> Column:
 def str_dt(term, datatype: str) -> Column:
     """STRDT: only for plain literals; the value is decoded by its new type."""
     term = _c(term)
-    return F.when(_plain(term), typed_literal(term["lex"], F.lit(datatype), F.lit(None).cast("string")))
+    return let(term, lambda t: F.when(_plain(t), literal_of_type(t["lex"], datatype)))
 
 
 def strlen(x) -> Column:

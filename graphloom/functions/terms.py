@@ -35,6 +35,11 @@ def _c(x) -> Column:
     return x if isinstance(x, Column) else F.col(x)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, for bodies that use it many times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def make_term(kind, lex, dt=None, lang=None, i=None, d=None, b=None, ts=None) -> Column:
     def field(value, ddl, name):
         value = F.lit(value) if not isinstance(value, Column) else value
@@ -168,35 +173,62 @@ def parse_term(text) -> Column:
         text,
         F.when(text.startswith("<"), make_term("iri", F.regexp_extract(text, r"^<([^>]*)>$", 1)))
         .when(text.startswith("_:"), make_term("bnode", F.substring(text, 3, 1 << 30)))
-        .otherwise(typed_literal(unescape(body), dt, lang)),
+        .otherwise(let(F.struct(unescape(body).alias("lex"), dt.alias("dt"), lang.alias("lang")),
+                       lambda t: typed_literal(t["lex"], t["dt"], t["lang"]))),
     )
 
 
-def typed_literal(lex: Column, dt: Column, lang: Column) -> Column:
-    """Literal TERM from lexical form, datatype IRI (or NULL) and language (or NULL)."""
-    trimmed = F.trim(lex)
-    unsigned = F.regexp_replace(trimmed, r"^\+", "")
-    is_int = dt.isin([XSD + t for t in INTEGER_TYPES])
-    is_real = dt.isin([XSD + t for t in REAL_TYPES])
-    i = F.when(is_int & trimmed.rlike(r"^[+-]?\d+$"), unsigned.try_cast("bigint"))
-    real = (
-        F.when(trimmed.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"), unsigned.try_cast("double"))
-        .when(trimmed.isin("INF", "+INF"), F.lit(float("inf")))
-        .when(trimmed == "-INF", F.lit(float("-inf")))
-        .when(trimmed == "NaN", F.lit(float("nan")))
-    )
-    d = F.when(is_real, real)
-    b = F.when(dt == XSD + "boolean", F.when(lex.isin("true", "1"), True).when(lex.isin("false", "0"), False))
-    ts = F.when(dt.isin([XSD + t for t in TIME_TYPES]), parse_time(lex))
-    new_lex = (
-        F.when(i.isNotNull(), i.cast("string")).when(d.isNotNull(), number_text(d))
-        .when(b.isNotNull(), b.cast("string")).otherwise(lex)
+def _integer_value(lex: Column) -> Column:
+    text = F.trim(lex)
+    return F.when(text.rlike(r"^[+-]?\d+$"), F.regexp_replace(text, r"^\+", "").try_cast("bigint"))
+
+
+def _real_value(lex: Column) -> Column:
+    text = F.trim(lex)
+    return (
+        F.when(text.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"),
+               F.regexp_replace(text, r"^\+", "").try_cast("double"))
+        .when(text.isin("INF", "+INF"), F.lit(float("inf")))
+        .when(text == "-INF", F.lit(float("-inf")))
+        .when(text == "NaN", F.lit(float("nan")))
     )
-    new_dt = (
-        F.when(lang.isNotNull(), F.lit(LANG_STRING)).when(i.isNotNull(), F.lit(XSD + "integer"))
-        .when(d.isNotNull(), F.lit(XSD + "double")).otherwise(F.coalesce(dt, F.lit(XSD + "string")))
+
+
+def _boolean_value(lex: Column) -> Column:
+    return F.when(lex.isin("true", "1"), True).when(lex.isin("false", "0"), False)
+
+
+def literal_of_type(lex: Column, datatype: str) -> Column:
+    """Literal TERM of one fixed datatype; the value is decoded where the text allows it."""
+    name = datatype.removeprefix(XSD)
+    plain = make_term("lit", lex, datatype)
+    if name in INTEGER_TYPES:
+        return let(_integer_value(lex), lambda i: F.when(
+            i.isNotNull(), make_term("lit", i.cast("string"), XSD + "integer", i=i, d=i.cast("double"))).otherwise(plain))
+    if name in REAL_TYPES:
+        return let(_real_value(lex), lambda d: F.when(
+            d.isNotNull(), make_term("lit", number_text(d), XSD + "double", d=d)).otherwise(plain))
+    if name == "boolean":
+        return let(_boolean_value(lex), lambda b: F.when(
+            b.isNotNull(), make_term("lit", b.cast("string"), datatype, b=b)).otherwise(plain))
+    if name in TIME_TYPES:
+        return make_term("lit", lex, datatype, ts=parse_time(lex))
+    return plain
+
+
+def typed_literal(lex: Column, dt: Column, lang: Column) -> Column:
+    """Literal TERM from lexical form, datatype IRI (or NULL) and language (or NULL) that vary by row."""
+    def one_of(names):
+        return dt.isin([XSD + n for n in names])
+
+    return (
+        F.when(lang.isNotNull(), make_term("lit", lex, LANG_STRING, lang))
+        .when(one_of(INTEGER_TYPES), literal_of_type(lex, XSD + "integer"))
+        .when(one_of(REAL_TYPES), literal_of_type(lex, XSD + "double"))
+        .when(dt == XSD + "boolean", literal_of_type(lex, XSD + "boolean"))
+        .when(one_of(TIME_TYPES), make_term("lit", lex, dt, ts=parse_time(lex)))
+        .otherwise(make_term("lit", lex, F.coalesce(dt, F.lit(XSD + "string"))))
     )
-    return make_term("lit", new_lex, new_dt, lang, i=i, d=F.coalesce(d, i.cast("double")), b=b, ts=ts)
 
 
 def parse_time(lex: Column) -> Column:

@@ -147,6 +147,9 @@ def next_at_or_after(records: DataFrame, docs: DataFrame) -> DataFrame:
     rounds = Rounds(records.sparkSession, "next-doc")
     wanted = records.select(F.col("record").alias("key"), "record").where("record is not null").dropDuplicates()
     have = docs.select(F.col("record").alias("key"), F.col("record").alias("doc")).where("key is not null")
+    # Records beyond the last document have no answer.
+    last = have.agg(F.max("doc").alias("last")).first()["last"]
+    wanted = wanted.where(F.col("record") <= F.lit(last))
     for level in range(64 // LEVEL_BITS):
         have = have.groupBy("key").agg(F.min("doc").alias("doc"))
         points = have.unionByName(wanted.select("key"), allowMissingColumns=True).groupBy("key").agg(

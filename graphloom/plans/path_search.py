@@ -82,7 +82,7 @@ def _useful_edges(base: DataFrame, sources, targets, max_depth) -> DataFrame:
 
 def _grow(spark, steps: DataFrame, first: DataFrame, targets, max_depth) -> DataFrame:
     """Level-synchronous growth: paths of length n+1 from paths of length n, written out per level."""
-    names = [c for c in steps.columns if c != "left"]
+    names = ["start", "end", *sorted(c for c in steps.columns if c not in ("start", "end", "copy", "left")), "copy"]
     edge = F.struct(*names)
     level = first.select(
         F.col("start").alias("source"), F.col("end").alias("last"), F.array("start", "end").alias("nodes"),

@@ -54,14 +54,15 @@ def _walks(spark, steps: DataFrame, low: int, high: int | None, seeds, max_round
     first = steps.select(F.col("__from").alias("start"), F.col("__to").alias("end"))
     if seeds is not None:
         first = first.join(seeds.select("start").dropDuplicates(), "start", "left_semi")
-    frontier, size = Rounds(spark, "walks").add(first)
+    rounds = Rounds(spark, "reached")
+    frontier, size = (rounds if low == 1 else Rounds(spark, "walks")).add(first)
     # Up to the lower bound each length is kept apart: a pair may come back at a greater length.
     for _ in range(low - 1):
         if size == 0:
             break
         frontier, size = Rounds(spark, "walks").add(_extend(frontier, steps))
-    rounds = Rounds(spark, "reached")
-    frontier, size = rounds.add(frontier)
+    if low > 1:
+        frontier, size = rounds.add(frontier)
     length = low
     while size and (high is None or length < high):
         if length - low >= max_rounds:
