@@ -3,7 +3,7 @@
 import importlib
 
 # The modules that register queries.
-MODULES = ["scans", "joining", "scalar", "texts", "paths", "geometry"]
+MODULES = ["scans", "joining", "scalar", "texts", "paths", "geometry", "storage"]
 
 
 def load_all() -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -32,22 +33,17 @@ def none(spark) -> DataFrame:
 def apply_update(base: DataFrame, inserts: DataFrame | None = None, deletes: DataFrame | None = None) -> DataFrame:
     """``base`` without the deletes, plus the inserts, as a set.
 
-    Deletes come first, so a quad in both sets stays.  Only quads that are really new are added, which keeps the base
-    free of a global de-duplication: both anti-joins are against the (small) change sets.
+    Deletes come first, so a quad in both sets ends up inserted.  The base meets the change sets in one anti-join; it is
+    never de-duplicated as a whole, and small change sets are broadcast by Spark so that it is not even shuffled.
     """
-    if inserts is not None:
-        inserts = with_terms(inserts).dropDuplicates(KEY)
-    if deletes is not None:
-        gone = deletes.select(KEY).dropDuplicates()
-        if inserts is not None:
-            gone = gone.join(inserts.select(KEY), KEY, "left_anti")
-        base = base.join(gone, KEY, "left_anti")
-    if inserts is None:
-        return base.select(*KEY[:3], "o_term", "g")
-    # Quads of the base that are inserted again give way to the inserted copy.
-    kept = base.join(inserts.select(KEY), KEY, "left_anti")
     columns = [*KEY[:3], "o_term", "g"]
-    return kept.select(columns).unionByName(inserts.select(columns))
+    touched = [c.select(KEY) for c in (inserts, deletes) if c is not None]
+    if not touched:
+        return base.select(columns)
+    kept = base.join(reduce(DataFrame.unionByName, touched), KEY, "left_anti").select(columns)
+    if inserts is None:
+        return kept
+    return kept.unionByName(with_terms(inserts.dropDuplicates(KEY)).select(columns))
 
 
 def update_where(base: DataFrame, solutions: DataFrame, insert: Sequence[Sequence[str]] = (),

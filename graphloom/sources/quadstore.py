@@ -1,7 +1,8 @@
-"""A versioned quad set on a shared file system: a base, a change log, and a pointer to the current version.
+"""A versioned quad set on a shared file system: a base, a change log, and a mark per published version.
 
-Layout: ``base-<n>/`` Parquet, ``delta-<n>/batch=<id>/`` change log since that base, ``CURRENT`` holds n.  Writers add
-whole folders and publish a version by one rename, so readers never see half a change.  There is one writer at a time.
+Layout: ``base-<n>/`` Parquet, ``delta-<n>/batch=<id>/`` change log since that base, ``VERSION-<n>`` once that base is
+complete.  Writers add whole folders and publish a version by one rename to a new name, so readers never see half a
+change.  There is one writer at a time.
 """
 
 from __future__ import annotations
@@ -27,21 +28,21 @@ class QuadStore:
         return self._fs.exists(self._Path(f"{self.path}/{name}"))
 
     def version(self) -> int:
-        line = self.spark.read.text(f"{self.path}/CURRENT").first()
-        return int(line["value"])
+        """The newest published version."""
+        marks = self._fs.globStatus(self._Path(f"{self.path}/VERSION-*"))
+        found = [int(m.getPath().getName().split("-")[1]) for m in marks or []]
+        if not found:
+            raise ValueError(f"{self.path} holds no quad store")
+        return max(found)
 
     def _publish(self, version: int) -> None:
-        target, fresh = self._Path(f"{self.path}/CURRENT"), self._Path(f"{self.path}/_CURRENT-{version}")
-        out = self._fs.create(fresh, True)
-        out.write(bytearray(f"{version}\n".encode()))
-        out.close()
-        if self._fs.exists(target):
-            self._fs.delete(target, False)
-        if not self._fs.rename(fresh, target):
+        fresh = self._Path(f"{self.path}/_VERSION-{version}")
+        self._fs.create(fresh, True).close()
+        if not self._fs.rename(fresh, self._Path(f"{self.path}/VERSION-{version}")):
             raise RuntimeError("could not publish the new version")
 
     def create(self, quads: DataFrame) -> "QuadStore":
-        if self._exists("CURRENT"):
+        if self._exists("VERSION-0"):
             raise ValueError(f"{self.path} already holds a quad store")
         write_quads(up.with_terms(quads), f"{self.path}/base-0")
         self._publish(0)
