@@ -6,6 +6,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from graphloom.session import spread
 from graphloom.sources.mapping import MappedGraph, TableMap
 
 QUERIES = {}
@@ -28,6 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for expensive work per row: the sample files hold one row group each and would run in one task."""
+    df = table(spark, sf_dir, name)
+    return spread(df, df.columns[0])
+
+
 _MAPS = {
     "region": dict(key=["r_regionkey"], prefix="r_"),
     "nation": dict(key=["n_nationkey"], prefix="n_", refs={"n_regionkey": "region"}),
@@ -41,9 +48,10 @@ _MAPS = {
 }
 
 
-def table_map(spark: SparkSession, sf_dir: str, name: str, **changes) -> TableMap:
-    return TableMap(name, table(spark, sf_dir, name), **{**_MAPS[name], **changes})
+def table_map(spark: SparkSession, sf_dir: str, name: str, wide: bool = False, **changes) -> TableMap:
+    df = (wide_table if wide else table)(spark, sf_dir, name)
+    return TableMap(name, df, **{**_MAPS[name], **changes})
 
 
-def graph(spark: SparkSession, sf_dir: str, *names: str) -> MappedGraph:
-    return MappedGraph([table_map(spark, sf_dir, n) for n in names])
+def graph(spark: SparkSession, sf_dir: str, *names: str, wide: bool = False) -> MappedGraph:
+    return MappedGraph([table_map(spark, sf_dir, n, wide) for n in names])

@@ -36,7 +36,7 @@ SELECT '<orders/' || o_orderkey || '>', unnest(['<http://www.w3.org/1999/02/22-r
   '"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '"^^<http://www.w3.org/2001/XMLSchema#dateTime>',
   '"' || o_orderpriority || '"']) FROM orders""")
 def scan_three_variables(spark, d):
-    maps = [table_map(spark, d, "nation"), table_map(spark, d, "orders", skip=["o_totalprice"])]
+    maps = [table_map(spark, d, "nation"), table_map(spark, d, "orders", wide=True, skip=["o_totalprice"])]
     return pattern(MappedGraph(maps), "?s", "?p", "?o")
 
 

@@ -29,7 +29,7 @@ unnest(['<orders>', '"' || o_orderkey || '"^^<http://www.w3.org/2001/XMLSchema#i
 
 
 def _orders(spark, d, **changes):
-    return MappedGraph([table_map(spark, d, "orders", skip=["o_totalprice"], **changes)])
+    return MappedGraph([table_map(spark, d, "orders", wide=True, skip=["o_totalprice"], **changes)])
 
 
 @query("SELECT s, p, o, '<graph/orders>' AS g FROM (" + _ORDER_SPO + ")")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.registry import graph, query, table, table_map
+from catalog.registry import graph, query, table, table_map, wide_table
 from graphloom.operators import predicates as pr, text as tx
 from graphloom.sources.mapping import MappedGraph
 
@@ -15,7 +15,7 @@ df AS (SELECT word, count(*) AS df FROM c GROUP BY word) """
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents").select(F.col("doc_id").alias("record"), "text", "source")
+    return wide_table(spark, d, "documents").select(F.col("doc_id").alias("record"), "text", "source")
 
 
 def _postings(spark, d):
@@ -129,7 +129,7 @@ FROM documents UNION ALL SELECT '<documents/' || doc_id || '>', unnest(['<labels
 
 def _described(spark, d):
     """Documents and, on the same subjects, their labels where there are some."""
-    docs = MappedGraph([table_map(spark, d, "documents")]).quads()
+    docs = graph(spark, d, "documents").quads()
     labels = MappedGraph([table_map(spark, d, "labels")]).quads().where(F.col("p").isin("<labels/quality>", "<labels/toxic>"))
     return docs.unionByName(labels.withColumn("s", F.replace("s", F.lit("<labels/"), F.lit("<documents/"))))
 
@@ -175,7 +175,7 @@ count(*) + count(DISTINCT o_custkey) + count(DISTINCT o_orderstatus) + count(DIS
 count(*) AS n_typed_subjects, 5 * count(*) AS n_literal_objects, 2 * count(*) AS n_iri_objects,
 0 AS n_blank_objects, 0 AS n_blank_subjects FROM orders""")
 def dataset_statistics(spark, d):
-    return pr.dataset_statistics(graph(spark, d, "orders"))
+    return pr.dataset_statistics(graph(spark, d, "orders", wide=True))
 
 
 @query("""SELECT p, n FROM (

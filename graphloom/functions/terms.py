@@ -52,61 +52,64 @@ def make_term(kind, lex, dt=None, lang=None, i=None, d=None, b=None, ts=None) ->
     )
 
 
-def _guard(col: Column, term: Column) -> Column:
-    return F.when(col.isNotNull(), term)
+def _guard(col: Column, term: Column, bound: bool = False) -> Column:
+    # Without the guard a field of the struct is just its expression: the optimizer never builds the struct.
+    return term if bound else F.when(col.isNotNull(), term)
 
 
-def iri(col) -> Column:
-    """IRI term from the bare IRI text (no angle brackets)."""
+def iri(col, bound: bool = False) -> Column:
+    """IRI term from the bare IRI text (no angle brackets).  ``bound`` says that the column is never NULL."""
     col = _c(col)
-    return _guard(col, make_term("iri", col))
+    return _guard(col, make_term("iri", col), bound)
 
 
-def bnode(col) -> Column:
+def bnode(col, bound: bool = False) -> Column:
     col = _c(col)
-    return _guard(col, make_term("bnode", col))
+    return _guard(col, make_term("bnode", col), bound)
 
 
-def literal(col) -> Column:
+def literal(col, bound: bool = False) -> Column:
     col = _c(col)
-    return _guard(col, make_term("lit", col, XSD + "string"))
+    return _guard(col, make_term("lit", col, XSD + "string"), bound)
 
 
-def lang_literal(col, lang) -> Column:
+def lang_literal(col, lang, bound: bool = False) -> Column:
     col = _c(col)
-    return _guard(col, make_term("lit", col, LANG_STRING, lang))
+    return _guard(col, make_term("lit", col, LANG_STRING, lang), bound)
 
 
-def integer(col) -> Column:
+def integer(col, bound: bool = False) -> Column:
     col = _c(col).cast("bigint")
-    return _guard(col, make_term("lit", col.cast("string"), XSD + "integer", i=col, d=col.cast("double")))
+    return _guard(col, make_term("lit", col.cast("string"), XSD + "integer", i=col, d=col.cast("double")), bound)
 
 
-def double(col) -> Column:
+def double(col, bound: bool = False) -> Column:
     col = _c(col).cast("double")
-    return _guard(col, make_term("lit", number_text(col), XSD + "double", d=col))
+    return _guard(col, make_term("lit", number_text(col), XSD + "double", d=col), bound)
 
 
-def boolean(col) -> Column:
+def boolean(col, bound: bool = False) -> Column:
     col = _c(col)
-    return _guard(col, make_term("lit", col.cast("string"), XSD + "boolean", b=col))
+    return _guard(col, make_term("lit", col.cast("string"), XSD + "boolean", b=col), bound)
 
 
-def datetime(col) -> Column:
+def datetime(col, bound: bool = False) -> Column:
     col = _c(col).cast("timestamp_ntz")
     text = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss")
+    whole = F.date_trunc("second", col) == col
     micros = F.regexp_replace(F.date_format(col, ".SSSSSS"), r"\.?0+$", "")
-    return _guard(col, make_term("lit", F.concat(text, micros), XSD + "dateTime", ts=col))
+    lex = F.when(whole, text).otherwise(F.concat(text, micros))
+    return _guard(col, make_term("lit", lex, XSD + "dateTime", ts=col), bound)
 
 
-def date(col) -> Column:
+def date(col, bound: bool = False) -> Column:
     col = _c(col)
-    return _guard(col, make_term("lit", F.date_format(col, "yyyy-MM-dd"), XSD + "date", ts=col))
+    return _guard(col, make_term("lit", F.date_format(col, "yyyy-MM-dd"), XSD + "date", ts=col), bound)
 
 
-def wkt_literal(col) -> Column:
+def wkt_literal(col, bound: bool = False) -> Column:
     col = _c(col)
-    return _guard(col, make_term("lit", col, WKT))
+    return _guard(col, make_term("lit", col, WKT), bound)
 
 
 def number_text(col: Column) -> Column:
@@ -162,22 +165,35 @@ def canonical(term) -> Column:
     )
 
 
+def literal_suffix(text: Column) -> Column:
+    """What follows the closing quote of a literal: nothing, a language or a datatype."""
+    return F.substring_index(text, '"', -1)
+
+
 def parse_term(text) -> Column:
     """TERM of a canonical or plain N-Triples text; numbers and dates are decoded and normalised."""
     text = _c(text)
-    body = F.regexp_extract(text, r'(?s)^"(.*)"[^"]*$', 1)
-    suffix = F.regexp_extract(text, r'"([^"]*)$', 1)
+    suffix = literal_suffix(text)
+    body = F.substring(text, F.lit(2), F.length(text) - F.length(suffix) - 2)
     lang = F.when(suffix.startswith("@"), F.substring(suffix, 2, 1000))
-    dt = F.when(suffix.startswith("^^<"), F.regexp_extract(suffix, r"^\^\^<([^>]*)>$", 1))
+    dt = F.when(suffix.startswith("^^<"), F.substring(suffix, F.lit(4), F.length(suffix) - 4))
     return _guard(
         text,
-        F.when(text.startswith("<"), make_term("iri", F.regexp_extract(text, r"^<([^>]*)>$", 1)))
+        F.when(text.startswith("<"), make_term("iri", F.substring(text, F.lit(2), F.length(text) - 2)))
         .when(text.startswith("_:"), make_term("bnode", F.substring(text, 3, 1 << 30)))
+        .when(suffix == "", make_term("lit", unescape(body), XSD + "string"))
         .otherwise(let(F.struct(unescape(body).alias("lex"), dt.alias("dt"), lang.alias("lang")),
                        lambda t: typed_literal(t["lex"], t["dt"], t["lang"]))),
     )
 
 
+def canonical_text(text) -> Column:
+    """Canonical form of a plain N-Triples text.  Only typed literals and escapes are decoded for it."""
+    text = _c(text)
+    plain = text.startswith("<") | text.startswith("_:") | literal_suffix(text).startswith("@") | text.endswith('"')
+    return F.when(plain & ~text.contains("\\"), text).otherwise(let(parse_term(text), canonical))
+
+
 def _integer_value(lex: Column) -> Column:
     text = F.trim(lex)
     return F.when(text.rlike(r"^[+-]?\d+$"), F.regexp_replace(text, r"^\+", "").try_cast("bigint"))

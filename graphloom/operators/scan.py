@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from graphloom.functions.terms import DEFAULT_GRAPH, typed
-from graphloom.sources.mapping import MappedGraph
+from graphloom.sources.mapping import MappedGraph, distinct_quads
 from graphloom.sources.store import PREDICATE_BUCKET, predicate_bucket
 
 
@@ -58,7 +58,7 @@ def from_graphs(graph, graphs: Sequence[str]):
     if isinstance(graph, MappedGraph):
         return graph.in_graphs(lambda g: g in graphs, merged=True)
     merged = graph.where(F.col("g").isin(list(graphs))).withColumn("g", F.lit(DEFAULT_GRAPH))
-    return merged if len(set(graphs)) == 1 else merged.dropDuplicates(["s", "p", "o"])
+    return merged if len(set(graphs)) == 1 else distinct_quads(merged)
 
 
 def from_named(graph, graphs: Sequence[str]):

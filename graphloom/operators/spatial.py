@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from graphloom.functions import geo
-from graphloom.session import Rounds
+from graphloom.functions.terms import let
+from graphloom.session import Rounds, task_count
 
 GEO_INFO_DDL = (
     "struct<kind:string,n_parts:int,centroid:struct<lng:double,lat:double>,"
@@ -69,7 +70,8 @@ def within_distance(left: DataFrame, right: DataFrame, metres: float, left_point
 
 # --- nearest neighbours ---------------------------------------------------------------------------------------------
 
-_BITS = 30  # bits per axis of the finest cells: about one centimetre
+_BITS = 29  # bits per axis of the finest cells: about two centimetres
+_ROOT = 2  # the coarsest level has at most 64 cells
 _STEP = 3  # levels per round: a cell has at most 512 children
 _LEAF = 64
 _CELL = ["cx", "cy", "cz"]
@@ -93,6 +95,8 @@ def nearest_neighbors(left: DataFrame, right: DataFrame, k: int, left_point: str
     tree, depth = _cell_tree(spark, points, k)
     places = left.select(_point_of(left, left_point).alias("p")).where("p is not null").select(
         _plus_zero("p.lng").alias("lng"), _plus_zero("p.lat").alias("lat")).dropDuplicates()
+    # The search is expensive per row: a fixed number of tasks keeps short rows from being packed into one.
+    places = places.repartition(task_count(spark), "lng", "lat")
     for name, axis in zip("xyz", geo.unit_vector(F.col("lng"), F.col("lat"))):
         places = places.withColumn(name, axis)
     frontier = _descend(spark, places, tree, depth, k, max_metres)
@@ -127,11 +131,12 @@ def _at_level(level: int) -> list[Column]:
 
 
 def _cell_tree(spark, points: DataFrame, k: int) -> tuple[dict[int, DataFrame], int]:
-    """Counts per cell for the levels 3, 6, ... down to where no cell holds more than a leaf's worth of points."""
+    """Counts per cell for the levels 2, 5, ... down to where no cell holds more than a leaf's worth of points."""
     leaf = max(_LEAF, 4 * k)
     total = points.count()
-    guess = math.ceil(math.log(max(total / leaf, 1.0), 8 ** 2)) if total > leaf else 1
-    depth = min(_STEP * max(guess, 1), _BITS)
+    # Points fill the surface of the sphere: each step refines a cell into about 64 others.
+    steps = math.ceil(math.log(max(total / leaf / 32, 1.0), 64))
+    depth = min(_ROOT + _STEP * steps, _BITS)
     while True:
         counts = points.groupBy(*_at_level(depth)).agg(F.count(F.lit(1)).alias("n"))
         cells, _ = Rounds(spark, "cells").add(counts)
@@ -140,7 +145,7 @@ def _cell_tree(spark, points: DataFrame, k: int) -> tuple[dict[int, DataFrame],
             break
         depth += _STEP
     tree = {depth: cells}
-    for level in range(depth - _STEP, 0, -_STEP):
+    for level in range(depth - _STEP, _ROOT - 1, -_STEP):
         up = [F.shiftright(c, _STEP).alias(c) for c in _CELL]
         tree[level] = Rounds(spark, "cells").add(
             tree[level + _STEP].groupBy(*up).agg(F.sum("n").alias("n")))[0]
@@ -179,12 +184,20 @@ def _kth(ranges: Column, k: int) -> Column:
         return F.when(acc["seen"] >= k, acc).otherwise(
             F.struct((acc["seen"] + cell["n"]).alias("seen"), cell["far"].alias("far")))
 
-    return F.aggregate(F.array_sort(ranges), zero, step,
+    by_far = F.array_sort(F.transform(ranges, lambda c: F.struct(c["far"].alias("far"), c["n"].alias("n"))))
+    return F.aggregate(by_far, zero, step,
                        lambda acc: F.when(acc["seen"] >= k, acc["far"]).otherwise(F.lit(float("inf"))))
 
 
-def _within(ranges: Column, bound: Column) -> Column:
-    return F.filter(ranges, lambda c: c["near"] <= bound * (1 + 1e-6) + 1e-12)
+def _keep(ranges: Column, bound: Column, k: int) -> Column:
+    """Cells that can still hold one of the k nearest points, each with the tightened bound."""
+    def tightened(r: Column) -> Column:
+        return let(F.least(bound, _kth(r, k)), lambda b: F.transform(
+            F.filter(r, lambda c: c["near"] <= b * (1 + 1e-6) + 1e-12),
+            lambda c: F.struct(b.alias("bound"), *[c[x].alias(x) for x in _CELL], c["far"].alias("far"),
+                               c["near"].alias("near"), c["n"].alias("n"))))
+
+    return let(ranges, tightened)
 
 
 _PLACE = ["lng", "lat", "x", "y", "z"]
@@ -193,21 +206,17 @@ _PLACE = ["lng", "lat", "x", "y", "z"]
 def _descend(spark, places: DataFrame, tree: dict[int, DataFrame], depth: int, k: int, max_metres) -> DataFrame:
     """Per place the finest cells that can hold one of its k nearest points."""
     start = F.lit(4.0) if max_metres is None else F.lit(geo.chord(max_metres) * (1 + 1e-9) + 1e-9)
-    # The coarsest level has at most 512 cells, so it fits into one array that travels with every task.
-    roots = tree[_STEP].agg(F.collect_list(F.struct(*_CELL, "n")).alias("cells"))
-    state = places.crossJoin(F.broadcast(roots)).select(*_PLACE, start.alias("bound"), _ranges(F.col("cells"), _STEP).alias("r"))
-    for level in range(_STEP, depth + 1, _STEP):
-        state = state.withColumn("bound", F.least("bound", _kth(F.col("r"), k)))
-        state = state.select(*_PLACE, "bound", F.explode(_within(F.col("r"), F.col("bound"))).alias("c"))
-        state = state.select(*_PLACE, "bound", *[F.col(f"c.{c}").alias(c) for c in _CELL])
-        if level == depth:
-            break
-        state, _ = Rounds(spark, "frontier").add(state)
-        children = _children(tree[level + _STEP])
-        joined = state.join(children, [F.col(c) == F.col(f"up_{c}") for c in _CELL])
-        near = _within(_ranges(F.col("children"), level + _STEP), F.col("bound"))
-        state = joined.select(*_PLACE, "bound", near.alias("r")).groupBy(*_PLACE).agg(
-            F.min("bound").alias("bound"), F.flatten(F.collect_list("r")).alias("r"))
+    # The coarsest level has at most 64 cells, so it fits into one array that travels with every task.
+    roots = tree[_ROOT].agg(F.collect_list(F.struct(*_CELL, "n")).alias("cells"))
+    state = places.crossJoin(F.broadcast(roots)).select(
+        *_PLACE, F.inline(_keep(_ranges(F.col("cells"), _ROOT), start, k)))
+    for level in range(_ROOT + _STEP, depth + 1, _STEP):
+        state, _ = Rounds(spark, "frontier").add(state.select(*_PLACE, "bound", *_CELL))
+        joined = state.join(_children(tree[level]), [F.col(c) == F.col(f"up_{c}") for c in _CELL])
+        # A first cut by the children of one cell alone keeps the arrays that are gathered per place short.
+        near = joined.select(*_PLACE, _keep(_ranges(F.col("children"), level), F.col("bound"), k).alias("r"))
+        gathered = near.groupBy(*_PLACE).agg(F.flatten(F.collect_list("r")).alias("r"))
+        state = gathered.select(*_PLACE, F.inline(_keep(F.col("r"), F.array_min(F.transform("r", lambda c: c["bound"])), k)))
     return state.select(F.col("lng").alias("__lng"), F.col("lat").alias("__lat"), *_CELL)
 
 
@@ -248,6 +257,8 @@ def spatial_join(left: DataFrame, right: DataFrame, predicate: str, left_id: str
     geoms_a = left.select(F.col(left_id).alias("a_id"), F.col(left_wkt).alias("a_wkt"))
     geoms_b = right.select(F.col(right_id).alias("b_id"), F.col(right_wkt).alias("b_wkt"))
     full = pairs.join(geoms_a, "a_id").join(geoms_b, "b_id")
+    # The exact test costs far more than a shuffle, and a geometry that meets very many others must not run in one task.
+    full = full.repartition(task_count(left.sparkSession), "a_id", "b_id")
     return full.where(exact("a_wkt", "b_wkt")).select(F.col("a_id").alias(left_id), F.col("b_id").alias(right_id))
 
 

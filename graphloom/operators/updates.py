@@ -43,7 +43,7 @@ def apply_update(base: DataFrame, inserts: DataFrame | None = None, deletes: Dat
     kept = base.join(reduce(DataFrame.unionByName, touched), KEY, "left_anti").select(columns)
     if inserts is None:
         return kept
-    return kept.unionByName(with_terms(inserts.dropDuplicates(KEY)).select(columns))
+    return kept.unionByName(with_terms(inserts.select(KEY).dropDuplicates()).select(columns))
 
 
 def update_where(base: DataFrame, solutions: DataFrame, insert: Sequence[Sequence[str]] = (),
@@ -112,7 +112,7 @@ def graph_insert(base: DataFrame, graph: str, triples: DataFrame) -> DataFrame:
 
 def graph_replace(base: DataFrame, graph: str, triples: DataFrame) -> DataFrame:
     """PUT on one graph."""
-    new = with_terms(triples.withColumn("g", F.lit(graph))).dropDuplicates(KEY)
+    new = with_terms(triples.withColumn("g", F.lit(graph)).select(KEY).dropDuplicates())
     return clear(base, graph).unionByName(new.select(base.columns))
 
 

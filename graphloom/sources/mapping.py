@@ -45,25 +45,27 @@ class TableMap:
         return {self.predicate(c): c for c in self.df.columns if c not in self.skip}
 
     def term(self, column: str) -> Column:
+        """TERM of a column whose NULLs are filtered elsewhere."""
         if column in self.refs:
-            return terms.iri(F.concat(F.lit(self.refs[column] + "/"), F.col(column).cast("string")))
+            return terms.iri(F.concat(F.lit(self.refs[column] + "/"), F.col(column).cast("string")), bound=True)
         if column in self.lang:
-            return terms.lang_literal(column, F.col(self.lang[column]))
+            return terms.lang_literal(column, F.col(self.lang[column]), bound=True)
         kind = self.df.schema[column].dataType
         if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            return terms.integer(column)
+            return terms.integer(column, bound=True)
         if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
-            return terms.double(column)
+            return terms.double(column, bound=True)
         if isinstance(kind, T.BooleanType):
-            return terms.boolean(column)
+            return terms.boolean(column, bound=True)
         if isinstance(kind, T.DateType):
-            return terms.date(column)
+            return terms.date(column, bound=True)
         if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            return terms.datetime(column)
-        return terms.literal(F.col(column).cast("string"))
+            return terms.datetime(column, bound=True)
+        return terms.literal(F.col(column).cast("string"), bound=True)
 
     def _cell(self, predicate: str) -> tuple[Column, Column]:
-        term = terms.iri(F.lit(self.name)) if predicate == RDF_TYPE else self.term(self.columns()[predicate])
+        term = (terms.iri(F.lit(self.name), bound=True) if predicate == RDF_TYPE
+                else self.term(self.columns()[predicate]))
         return term, terms.canonical(term)
 
     def one_predicate(self, predicate: str) -> DataFrame:
@@ -75,15 +77,25 @@ class TableMap:
         )
 
     def unpivot(self) -> DataFrame:
-        cells = []
-        for predicate in [RDF_TYPE, *self.columns()]:
-            term, text = self._cell(predicate)
-            cells.append(F.struct(F.lit(predicate).alias("p"), text.alias("o"), term.alias("o_term")))
-        return (
-            self.df.select(self.subject().alias("s"), F.explode(F.array(*cells)).alias("c"))
-            .where(F.col("c.o").isNotNull())
-            .select("s", "c.p", "c.o", "c.o_term", F.lit(self.graph).alias("g"))
-        )
+        """All cells in one pass: rows are multiplied by a cell number, which then picks the cell.
+
+        What a query does not use (the text or the term) is not computed, as every part is an expression of its own.
+        """
+        predicates = [RDF_TYPE, *self.columns()]
+        cells = [self._cell(p) for p in predicates]
+        rows = self.df.withColumn("__cell", F.explode(F.array(*[F.lit(n) for n in range(len(cells))])))
+        present = _pick([F.lit(True), *[F.col(c).isNotNull() for c in self.columns().values()]])
+        return rows.where(present).select(
+            self.subject().alias("s"), _pick([F.lit(p) for p in predicates]).alias("p"),
+            _pick([text for _, text in cells]).alias("o"), _pick([term for term, _ in cells]).alias("o_term"),
+            F.lit(self.graph).alias("g"))
+
+
+def _pick(options: Sequence[Column]) -> Column:
+    out = F.when(F.col("__cell") == 0, options[0])
+    for n, option in enumerate(options[1:], 1):
+        out = out.when(F.col("__cell") == n, option)
+    return out
 
 
 def entity(table: str, *key: str) -> Column:
@@ -91,6 +103,12 @@ def entity(table: str, *key: str) -> Column:
     return F.concat(F.lit(f"<{table}/"), F.concat_ws("-", *[F.col(k).cast("string") for k in key]), F.lit(">"))
 
 
+def distinct_quads(quads: DataFrame) -> DataFrame:
+    """The set of quads.  Only the texts are compared; the decoded object is rebuilt where a query uses it."""
+    texts = quads.select("s", "p", "o", "g").dropDuplicates()
+    return texts.select("s", "p", "o", terms.parse_term("o").alias("o_term"), "g")
+
+
 class MappedGraph:
     """Tables seen as one set of quads; ``merged`` folds their graphs into one default graph."""
 
@@ -121,5 +139,5 @@ class MappedGraph:
         if self.merged:
             quads = quads.withColumn("g", F.lit(DEFAULT_GRAPH))
             if len({t.graph for t in self.tables}) > 1:
-                quads = quads.dropDuplicates(["s", "p", "o"])
+                quads = distinct_quads(quads)
         return quads

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from graphloom.sources.mapping import distinct_quads
+
 PREDICATE_BUCKET = "p_bucket"
 N_BUCKETS = 512
 
 
 def predicate_bucket(predicate: str) -> int:
     """Bucket of a constant predicate; the same formula as ``_bucket_column``."""
-    import zlib
-
     return zlib.crc32(predicate.encode("utf-8")) % N_BUCKETS
 
 
@@ -27,7 +29,7 @@ def write_quads(quads: DataFrame, path: str, mode: str = "error") -> None:
     tasks and files, and the sort gives row groups tight subject ranges.
     """
     (
-        quads.dropDuplicates(["s", "p", "o", "g"])
+        distinct_quads(quads)
         .withColumn(PREDICATE_BUCKET, _bucket_column())
         .repartitionByRange(PREDICATE_BUCKET, "p", "s")
         .sortWithinPartitions(PREDICATE_BUCKET, "p", "s")
