@@ -9,11 +9,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from graphloom.functions import geo
-from graphloom.functions.terms import let
 from graphloom.session import Rounds, task_count
 
 GEO_INFO_DDL = (
@@ -57,7 +57,7 @@ def within_distance(left: DataFrame, right: DataFrame, metres: float, left_point
     for name, axis in zip(cells, geo.unit_vector(F.col("__p.lng"), F.col("__p.lat"))):
         low = F.floor((axis - radius) / width).cast("bigint")
         high = F.floor((axis + radius) / width).cast("bigint")
-        a = a.withColumn(name, F.explode(F.sequence(low, high)))
+        a = a.withColumn(name, F.explode_outer(F.sequence(low, high)))
     b = right.withColumn("__q", _point_of(right, right_point)).where("__q is not null")
     position = geo.unit_vector(F.col("__q.lng"), F.col("__q.lat"))
     b = b.select(*_payload(right, payload), "__q",
@@ -73,7 +73,7 @@ def within_distance(left: DataFrame, right: DataFrame, metres: float, left_point
 _BITS = 29  # bits per axis of the finest cells: about two centimetres
 _ROOT = 2  # the coarsest level has at most 64 cells
 _STEP = 3  # levels per round: a cell has at most 512 children
-_LEAF = 64
+_LEAF = 32
 _CELL = ["cx", "cy", "cz"]
 
 
@@ -152,74 +152,74 @@ def _cell_tree(spark, points: DataFrame, k: int) -> tuple[dict[int, DataFrame],
     return tree, depth
 
 
-def _children(cells: DataFrame) -> DataFrame:
-    """Parent cell -> array of its child cells; at most 512 entries."""
-    up = [F.shiftright(c, _STEP).alias(f"up_{c}") for c in _CELL]
-    return cells.groupBy(*up).agg(F.collect_list(F.struct(*_CELL, "n")).alias("children"))
-
-
-def _ranges(cells: Column, level: int) -> Column:
-    """Nearest and farthest distance from (x, y, z) to each cell, as structs that sort by the farthest."""
-    width = 2.0 / (1 << level)
-
-    def one(cell: Column) -> Column:
-        near, far = F.lit(0.0), F.lit(0.0)
-        for axis, c in zip("xyz", _CELL):
-            low = cell[c] * F.lit(width) - 1.0
-            off = F.col(axis) - low
-            gap = F.greatest(-off, off - width, F.lit(0.0))
-            reach = F.greatest(F.abs(off), F.abs(off - width))
-            near, far = near + gap * gap, far + reach * reach
-        return F.struct(F.sqrt(far).alias("far"), F.sqrt(near).alias("near"), *[cell[c].alias(c) for c in _CELL],
-                        cell["n"].alias("n"))
-
-    return F.transform(cells, one)
-
-
-def _kth(ranges: Column, k: int) -> Column:
-    """The farthest distance within which k points are certain."""
-    zero = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(float("inf")).alias("far"))
-
-    def step(acc: Column, cell: Column) -> Column:
-        return F.when(acc["seen"] >= k, acc).otherwise(
-            F.struct((acc["seen"] + cell["n"]).alias("seen"), cell["far"].alias("far")))
+_PLACE = ["lng", "lat", "x", "y", "z"]
 
-    by_far = F.array_sort(F.transform(ranges, lambda c: F.struct(c["far"].alias("far"), c["n"].alias("n"))))
-    return F.aggregate(by_far, zero, step,
-                       lambda acc: F.when(acc["seen"] >= k, acc["far"]).otherwise(F.lit(float("inf"))))
 
+def _first_cut(roots: list, k: int, start: float):
+    """Choose among the coarsest cells (at most 64) for a batch of places at once."""
+    lows = np.array([[r[c] for c in _CELL] for r in roots], dtype=float).reshape(-1, 3) * (2.0 / (1 << _ROOT)) - 1.0
+    numbers = np.array([[r[c] for c in _CELL] for r in roots], dtype="int64").reshape(-1, 3)
+    counts, width = np.array([r["n"] for r in roots], dtype="int64"), 2.0 / (1 << _ROOT)
 
-def _keep(ranges: Column, bound: Column, k: int) -> Column:
-    """Cells that can still hold one of the k nearest points, each with the tightened bound."""
-    def tightened(r: Column) -> Column:
-        return let(F.least(bound, _kth(r, k)), lambda b: F.transform(
-            F.filter(r, lambda c: c["near"] <= b * (1 + 1e-6) + 1e-12),
-            lambda c: F.struct(b.alias("bound"), *[c[x].alias(x) for x in _CELL], c["far"].alias("far"),
-                               c["near"].alias("near"), c["n"].alias("n"))))
+    def run(batches):
+        for batch in batches:
+            off = batch[["x", "y", "z"]].to_numpy()[:, None, :] - lows[None]
+            near = np.sqrt((np.maximum(np.maximum(-off, off - width), 0.0) ** 2).sum(axis=2))
+            far = np.sqrt((np.maximum(np.abs(off), np.abs(off - width)) ** 2).sum(axis=2))
+            bound = np.full(len(batch), start)
+            if counts.sum() >= k:
+                order = np.argsort(far, axis=1)
+                enough = (np.cumsum(counts[order], axis=1) >= k).argmax(axis=1)
+                reach = np.take_along_axis(far, order, axis=1)[np.arange(len(batch)), enough]
+                bound = np.minimum(bound, reach)
+            row, cell = np.nonzero(near <= _slack(bound)[:, None])
+            out = batch.iloc[row].assign(bound=bound[row])
+            for n, name in enumerate(_CELL):
+                out[name] = numbers[cell, n]
+            yield out
 
-    return let(ranges, tightened)
+    return run
 
 
-_PLACE = ["lng", "lat", "x", "y", "z"]
+def _slack(bound):
+    # Room for rounding: distances here and the final ones are computed differently.
+    return bound * (1 + 1e-6) + 1e-12
 
 
 def _descend(spark, places: DataFrame, tree: dict[int, DataFrame], depth: int, k: int, max_metres) -> DataFrame:
     """Per place the finest cells that can hold one of its k nearest points."""
-    start = F.lit(4.0) if max_metres is None else F.lit(geo.chord(max_metres) * (1 + 1e-9) + 1e-9)
-    # The coarsest level has at most 64 cells, so it fits into one array that travels with every task.
-    roots = tree[_ROOT].agg(F.collect_list(F.struct(*_CELL, "n")).alias("cells"))
-    state = places.crossJoin(F.broadcast(roots)).select(
-        *_PLACE, F.inline(_keep(_ranges(F.col("cells"), _ROOT), start, k)))
+    start = 4.0 if max_metres is None else geo.chord(max_metres) * (1 + 1e-9) + 1e-9
+    columns = ", ".join(f"{c} double" for c in [*_PLACE, "bound"]) + ", " + ", ".join(f"{c} bigint" for c in _CELL)
+    state = places.select(_PLACE).mapInPandas(_first_cut(tree[_ROOT].collect(), k, start), columns)
     for level in range(_ROOT + _STEP, depth + 1, _STEP):
-        state, _ = Rounds(spark, "frontier").add(state.select(*_PLACE, "bound", *_CELL))
-        joined = state.join(_children(tree[level]), [F.col(c) == F.col(f"up_{c}") for c in _CELL])
-        # A first cut by the children of one cell alone keeps the arrays that are gathered per place short.
-        near = joined.select(*_PLACE, _keep(_ranges(F.col("children"), level), F.col("bound"), k).alias("r"))
-        gathered = near.groupBy(*_PLACE).agg(F.flatten(F.collect_list("r")).alias("r"))
-        state = gathered.select(*_PLACE, F.inline(_keep(F.col("r"), F.array_min(F.transform("r", lambda c: c["bound"])), k)))
+        state, _ = Rounds(spark, "frontier").add(state)
+        up = [F.shiftright(c, _STEP).alias(f"up_{c}") for c in _CELL]
+        parents = state.select(*_PLACE, "bound", *[F.col(c).alias(f"up_{c}") for c in _CELL])
+        rows = parents.join(tree[level].select(*_CELL, "n", *up), [f"up_{c}" for c in _CELL])
+        near, far = _range(level)
+        rows = rows.select(*_PLACE, "bound", *_CELL, "n", near.alias("near"), far.alias("far"))
+        rows = rows.where(F.col("near") <= _slack(F.col("bound")))
+        # The cells of one place are few: those that survived the level above, times their children.
+        place = Window.partitionBy("lng", "lat")
+        seen = F.sum("n").over(place.orderBy("far", *_CELL).rowsBetween(Window.unboundedPreceding, 0))
+        rows = rows.withColumn("seen", seen)
+        sure = F.min(F.when(F.col("seen") >= k, F.col("far"))).over(place)
+        rows = rows.withColumn("bound", F.least("bound", sure)).where(F.col("near") <= _slack(F.col("bound")))
+        state = rows.select(*_PLACE, "bound", *_CELL)
     return state.select(F.col("lng").alias("__lng"), F.col("lat").alias("__lat"), *_CELL)
 
 
+def _range(level: int) -> tuple[Column, Column]:
+    """Nearest and farthest distance from (x, y, z) to the cell (cx, cy, cz)."""
+    width = 2.0 / (1 << level)
+    near, far = F.lit(0.0), F.lit(0.0)
+    for axis, c in zip("xyz", _CELL):
+        off = F.col(axis) - (F.col(c) * F.lit(width) - 1.0)
+        near = near + F.pow(F.greatest(-off, off - width, F.lit(0.0)), F.lit(2.0))
+        far = far + F.pow(F.greatest(F.abs(off), F.abs(off - width)), F.lit(2.0))
+    return F.sqrt(near), F.sqrt(far)
+
+
 def _closest(frontier: DataFrame, points: DataFrame, depth: int, k: int, max_metres) -> DataFrame:
     located = points.select("rid", "lng", "lat", *_at_level(depth))
     km = geo.haversine_km(F.col("__lng"), F.col("__lat"), F.col("lng"), F.col("lat"))
@@ -252,14 +252,15 @@ def spatial_join(left: DataFrame, right: DataFrame, predicate: str, left_id: str
         raise ValueError("within-dist, and only it, takes a distance")
     grow = 0.0 if metres is None else metres
     a, b = _boxes(left, left_id, left_wkt, "a", grow), _boxes(right, right_id, right_wkt, "b", 0.0)
-    pairs = _box_pairs(a, b)
-    exact = _exact(predicate, metres)
+    pairs = _box_pairs(a, b, predicate)
     geoms_a = left.select(F.col(left_id).alias("a_id"), F.col(left_wkt).alias("a_wkt"))
     geoms_b = right.select(F.col(right_id).alias("b_id"), F.col(right_wkt).alias("b_wkt"))
     full = pairs.join(geoms_a, "a_id").join(geoms_b, "b_id")
     # The exact test costs far more than a shuffle, and a geometry that meets very many others must not run in one task.
     full = full.repartition(task_count(left.sparkSession), "a_id", "b_id")
-    return full.where(exact("a_wkt", "b_wkt")).select(F.col("a_id").alias(left_id), F.col("b_id").alias(right_id))
+    # ``mapInPandas`` and not a filter: Spark would move a filter below the shuffle.
+    kept = full.mapInPandas(_exact(predicate, metres), T.StructType([full.schema["a_id"], full.schema["b_id"]]))
+    return kept.select(F.col("a_id").alias(left_id), F.col("b_id").alias(right_id))
 
 
 def _boxes(df: DataFrame, id_: str, wkt: str, side: str, metres: float) -> DataFrame:
@@ -284,31 +285,46 @@ def _on_grid(boxes: DataFrame, side: str, levels: Sequence[int]) -> DataFrame:
     """One row per level (own or listed coarser) and covered cell."""
     wanted = F.array_distinct(F.concat(
         F.array(F.col("own")), F.filter(F.array(*[F.lit(n) for n in levels]), lambda n: n < F.col("own"))))
-    rows = boxes.withColumn("level", F.explode(wanted))
+    rows = boxes.withColumn("level", F.explode_outer(wanted))
     width = F.lit(360.0) / F.pow(F.lit(2.0), F.col("level"))
     for cell, low, high in (("gx", "x0", "x1"), ("gy", "y0", "y1")):
         first = F.floor((F.col(f"{side}_{low}") + 180.0) / width).cast("bigint")
         last = F.floor((F.col(f"{side}_{high}") + 180.0) / width).cast("bigint")
-        rows = rows.withColumn(cell, F.explode(F.sequence(first, last)))
+        rows = rows.withColumn(cell, F.explode_outer(F.sequence(first, last)))
     return rows.withColumn(f"{side}_own", F.col("own") == F.col("level")).drop("own")
 
 
-def _box_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+def _box_condition(predicate: str) -> Column:
+    """What the bounding boxes must satisfy beyond meeting each other; a hair of slack leaves borders to the exact test."""
+    def inside(p: str, q: str) -> Column:
+        e = 1e-9
+        return ((F.col(f"{p}_x0") >= F.col(f"{q}_x0") - e) & (F.col(f"{p}_y0") >= F.col(f"{q}_y0") - e)
+                & (F.col(f"{p}_x1") <= F.col(f"{q}_x1") + e) & (F.col(f"{p}_y1") <= F.col(f"{q}_y1") + e))
+
+    if predicate == "within":
+        return inside("a", "b")
+    if predicate in ("contains", "covers"):
+        return inside("b", "a")
+    if predicate == "equals":
+        return inside("a", "b") & inside("b", "a")
+    return F.lit(True)
+
+
+def _box_pairs(a: DataFrame, b: DataFrame, predicate: str) -> DataFrame:
     ga, gb = _on_grid(a, "a", _levels(b)), _on_grid(b, "b", _levels(a))
     keys = ["level", "gx", "gy"]
     # At least one side is at its own level, so two small geometries never meet in a large cell.
     joined = ga.join(gb.where("b_own"), keys).unionByName(ga.where("a_own").join(gb.where("not b_own"), keys))
     width = F.lit(360.0) / F.pow(F.lit(2.0), F.col("level"))
     x, y = F.greatest("a_x0", "b_x0"), F.greatest("a_y0", "b_y0")
-    return joined.where(
+    return joined.where(_box_condition(predicate)).where(
         (x <= F.least("a_x1", "b_x1")) & (y <= F.least("a_y1", "b_y1"))
         & (F.floor((x + 180.0) / width) == F.col("gx")) & (F.floor((y + 180.0) / width) == F.col("gy"))
     ).select("a_id", "b_id")
 
 
 def _exact(predicate: str, metres: float | None):
-    @F.pandas_udf("boolean")
-    def check(a: pd.Series, b: pd.Series) -> pd.Series:
+    def check(batches):
         from graphloom.operators import geometry as gm
 
         def one(x, y):
@@ -317,7 +333,9 @@ def _exact(predicate: str, metres: float | None):
                 return False
             return gm.distance_m(p, q) <= metres if predicate == "within-dist" else gm.test(predicate, p, q)
 
-        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="boolean")
+        for batch in batches:
+            hit = [one(x, y) for x, y in zip(batch["a_wkt"], batch["b_wkt"])]
+            yield batch.loc[hit, ["a_id", "b_id"]]
 
     return check
 

@@ -42,11 +42,16 @@ def read_docs(spark: SparkSession, path: str) -> DataFrame:
 def term_counts(docs: DataFrame, record: str = "record", text: str = "text") -> DataFrame:
     """``(record, word, tf)``; counts combine map-side, and no word gathers its records in one task."""
     return (
-        docs.select(F.col(record).alias("record"), F.explode(tokens(text)).alias("word"))
+        docs.select(F.col(record).alias("record"), _each(tokens(text)).alias("word")).where("word is not null")
         .groupBy("record", "word").agg(F.count(F.lit(1)).alias("tf"))
     )
 
 
+def _each(words: Column) -> Column:
+    # For plain ``explode`` Spark infers a filter on the array and so computes the tokens twice.
+    return F.explode_outer(words)
+
+
 def build_postings(docs: DataFrame, record: str = "record", text: str = "text", entity: str | None = None) -> DataFrame:
     """Postings from texts: one row per record and word, score = number of occurrences.
 
@@ -106,9 +111,9 @@ def scored_postings(docs: DataFrame, scoring: Scoring, words: Sequence[str] | No
     With ``words`` only those words are counted, the document statistics still cover all texts.
     """
     # The size of the token array travels along, so document lengths need no join.
-    split = docs.select(F.col(record).alias("record"), tokens(text).alias("t"))
-    lengths = split.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size("t")).alias("avdl"))
-    rows = split.select("record", F.size("t").alias("dl"), F.explode("t").alias("word"))
+    split = docs.select(F.col(record).alias("record"), tokens(text).alias("t")).withColumn("dl", F.size("t"))
+    lengths = split.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avdl"))
+    rows = split.select("record", "dl", _each(F.col("t")).alias("word")).where("word is not null")
     if words is not None:
         rows = rows.where(F.col("word").isin(list(words)))
     counts = rows.groupBy("record", "word").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
@@ -290,5 +295,5 @@ def text_limit(df: DataFrame, n: int, entities: Sequence[str], text: str, scores
 def has_word_quads(graph, predicates: Sequence[str] | None = None, predicate: str = HAS_WORD) -> DataFrame:
     """Triples (literal, has-word, word)."""
     rows = as_quads(graph, predicates).where(F.col("o_term.kind") == "lit")
-    words = rows.select(F.col("o").alias("s"), F.explode(F.array_distinct(tokens(F.col("o_term.lex")))).alias("w"))
-    return words.select("s", F.lit(predicate).alias("p"), F.concat(F.lit('"'), F.col("w"), F.lit('"')).alias("o")).dropDuplicates()
+    words = rows.select(F.col("o").alias("s"), _each(F.array_distinct(tokens(F.col("o_term.lex")))).alias("w"))
+    return words.where("w is not null").select("s", F.lit(predicate).alias("p"), F.concat(F.lit('"'), F.col("w"), F.lit('"')).alias("o")).dropDuplicates()

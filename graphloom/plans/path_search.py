@@ -56,7 +56,7 @@ def _numbered_edges(edges: DataFrame, start: str, end: str, properties: Sequence
     columns = [F.col(start).alias("start"), F.col(end).alias("end"), *properties]
     counted = edges.select(*columns).where("start is not null and end is not null").groupBy(
         "start", "end", *properties).agg(F.count(F.lit(1)).alias("__n"))
-    return counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n")
+    return counted.withColumn("copy", F.explode_outer(F.sequence(F.lit(1), F.col("__n")))).drop("__n")
 
 
 def _useful_edges(base: DataFrame, sources, targets, max_depth) -> DataFrame:
