@@ -350,9 +350,9 @@ def enrich_geometry(df: DataFrame, wkt: str, info: str = "geo_info") -> DataFram
         from graphloom.operators import geometry as gm
 
         names = ["kind", "n_parts", "cx", "cy", "minx", "miny", "maxx", "maxy", "length_m", "area_sqm"]
-        geoms = [gm.parse(t) for t in texts]
-        frame = pd.DataFrame([gm.measures(g) if g is not None else {} for g in geoms], columns=names)
-        return frame.astype({"n_parts": "Int32"})
+        found = [gm.measures(g) if (g := gm.parse(t)) is not None else {} for t in texts]
+        # Object columns: Arrow then sees plain values and None.
+        return pd.DataFrame({n: pd.Series([m.get(n) for m in found], dtype=object) for n in names})
 
     m = F.col("__m")
     built = F.when(m["kind"].isNotNull(), F.struct(

@@ -159,7 +159,10 @@ def next_at_or_after(records: DataFrame, docs: DataFrame) -> DataFrame:
         have = have.groupBy("key").agg(F.min("doc").alias("doc"))
         points = have.unionByName(wanted.select("key"), allowMissingColumns=True).groupBy("key").agg(
             F.min("doc").alias("doc"))
-        order = Window.partitionBy(F.shiftright("key", LEVEL_BITS)).orderBy("key")
+        # What is left of 64 bits at the last level are at most 2^16 keys, which form one group (with both signs).
+        last_level = level == 64 // LEVEL_BITS - 1
+        group = F.lit(0) if last_level else F.shiftright("key", LEVEL_BITS)
+        order = Window.partitionBy(group).orderBy("key")
         # A block number above the first level must lie strictly ahead.
         ahead = order.rowsBetween(min(level, 1), Window.unboundedFollowing)
         nearest = points.select("key", F.first("doc", ignorenulls=True).over(ahead).alias("doc"))
