@@ -94,19 +94,16 @@ def text_score_bm25(spark, d):
     return scored.withColumn("score", F.round("score", 5))
 
 
-@query("""SELECT record, min(doc_id) AS doc FROM (SELECT DISTINCT o_orderkey % (SELECT max(doc_id) + 5 FROM documents) AS record
-FROM orders) JOIN documents ON doc_id >= record AND doc_id % 3 = 0 GROUP BY record""")
+@query("""SELECT o_orderkey AS record, min(doc_id * 3) AS doc FROM orders JOIN documents ON doc_id * 3 >= o_orderkey GROUP BY o_orderkey""")
 def text_next_document(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("record"))
-    top = docs.agg((F.max("record") + 5).alias("top"))
-    records = table(spark, d, "orders").crossJoin(F.broadcast(top)).select((F.col("o_orderkey") % F.col("top")).alias("record"))
-    return tx.next_at_or_after(records, docs.where("record % 3 = 0"))
+    docs = table(spark, d, "documents").select((F.col("doc_id") * 3).alias("record"))
+    return tx.next_at_or_after(table(spark, d, "orders").select(F.col("o_orderkey").alias("record")), docs)
 
 
 @query("""SELECT record, text FROM (SELECT l.doc_id * 2 AS record, min(d.doc_id) AS doc FROM labels l
-JOIN documents d ON d.doc_id >= l.doc_id * 2 AND d.doc_id % 3 = 0 GROUP BY 1) JOIN documents ON doc_id = doc""")
+JOIN documents d ON d.doc_id * 3 >= l.doc_id * 2 GROUP BY 1) JOIN documents ON doc_id = doc""")
 def text_of_records(spark, d):
-    docs = _docs(spark, d).where("record % 3 = 0")
+    docs = _docs(spark, d).withColumn("record", F.col("record") * 3)
     return tx.text_of_record(table(spark, d, "labels").select((F.col("doc_id") * 2).alias("record")), docs)
 
 

@@ -33,7 +33,7 @@ def pattern(graph, s: str, p: str, o: str, g: str | None = None, as_type: str |
     ``as_type`` gives the object variable as a plain typed column instead of canonical text.
     """
     quads = as_quads(graph, None if is_var(p) else [p])
-    if g == "?g" or (g and is_var(g)):
+    if g is not None and is_var(g):
         quads = quads.where(F.col("g") != DEFAULT_GRAPH)
     parts = [("s", s), ("p", p), ("o", o)] + ([("g", g)] if g is not None else [])
     first: dict[str, str] = {}

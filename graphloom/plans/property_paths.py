@@ -8,7 +8,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from graphloom.operators.scan import as_quads, pattern
+from graphloom.functions.terms import DEFAULT_GRAPH
+from graphloom.operators.scan import as_quads, is_var, pattern
 from graphloom.plans.transitive import reach
 
 
@@ -78,14 +79,25 @@ def edges(graph, path: Path | str, g: str | None = None, start: str | None = Non
     """All ``(start, end)`` pairs of a path.
 
     Sequences and alternatives keep duplicates; repetitions are sets.  A constant ``start`` or ``end`` seeds
-    repetitions, so that they search from there and never build the full closure.
+    repetitions, so that they search from there and never build the full closure.  ``g`` is a constant graph, or a
+    variable: then every path stays within one named graph, which is a further column.
     """
-    pairs = _edges(graph, Step(path) if isinstance(path, str) else path, g, start, end)
+    path = Step(path) if isinstance(path, str) else path
+    pairs = _per_graph(graph, path, g[1:]) if g and is_var(g) else _edges(graph, path, g, start, end)
     if start is not None:
         pairs = pairs.where(F.col("start") == start)
     return pairs if end is None else pairs.where(F.col("end") == end)
 
 
+def _per_graph(graph, path: Path, name: str) -> DataFrame:
+    """Nodes are tagged with their graph, so that no step can lead into another one."""
+    quads = as_quads(graph).where(F.col("g") != DEFAULT_GRAPH)
+    tag = lambda c: F.concat(F.col("g"), F.lit(" "), F.col(c)).alias(c)
+    pairs = _edges(quads.select(tag("s"), "p", tag("o"), "o_term", "g"), path, None, None, None)
+    bare = lambda c: F.substring(F.col(c), F.position(F.lit(" "), F.col(c)) + 1, F.length(c)).alias(c)
+    return pairs.select(bare("start"), bare("end"), F.substring_index("start", " ", 1).alias(name))
+
+
 def _edges(graph, path: Path, g, start, end) -> DataFrame:
     if isinstance(path, Step):
         return pattern(graph, "?start", path.predicate, "?end", g)

@@ -165,6 +165,12 @@ def test_property_paths(spark):
         knows.repeat(3, 1)
 
 
+def test_paths_stay_in_one_graph(spark):
+    q = up.quads_of(spark, [("<a>", "<p>", "<b>", "<g1>"), ("<b>", "<p>", "<c>", "<g2>"), ("<c>", "<p>", '"x y"', "<g2>")])
+    got = pp.edges(q, pp.Step("<p>").plus(), g="?g")
+    assert rows(got, "start", "end", "g") == [("<a>", "<b>", "<g1>"), ("<b>", '"x y"', "<g2>"), ("<b>", "<c>", "<g2>"), ("<c>", '"x y"', "<g2>")]
+
+
 def test_construct_and_describe(spark):
     df = spark.createDataFrame([("<a>", '"1"'), ("<a>", '"1"'), ('"lit"', None)], "x string, v string")
     assert rows(construct(df, [("?x", "<p>", "?v")])) == [("<a>", "<p>", '"1"')] * 2
