@@ -11,17 +11,17 @@ def _n(x) -> Column:
 
 
 def add(a, b) -> Column:
-    """``+``; integers stay integers and wrap, timestamps take intervals."""
-    return _n(a) + _n(b)
+    """``+``; integers stay integers, timestamps take intervals; an overflow is unbound and never fails the job."""
+    return F.try_add(_n(a), _n(b))
 
 
 def subtract(a, b) -> Column:
     """``-``; the difference of two timestamps is a day-time interval."""
-    return _n(a) - _n(b)
+    return F.try_subtract(_n(a), _n(b))
 
 
 def multiply(a, b) -> Column:
-    return _n(a) * _n(b)
+    return F.try_multiply(_n(a), _n(b))
 
 
 def negate(a) -> Column:

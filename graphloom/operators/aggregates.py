@@ -41,9 +41,9 @@ def count_distinct_rows(df: DataFrame) -> Column:
 
 
 def total(x, distinct: bool = False) -> Column:
-    """SUM: 0 for an empty group."""
+    """SUM: 0 for an empty group; an overflow of integers is unbound and never fails the job."""
     x = _c(x)
-    value = F.sum_distinct(x) if distinct else F.sum(x)
+    value = F.sum_distinct(x) if distinct else F.try_sum(x)
     return F.when(F.count(F.lit(1)) == 0, 0).when(_complete(x), value)
 
 
@@ -81,11 +81,11 @@ def term_total(term) -> Column:
     whole = F.coalesce(term["i"], term["b"].cast("bigint"))
     real = F.coalesce(term["d"], term["b"].cast("double"))
     all_whole = _complete(whole)
-    i = F.when(all_whole, F.coalesce(F.sum(whole), F.lit(0)))
+    i = F.when(all_whole, F.when(F.count(whole) == 0, F.lit(0)).otherwise(F.try_sum(whole)))
     d = F.coalesce(F.sum(real), F.lit(0.0))
     return F.when(
         _complete(real),
-        F.when(all_whole, make_term("lit", i.cast("string"), XSD + "integer", i=i, d=i.cast("double")))
+        F.when(all_whole, F.when(i.isNotNull(), make_term("lit", i.cast("string"), XSD + "integer", i=i, d=i.cast("double"))))
         .otherwise(make_term("lit", number_text(d), XSD + "double", d=d)),
     )
 
