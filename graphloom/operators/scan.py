@@ -32,14 +32,19 @@ def pattern(graph, s: str, p: str, o: str, g: str | None = None, as_type: str |
     ``?name`` is a variable, anything else a constant in canonical text.  The same variable twice means equality.
     ``as_type`` gives the object variable as a plain typed column instead of canonical text.
     """
-    quads = as_quads(graph, None if is_var(p) else [p])
+    if isinstance(graph, MappedGraph) and not is_var(p):
+        quads = graph.quads([p], s=None if is_var(s) else s, o=None if is_var(o) else o)
+    else:
+        quads = as_quads(graph, None if is_var(p) else [p])
     if g is not None and is_var(g):
         quads = quads.where(F.col("g") != DEFAULT_GRAPH)
     parts = [("s", s), ("p", p), ("o", o)] + ([("g", g)] if g is not None else [])
     first: dict[str, str] = {}
     for column, value in parts:
         if not is_var(value):
-            quads = quads.where(F.col(column) == F.lit(value))
+            # A mapped graph has already compared subject and object with its own columns.
+            if column == "g" or not (isinstance(graph, MappedGraph) and not is_var(p)):
+                quads = quads.where(F.col(column) == F.lit(value))
         elif value in first:
             quads = quads.where(F.col(column) == F.col(first[value]))
         else:

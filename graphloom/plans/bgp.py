@@ -25,29 +25,68 @@ def _size(triple: Sequence, counts: Mapping[str, int]) -> float:
     return size
 
 
-def join_order(triples: Sequence[Sequence], counts: Mapping[str, int] | None = None) -> list[Sequence]:
-    """Smallest connected pattern next; without counts the given order, moved only to stay connected."""
-    rest = list(triples)
-    rank = (lambda t: _size(t, counts)) if counts else (lambda t: 0.0)
-    ordered, seen = [], set()
+def _connected(groups: Sequence[Sequence[Sequence]], counts: Mapping[str, int] | None) -> list:
+    rest, ordered, seen = list(groups), [], set()
+    names = lambda group: set().union(*map(_vars, group))
+    rank = (lambda group: min(_size(t, counts) for t in group)) if counts else (lambda group: 0.0)
     while rest:
-        linked = [t for t in rest if _vars(t) & seen] or rest
+        linked = [g for g in rest if names(g) & seen] or rest
         best = min(linked, key=rank)
         rest.remove(best)
         ordered.append(best)
-        seen |= _vars(best)
+        seen |= names(best)
     return ordered
 
 
+def join_order(triples: Sequence[Sequence], counts: Mapping[str, int] | None = None) -> list[Sequence]:
+    """Smallest connected pattern next; without counts the given order, moved only to stay connected."""
+    return [group[0] for group in _connected([[t] for t in triples], counts)]
+
+
+def _row_groups(graph, triples: Sequence[Sequence]) -> list[list[Sequence]]:
+    """Patterns on the same subject that one row of one mapped table answers belong together."""
+    groups: dict = {}
+    for n, triple in enumerate(triples):
+        s, p, o = triple[:3]
+        table = graph.owner(p) if isinstance(graph, MappedGraph) and is_var(s) and not is_var(p) and s != o else None
+        key = (s, table.name, table.graph) if table is not None else n
+        # A variable used twice within a row is an equality, which the join of separate patterns expresses.
+        if any(is_var(o) and o == other[2] for other in groups.get(key, [])):
+            key = n
+        groups.setdefault(key, []).append(triple)
+    return list(groups.values())
+
+
 def bgp(graph, triples: Sequence[Sequence], counts: Mapping[str, int] | None = None) -> DataFrame:
-    """Join of triple patterns ``(s, p, o)`` or ``(s, p, o, as_type)``; adaptive execution picks the join methods."""
+    """Join of triple patterns ``(s, p, o)`` or ``(s, p, o, as_type)``; adaptive execution picks the join methods.
+
+    On a mapped graph the patterns that describe one row are one scan, so only joins between tables shuffle.
+    """
     result = None
-    for triple in join_order(triples, counts):
-        part = pattern(graph, *triple[:3], as_type=triple[3] if len(triple) > 3 else None)
+    for group in _connected(_row_groups(graph, triples), counts):
+        if len(group) > 1:
+            part = _row_scan(graph.owner(group[0][1]), group)
+        else:
+            triple = group[0]
+            part = pattern(graph, *triple[:3], as_type=triple[3] if len(triple) > 3 else None)
         result = part if result is None else natural_join(result, part)
     return result
 
 
+def _row_scan(table: TableMap, group: Sequence[Sequence]) -> DataFrame:
+    columns, rows, cells = table.columns(), table.df, []
+    for triple in group:
+        column, o = columns[triple[1]], triple[2]
+        if not is_var(o):
+            rows = rows.where(table.equals(column, o))
+            continue
+        rows = rows.where(F.col(column).isNotNull())
+        term = table.term(column)
+        as_type = triple[3] if len(triple) > 3 else None
+        cells.append((typed(term, as_type) if as_type else canonical(term)).alias(o[1:]))
+    return rows.select(table.subject().alias(group[0][0][1:]), *cells)
+
+
 def star(graph, subject: str, predicates: Mapping[str, tuple[str, str | None]]) -> DataFrame:
     """Several single-valued predicates of one subject in one pass: one shuffle instead of one per predicate.
 
@@ -71,10 +110,5 @@ def star(graph, subject: str, predicates: Mapping[str, tuple[str, str | None]])
 
 def _row_star(table: TableMap, subject: str, predicates: Mapping[str, tuple[str, str | None]]) -> DataFrame:
     """A star on the rows of one mapped table is a projection: no shuffle at all."""
-    columns = table.columns()
-    rows, cells = table.df, []
-    for predicate, (name, as_type) in predicates.items():
-        term = table.term(columns[predicate])
-        rows = rows.where(F.col(columns[predicate]).isNotNull())
-        cells.append((typed(term, as_type) if as_type else canonical(term)).alias(name.lstrip("?")))
-    return rows.select(table.subject().alias(subject.lstrip("?")), *cells)
+    subject = "?" + subject.lstrip("?")
+    return _row_scan(table, [(subject, p, "?" + name.lstrip("?"), as_type) for p, (name, as_type) in predicates.items()])

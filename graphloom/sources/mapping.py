@@ -6,6 +6,7 @@ table; a pattern with a free predicate reads each table once and unpivots its ro
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -20,7 +21,7 @@ from graphloom.functions.terms import DEFAULT_GRAPH, RDF_TYPE
 class TableMap:
     """How one table enters the graph.
 
-    ``key`` are the columns naming a row; ``refs`` maps a foreign-key column to the table it points at;
+    ``key`` are the columns naming a row (no two rows share a key); ``refs`` maps a foreign-key column to the table it points at;
     ``lang`` maps a text column to the column holding its language; ``prefix`` is cut off column names.
     """
 
@@ -63,14 +64,46 @@ class TableMap:
             return terms.datetime(column, bound=True)
         return terms.literal(F.col(column).cast("string"), bound=True)
 
+    def equals(self, column: str, constant: str) -> Column:
+        """Whether a cell is a constant term, as a comparison of the column itself where possible.
+
+        Such a comparison reaches the Parquet scan, one of formatted texts does not.
+        """
+        kind = self.df.schema[column].dataType
+        whole = isinstance(kind, T.IntegralType)
+        if column in self.refs:
+            head = f"<{self.refs[column]}/"
+            if not (constant.startswith(head) and constant.endswith(">")):
+                return F.lit(False)
+            return _same_key(column, kind, constant[len(head):-1])
+        if whole and re.fullmatch(rf'"-?\d+"\^\^<{re.escape(terms.XSD)}integer>', constant):
+            return _same_key(column, kind, constant[1:constant.rindex('"')])
+        if isinstance(kind, T.StringType) and column not in self.lang and "\\" not in constant:
+            return F.col(column) == F.lit(constant[1:-1]) if re.fullmatch(r'(?s)".*"', constant) else F.lit(False)
+        return terms.canonical(self.term(column)) == F.lit(constant)
+
+    def is_subject(self, constant: str) -> Column:
+        """Whether a row is a constant entity."""
+        head = f"<{self.name}/"
+        if not (constant.startswith(head) and constant.endswith(">")):
+            return F.lit(False)
+        if len(self.key) == 1:
+            return _same_key(self.key[0], self.df.schema[self.key[0]].dataType, constant[len(head):-1])
+        return self.subject() == F.lit(constant)
+
     def _cell(self, predicate: str) -> tuple[Column, Column]:
         term = (terms.iri(F.lit(self.name), bound=True) if predicate == RDF_TYPE
                 else self.term(self.columns()[predicate]))
         return term, terms.canonical(term)
 
-    def one_predicate(self, predicate: str) -> DataFrame:
+    def one_predicate(self, predicate: str, s: str | None = None, o: str | None = None) -> DataFrame:
+        """Quads of one predicate; ``s`` and ``o`` restrict them to constants."""
         term, text = self._cell(predicate)
         rows = self.df if predicate == RDF_TYPE else self.df.where(F.col(self.columns()[predicate]).isNotNull())
+        if s is not None:
+            rows = rows.where(self.is_subject(s))
+        if o is not None:
+            rows = rows.where(text == F.lit(o) if predicate == RDF_TYPE else self.equals(self.columns()[predicate], o))
         return rows.select(
             self.subject().alias("s"), F.lit(predicate).alias("p"), text.alias("o"), term.alias("o_term"),
             F.lit(self.graph).alias("g"),
@@ -91,6 +124,18 @@ class TableMap:
             F.lit(self.graph).alias("g"))
 
 
+def _same_key(column: str, kind: T.DataType, key: str) -> Column:
+    """Column equals the value whose text is ``key``."""
+    if isinstance(kind, T.IntegralType):
+        try:
+            value = int(key)
+        except ValueError:
+            return F.lit(False)
+        fits = str(value) == key and -(2 ** 63) <= value < 2 ** 63
+        return F.col(column).cast("bigint") == F.lit(value).cast("bigint") if fits else F.lit(False)
+    return F.col(column).cast("string") == F.lit(key)
+
+
 def _pick(options: Sequence[Column]) -> Column:
     out = F.when(F.col("__cell") == 0, options[0])
     for n, option in enumerate(options[1:], 1):
@@ -123,12 +168,18 @@ class MappedGraph:
         """Only the tables whose graph passes the test; the others are never scanned."""
         return MappedGraph([t for t in self.tables if keep(t.graph)], merged)
 
-    def quads(self, predicates: Sequence[str] | None = None) -> DataFrame:
+    def owner(self, predicate: str) -> TableMap | None:
+        """The only table with a predicate, if there is just one."""
+        found = [t for t in self.tables if predicate in t.columns()]
+        return found[0] if len(found) == 1 else None
+
+    def quads(self, predicates: Sequence[str] | None = None, s: str | None = None, o: str | None = None) -> DataFrame:
+        """Quads, of the given predicates only; for those, constant subjects and objects become column filters."""
         if predicates is None:
             parts = [t.unpivot() for t in self.tables]
         else:
             parts = [
-                t.one_predicate(p)
+                t.one_predicate(p, s, o)
                 for p in dict.fromkeys(predicates)
                 for t in self.tables
                 if p == RDF_TYPE or p in t.columns()

@@ -205,3 +205,18 @@ def test_plans_read_only_what_they_need(spark):
         ("?o", "<orders/custkey>", "?c"), ("?o", "<orders/totalprice>", "?p", "double")]).where("p > 100000")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "o_orderstatus" not in text and "c_name" not in text and "GreaterThan(o_totalprice" in text
+
+
+def test_mapped_rows_are_one_scan(spark):
+    from catalog.registry import graph
+
+    g = graph(spark, "/root/testdata/sf0.001", "orders", "customer")
+    triples = [("?o", "<orders/custkey>", "?c"), ("?o", "<orders/totalprice>", "?p", "double"),
+               ("?c", "<customer/nationkey>", "<nation/7>"), ("?c", "<customer/mktsegment>", '"BUILDING"')]
+    mapped = bgp(g, triples)
+    text = mapped._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 2 and "EqualTo(c_nationkey,7)" in text and "EqualTo(c_mktsegment" in text
+    assert rows(mapped, "o", "c", "p") == rows(bgp(g.quads(), triples), "o", "c", "p")
+    for s, p, o in [("<customer/7>", "<customer/name>", "?n"), ("?c", "<customer/custkey>", f'"7"^^<http://www.w3.org/2001/XMLSchema#integer>'),
+                    ("<customer/07>", "<customer/name>", "?n"), ("?c", "<customer/nationkey>", "<region/7>"), ("?c", "<customer/name>", "<x>")]:
+        assert rows(pattern(g, s, p, o)) == rows(pattern(g.quads(), s, p, o))
