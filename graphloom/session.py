@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -44,6 +46,20 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, so that they need no installed copy.  Done once for each context."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parent
+    if getattr(context, "_graphloom_shipped", False):
+        return
+    # The driver serves this file to the executors; nobody else reads it.
+    archive = Path(tempfile.mkdtemp(prefix="graphloom-")) / "graphloom_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._graphloom_shipped = True
+
+
 def task_count(spark: SparkSession) -> int:
     """Number of tasks of a shuffle, as the session is set up."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

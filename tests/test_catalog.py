@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalog.registry import QUERIES, SQL
 from tools.check import TABLES, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
@@ -18,18 +19,18 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(SQL) == set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["region", "nation", "n_orders", "revenue"]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sql, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     got = df.collect()
-    cursor = sql.execute(entry.oracle_sql()[name])
+    cursor = sql.execute(SQL[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(columns)
     assert rows_of(df.columns, got) == rows_of(columns, cursor.fetchall())
