@@ -6,7 +6,9 @@ row carries its place in its file's stream, so readers seek to single documents,
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -16,15 +18,27 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from graphloom.llm.common import table
 from graphloom.session import shared_folder, ship
 
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 400_000
+#: Words in each of the two generations that a worker remembers.
+CACHE_WORDS = 600_000
 #: Parquet settings: version 2 pages delta-encode what is not dictionary-encoded; page indexes are always written.
 LAYOUT = {
     "parquet.writer.version": "PARQUET_2_0", "parquet.block.size": str(32 << 20), "parquet.page.size": str(256 << 10),
     "parquet.page.row.count.limit": "2000", "parquet.enable.dictionary": "true",
     "parquet.enable.dictionary#ids.list.element": "false", "compression": "zstd",
 }
-_LOADED: dict[str, tuple] = {}
+_LOADED: dict[str, WordEncoder] = {}
+#: Characters beyond the plain Latin ones, whose lower case and normal form are one letter each.
+_UNUSUAL = re.compile("[\u0130\u0250-\U0010ffff]|<\\|")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level tokenizers write for bytes: printable ones stand for themselves, others follow 255."""
+    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in kept]
+    return {**{b: chr(b) for b in kept}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+_LETTERS = _byte_letters()
 
 
 def default_tokenizer() -> str:
@@ -37,8 +51,8 @@ class WordEncoder:
     """Ids of whole texts, with the library asked once for each distinct word.
 
     Exact for tokenizers that drop white space and never join across it: the ids of a text are those of its pieces
-    between spaces and line feeds.  A word of letters followed by one full stop or comma is two pieces, and
-    ASCII case is ignored by a lower-casing tokenizer.
+    between spaces and line feeds.  For plain Latin texts, case is dropped first (the tokenizer drops it too), words of
+    letters go to the library's model as they are, and a full stop or comma behind a letter is a piece of its own.
     """
 
     def __init__(self, path: str):
@@ -48,35 +62,48 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
     def _ask(self, words: list[str]) -> None:
-        for word, found in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False)):
-            self.known[word] = np.asarray(found.ids, "<u4").tobytes()
+        known, model, rest = self.known, self.library.model, []
+        for word in words:
+            if word.isascii() and word.isalpha() or word.isalpha() and not _UNUSUAL.search(word):
+                tokens = model.tokenize(word.lower().encode().decode("latin-1").translate(_LETTERS))
+                known[word] = array("I", [t.id for t in tokens]).tobytes()
+            else:
+                rest.append(word)
+        for word, found in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
+            known[word] = array("I", found.ids).tobytes()
 
     def _learn(self, words: list[str]) -> None:
         """Remember the ids of new words."""
-        known, split = self.known, {}
+        known, old, split, ask = self.known, self.old, {}, []
         for word in words:
-            core, mark = (word[:-1], word[-1]) if len(word) > 1 and word[-1] in ".," and word[-2].isalpha() else (word, "")
-            split[word] = core.lower() if core.isascii() else core, mark
-        ask = {part for pair in split.values() for part in pair if part and part not in known}
+            ids = old.get(word)
+            if ids is not None:
+                known[word] = ids
+                continue
+            apart = word[-1:] in (".", ",") and word[-2:-1].isalpha() and not _UNUSUAL.match(word, len(word) - 2)
+            split[word] = core, mark = (word[:-1], word[-1]) if apart else (word, "")
+            ask += [part for part in (core, mark) if part not in known]
         if ask:
-            self._ask(sorted(ask))
+            self._ask(list(dict.fromkeys(ask)))
         for word, (core, mark) in split.items():
-            known[word] = known[core] + known[mark] if mark else known[core]
+            known[word] = known[core] + known[mark]
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers."""
+        if not _UNUSUAL.search(text):
+            text = text.lower()
         words = text.replace("\n", " ").split(" ")
         known = self.known
-        new = [w for w in set(words) if w not in known and w]
+        new = [w for w in set(words) if w not in known]
         if new:
             if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = [w for w in set(words) if w]
+                self.old, self.known = known, {"": b""}
+                known, new = self.known, [w for w in set(words) if w]
             self._learn(new)
-            known[""] = b""
         return b"".join(map(known.__getitem__, words))
 
 
@@ -84,7 +111,6 @@ def encoder(path: str) -> WordEncoder:
     """One encoder for each worker process and file."""
     if path not in _LOADED:
         _LOADED[path] = WordEncoder(path)
-        _LOADED[path].known[""] = b""
     return _LOADED[path]
 
 
