@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from graphloom.llm.decontaminate import op10_decontamination
 from graphloom.llm.minhash import op5_minhash
 from graphloom.llm.mixing import op2_mixing
+from graphloom.llm.pivots import op4_pivots
 from graphloom.llm.quality import op6_quality
 from graphloom.llm.sharding import op7_sharding
 from graphloom.llm.token_files import op8_token_files
 from graphloom.llm.toxicity import op1_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op5_minhash, op6_quality, op7_sharding, op8_token_files)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_mixing, op4_pivots, op5_minhash, op6_quality, op7_sharding, op8_token_files, op10_decontamination)}
 SQL: dict[str, str] = {}
