@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Fixed value: what counts as a word.  Python's ``bytes.split()`` cuts at exactly the same characters, and
@@ -26,3 +28,31 @@ def fold(doc_id: Column, folds: int = 5) -> Column:
 def utf8(text: Column) -> Column:
     """The text as UTF-8 bytes; null becomes empty."""
     return F.coalesce(text.cast("binary"), F.lit("").cast("binary"))
+
+
+def partition_sums(rows: DataFrame, part, width: int) -> list:
+    """Sum over all rows of what ``part(batch)`` gives, {key: matrix of ``width`` columns}, as rows (key, row, v).
+
+    Each partition adds up its own; then every row of a matrix is summed on its own, so a task holds one row of each
+    partition's matrix, and the driver gets one matrix per key.
+    """
+
+    def run(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if batch.num_rows:
+                for key, value in part(batch).items():
+                    total[key] = total[key] + value if key in total else value
+        for key, value in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key] * len(value), pa.int32()), pa.array(range(len(value)), pa.int32()),
+                 pa.array(list(np.asarray(value, float)), pa.list_(pa.float64()))], ["key", "row", "v"])
+
+    def add(group: pa.Table) -> pa.Table:
+        values = group.column("v").combine_chunks()
+        total = values.flatten().to_numpy().reshape(-1, width).sum(axis=0)
+        return pa.table({"key": group.column("key")[:1], "row": group.column("row")[:1],
+                         "v": pa.array([total], pa.list_(pa.float64()))})
+
+    kind = "key int, row int, v array<double>"
+    return rows.mapInArrow(run, kind).groupBy("key", "row").applyInArrow(add, kind).collect()

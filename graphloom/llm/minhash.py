@@ -188,6 +188,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, seed: in
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, seed: int = 0) -> DataFrame:
+    """The rows of ``docs`` without near duplicates of a smaller id; columns stay.
+
+    Only ids that go are looked up, so rows without an id stay.  Rows that repeat one id with equal texts all stay.
+    """
+    gone = near_duplicates(docs, width, percent, seed).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+
+
 def _apart(apart: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
     """Pairs of classes that share a bucket, lie in different components and are alike by signature.
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
-from graphloom.llm.common import fold, table, utf8
+from graphloom.llm.common import fold, partition_sums, table, utf8
 from graphloom.session import cut_lineage, ship
 
 #: Cosines in the approximation of the kernel, width of the kernel in standard deviations, ridge penalty per row.
@@ -115,37 +115,13 @@ def _table(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, SIZE).astype(float)
 
 
-def _sums(rows: DataFrame, part, shape: int) -> list:
-    """Sum over all rows of what ``part(batch)`` gives: {key: vectors}.  Added up per partition, then per (key, row)."""
-
-    def run(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            if batch.num_rows:
-                for key, value in part(batch).items():
-                    total[key] = total[key] + value if key in total else value
-        for key, value in total.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([key] * len(value), pa.int32()), pa.array(range(len(value)), pa.int32()),
-                 pa.array(list(value), pa.list_(pa.float64()))], ["key", "row", "v"])
-
-    def add(group: pa.Table) -> pa.Table:
-        values = group.column("v").combine_chunks()
-        total = values.flatten().to_numpy().reshape(-1, shape).sum(axis=0)
-        return pa.table({"key": group.column("key")[:1], "row": group.column("row")[:1],
-                         "v": pa.array([total], pa.list_(pa.float64()))})
-
-    kind = "key int, row int, v array<double>"
-    return rows.mapInArrow(run, kind).groupBy("key", "row").applyInArrow(add, kind).collect()
-
-
 def train(labelled: DataFrame, seed: int = 0) -> QualityModel:
     """Fit on rows (x: statistics, y: 0 or 1, half: 0 or 1).  All rows count; what reaches the driver has a fixed size.
 
     Without rows, or with one label only, the model gives the mean label (0.5 without rows) to every text.
     """
     ship(labelled.sparkSession)
-    basic = {r["row"]: np.array(r["v"]) for r in _sums(labelled, lambda b: {0: (lambda x, y: np.vstack([
+    basic = {r["row"]: np.array(r["v"]) for r in partition_sums(labelled, lambda b: {0: (lambda x, y: np.vstack([
         np.append(x.sum(0), len(x)), np.append((x * x).sum(0), y.sum())]))(_table(b), b.column("y").to_numpy())}, SIZE + 1)}
     if not basic:
         return QualityModel(*[np.zeros(SIZE)] * 4, constant=0.5)
@@ -166,7 +142,7 @@ def train(labelled: DataFrame, seed: int = 0) -> QualityModel:
 
     side = 1 + SIZE + COSINES + 1
     gram = np.zeros((2, side, side))
-    for r in _sums(labelled, equations, side):
+    for r in partition_sums(labelled, equations, side):
         gram[r["key"], r["row"]] = r["v"]
 
     def solve(g: np.ndarray) -> np.ndarray:
@@ -183,7 +159,7 @@ def train(labelled: DataFrame, seed: int = 0) -> QualityModel:
         at = _bin(np.where(half == 0, z @ other[0], z @ other[1]))
         return {0: np.vstack([np.bincount(at, minlength=BINS), np.bincount(at, weights=y, minlength=BINS)])}
 
-    counts = {r["row"]: np.array(r["v"]) for r in _sums(labelled, binned, BINS)}
+    counts = {r["row"]: np.array(r["v"]) for r in partition_sums(labelled, binned, BINS)}
     model.steps = isotonic(counts[0], counts[1])
     return model
 

@@ -125,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 0) -> np.ndarray:
         weights = fit(list(group.text), group.positive.to_numpy(bool), prior, seed)
         return pd.DataFrame({"member": [int(group.member.iloc[0])], "weights": [weights.tobytes()]})
 
-    found = rows.groupBy("member").applyInPandas(member, "member int, weights binary").orderBy("member").collect()   # MEMBERS rows
+    found = sorted(rows.groupBy("member").applyInPandas(member, "member int, weights binary").collect())     # MEMBERS rows
     return np.stack([np.frombuffer(r["weights"], np.float32) for r in found], axis=1)
 
 
