@@ -25,7 +25,8 @@ def multiply(a, b) -> Column:
 
 
 def negate(a) -> Column:
-    return -_n(a)
+    """Unary minus; the lowest integer has no opposite and gives unbound."""
+    return F.try_multiply(_n(a), F.lit(-1))
 
 
 def divide(a, b, zero_is_unbound: bool = True) -> Column:
@@ -42,7 +43,9 @@ def divide(a, b, zero_is_unbound: bool = True) -> Column:
 
 
 def absolute(x) -> Column:
-    return F.abs(_n(x))
+    x = _n(x)
+    # Adding zero turns -0.0 into 0.0.
+    return F.when(x < 0, negate(x)).otherwise(F.try_add(x, F.lit(0)))
 
 
 def _whole_numbers(x: Column, whole: bool, rounded: Column) -> Column:

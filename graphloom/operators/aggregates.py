@@ -24,6 +24,35 @@ def having(grouped: DataFrame, condition: Column) -> DataFrame:
     return grouped.where(condition)
 
 
+def _distinct(function: str, x, over_array) -> Column:
+    """An aggregate of the distinct values.
+
+    For a named column Spark removes duplicates before it aggregates.  For an expression, which has no name that SQL could
+    use, the distinct values of a group are gathered and ``over_array`` works on them.
+    """
+    if isinstance(x, str):
+        return F.expr(f"{function}(DISTINCT `{x.replace('`', '``')}`)")
+    return over_array(F.collect_set(x))
+
+
+def _doubles(values: Column) -> Column:
+    return F.transform(values, lambda v: v.cast("double"))
+
+
+def _added(values: Column) -> Column:
+    return F.reduce(F.slice(values, 2, F.greatest(F.size(values), F.lit(1))), F.get(values, F.lit(0)), F.try_add)
+
+
+def _average(values: Column) -> Column:
+    return F.when(F.size(values) > 0, _added(values) / F.size(values))
+
+
+def _spread(values: Column) -> Column:
+    """Sample deviation in two passes, so that a large mean does not swallow it."""
+    squares = F.transform(values, lambda v: F.pow(v - _average(values), F.lit(2.0)))
+    return F.when(F.size(values) > 1, F.sqrt(_added(squares) / (F.size(values) - 1)))
+
+
 def _complete(x: Column) -> Column:
     return F.count(x) == F.count(F.lit(1))
 
@@ -42,15 +71,15 @@ def count_distinct_rows(df: DataFrame) -> Column:
 
 def total(x, distinct: bool = False) -> Column:
     """SUM: 0 for an empty group; an overflow of integers is unbound and never fails the job."""
+    value = _distinct("try_sum", x, _added) if distinct else F.try_sum(_c(x))
     x = _c(x)
-    value = F.sum_distinct(x) if distinct else F.try_sum(x)
     return F.when(F.count(F.lit(1)) == 0, 0).when(_complete(x), value)
 
 
 def mean(x, distinct: bool = False) -> Column:
     """AVG: 0 for an empty group."""
+    value = _distinct("avg", x, lambda s: _average(_doubles(s))) if distinct else F.avg(_c(x))
     x = _c(x)
-    value = F.sum_distinct(x) / F.count_distinct(x) if distinct else F.avg(x)
     return F.when(F.count(F.lit(1)) == 0, 0.0).when(_complete(x), value)
 
 
@@ -118,10 +147,6 @@ def sample_lowest(x) -> Column:
 
 def stdev(x, distinct: bool = False) -> Column:
     """STDEV (n-1): 0.0 for fewer than two values."""
+    value = _distinct("stddev_samp", x, lambda s: _spread(_doubles(s))) if distinct else F.stddev_samp(_c(x))
     x = _c(x)
-    if distinct:
-        n, s, q = F.count_distinct(x), F.sum_distinct(x), F.sum_distinct(x * x)
-        value = F.when(n > 1, F.sqrt(F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1)))
-    else:
-        value = F.stddev_samp(x)
     return F.when(_complete(x), F.coalesce(value, F.lit(0.0)))

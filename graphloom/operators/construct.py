@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from graphloom.functions.terms import DEFAULT_GRAPH
 from graphloom.operators.scan import is_var
@@ -25,9 +25,15 @@ def instantiate(df: DataFrame, template: Sequence[Sequence[str]], row_key: Seque
     """``(s, p, o, g)`` of each template entry ``(s, p, o[, g])`` and row; entries with an unbound position are skipped.
 
     ``?name`` is a variable in canonical text.  ``_:label`` is a blank node, fresh per row: its label is made from the
-    columns ``row_key`` (all columns by default), so repeating a lost task gives the same node.
+    columns ``row_key``, so repeating a lost task gives the same node.  Without a key it is made from all columns and
+    equal rows are numbered, which costs a shuffle that a unique key saves.
     """
     key = list(row_key) if row_key is not None else df.columns
+    if row_key is None and any(x.startswith("_:") for entry in template for x in entry):
+        # Equal rows are interchangeable, so any order among them will do.
+        same = Window.partitionBy(*df.columns).orderBy(F.lit(0))
+        df = df.withColumn("__nth", F.row_number().over(same))
+        key = [*key, "__nth"]
     entries = []
     for entry in template:
         s, p, o = (_cell(x, key) for x in entry[:3])

@@ -151,7 +151,9 @@ def optional_join(left: DataFrame, right: DataFrame, nullable: Sequence[str] | N
 
 def neutral_optional(left: DataFrame, right: DataFrame) -> DataFrame:
     """OPTIONAL without shared variables: every left row with every right row, or with nothing if right is empty."""
-    return left.join(right, F.lit(True), "left")
+    # The product can be split into tasks; a left join on TRUE would send the whole right side to every task.
+    alone = _drop_matching(left, right, [])
+    return left.crossJoin(right).unionByName(alone, allowMissingColumns=True)
 
 
 def minus(left: DataFrame, right: DataFrame, nullable: Sequence[str] | None = None) -> DataFrame:

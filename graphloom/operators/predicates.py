@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from graphloom.functions.terms import DEFAULT_GRAPH, RDF_TYPE
-from graphloom.operators.scan import as_quads
+from graphloom.operators.scan import as_quads, is_var
 
 
 def has_predicate(graph, subjects: DataFrame | None = None, predicate: str | None = None) -> DataFrame:
@@ -58,17 +60,24 @@ def dataset_statistics(graph) -> DataFrame:
     """One row of counts over all quads."""
     quads = as_quads(graph)
     kind = F.col("o_term.kind")
-    typed = F.when(F.col("p") == RDF_TYPE, F.col("s"))
-    return quads.agg(
-        F.count(F.lit(1)).alias("n_triples"), F.count_distinct("s").alias("n_subjects"),
-        F.count_distinct("p").alias("n_predicates"), F.count_distinct("o").alias("n_objects"),
+    # Predicates and graphs are few: their counts come from one small aggregate.  Subjects and objects are made distinct in
+    # passes of their own, so no quad is copied for each distinct count.
+    groups = quads.groupBy("p", "g").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(kind == "lit", 1)).alias("lit"), F.count(F.when(kind == "iri", 1)).alias("iri"),
+        F.count(F.when(kind == "bnode", 1)).alias("bnode"), F.count(F.when(F.col("s").startswith("_:"), 1)).alias("blank"))
+    whole = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    totals = groups.agg(
+        whole("n").alias("n_triples"), F.count_distinct("p").alias("n_predicates"),
         F.count_distinct(F.when(F.col("g") != DEFAULT_GRAPH, F.col("g"))).alias("n_graphs"),
-        F.count_distinct(typed).alias("n_typed_subjects"),
-        F.count(F.when(kind == "lit", 1)).alias("n_literal_objects"),
-        F.count(F.when(kind == "iri", 1)).alias("n_iri_objects"),
-        F.count(F.when(kind == "bnode", 1)).alias("n_blank_objects"),
-        F.count(F.when(F.col("s").startswith("_:"), 1)).alias("n_blank_subjects"),
-    )
+        whole("lit").alias("n_literal_objects"), whole("iri").alias("n_iri_objects"),
+        whole("bnode").alias("n_blank_objects"), whole("blank").alias("n_blank_subjects"))
+    subjects = quads.groupBy("s").agg(F.max(F.col("p") == RDF_TYPE).alias("typed")).agg(
+        F.count(F.lit(1)).alias("n_subjects"), F.count(F.when(F.col("typed"), 1)).alias("n_typed_subjects"))
+    objects = quads.select("o").distinct().agg(F.count(F.lit(1)).alias("n_objects"))
+    # One row each.
+    return totals.crossJoin(subjects).crossJoin(objects).select(
+        "n_triples", "n_subjects", "n_predicates", "n_objects", "n_graphs", "n_typed_subjects", "n_literal_objects",
+        "n_iri_objects", "n_blank_objects", "n_blank_subjects")
 
 
 def top_predicates(graph, n: int = 10) -> DataFrame:
@@ -76,7 +85,8 @@ def top_predicates(graph, n: int = 10) -> DataFrame:
     return counts.orderBy(F.desc("n"), "p").limit(n)
 
 
-def predicate_counts(graph) -> dict[str, int]:
-    """Counts for join ordering; one row per predicate, so the size follows the vocabulary and not the data."""
-    rows = as_quads(graph).groupBy("p").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(10_000).collect()
-    return {r["p"]: r["n"] for r in rows}
+def predicate_counts(graph, triples: Sequence[Sequence]) -> dict[str, int]:
+    """Counts for ordering the joins of ``triples``: of their constant predicates, so as many rows as patterns at most."""
+    wanted = sorted({t[1] for t in triples if isinstance(t[1], str) and not is_var(t[1])})
+    found = as_quads(graph, wanted).groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect() if wanted else []
+    return dict.fromkeys(wanted, 0) | {r["p"]: r["n"] for r in found}

@@ -88,24 +88,26 @@ def _row_scan(table: TableMap, group: Sequence[Sequence]) -> DataFrame:
 
 
 def star(graph, subject: str, predicates: Mapping[str, tuple[str, str | None]]) -> DataFrame:
-    """Several single-valued predicates of one subject in one pass: one shuffle instead of one per predicate.
+    """Several predicates of one subject in one pass: one shuffle instead of one per predicate.
 
-    ``predicates`` maps a predicate to ``(variable, as_type)``.  Subjects lacking a predicate drop out, as in a join.
+    ``predicates`` maps a predicate to ``(variable, as_type)``.  Subjects lacking a predicate drop out and several values
+    give several rows, as in a join.  The values of one subject are gathered in one row before they are combined.
     """
     if isinstance(graph, MappedGraph):
         owners = [t for t in graph.tables if any(p in t.columns() for p in predicates)]
         if len(owners) == 1 and all(p in owners[0].columns() for p in predicates):
             return _row_star(owners[0], subject, predicates)
     quads = as_quads(graph, list(predicates))
-    cells = []
+    cells, names = [], []
     for predicate, (name, as_type) in predicates.items():
         value = typed(F.col("o_term"), as_type) if as_type else F.col("o")
-        cells.append(F.max(F.when(F.col("p") == predicate, value)).alias(name.lstrip("?")))
-    has_all = [F.max(F.col("p") == p) for p in predicates]
-    grouped = quads.groupBy(F.col("s").alias(subject.lstrip("?"))).agg(
-        *cells, F.array(*has_all).alias("__has")
-    )
-    return grouped.where(F.forall("__has", lambda x: x)).drop("__has")
+        # A value that has not the type is unbound but there, so it is wrapped.
+        cells.append(F.collect_list(F.when(F.col("p") == predicate, F.struct(value.alias("v")))).alias(name.lstrip("?")))
+        names.append(name.lstrip("?"))
+    rows = quads.groupBy(F.col("s").alias(subject.lstrip("?"))).agg(*cells)
+    for name in names:
+        rows = rows.withColumn(name, F.explode(name))
+    return rows.select(subject.lstrip("?"), *[F.col(f"{n}.v").alias(n) for n in names])
 
 
 def _row_star(table: TableMap, subject: str, predicates: Mapping[str, tuple[str, str | None]]) -> DataFrame:

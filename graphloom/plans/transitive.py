@@ -8,7 +8,7 @@ from graphloom.session import Rounds
 
 
 def reach(edges: DataFrame, low: int = 1, high: int | None = None, seeds: DataFrame | None = None,
-          targets: DataFrame | None = None, nodes: DataFrame | None = None, max_rounds: int = 100_000) -> DataFrame:
+          targets: DataFrame | None = None, nodes: DataFrame | None = None) -> DataFrame:
     """Pairs ``(start, end)`` with a walk of length in [low, high]; ``high=None`` is unbounded.
 
     ``seeds(start)`` or ``targets(end)`` bind a side: the search begins there.  With ``low=0`` every node of ``nodes``
@@ -22,13 +22,13 @@ def reach(edges: DataFrame, low: int = 1, high: int | None = None, seeds: DataFr
     if low == 0 and nodes is None:
         raise ValueError("zero-length paths need the nodes of the graph")
     if seeds is None and targets is not None:
-        flipped = reach(_flip(edges), low, high, targets.select(F.col("end").alias("start")), None, nodes, max_rounds)
+        flipped = reach(_flip(edges), low, high, targets.select(F.col("end").alias("start")), None, nodes)
         return _flip(flipped)
     spark = edges.sparkSession
     steps = Rounds(spark, "edges").add(edges.select("start", "end").where(
         "start is not null and end is not null").dropDuplicates())[0]
     steps = steps.select(F.col("start").alias("__from"), F.col("end").alias("__to"))
-    found = _walks(spark, steps, max(low, 1), high, seeds, max_rounds) if high != 0 else None
+    found = _walks(spark, steps, max(low, 1), high, seeds) if high != 0 else None
     if low == 0:
         loops = nodes if seeds is None else nodes.join(
             seeds.select(F.col("start").alias("node")).dropDuplicates(), "node", "left_semi")
@@ -50,7 +50,7 @@ def _extend(frontier: DataFrame, steps: DataFrame) -> DataFrame:
     )
 
 
-def _walks(spark, steps: DataFrame, low: int, high: int | None, seeds, max_rounds: int) -> DataFrame:
+def _walks(spark, steps: DataFrame, low: int, high: int | None, seeds) -> DataFrame:
     first = steps.select(F.col("__from").alias("start"), F.col("__to").alias("end"))
     if seeds is not None:
         first = first.join(seeds.select("start").dropDuplicates(), "start", "left_semi")
@@ -65,8 +65,6 @@ def _walks(spark, steps: DataFrame, low: int, high: int | None, seeds, max_round
         frontier, size = rounds.add(frontier)
     length = low
     while size and (high is None or length < high):
-        if length - low >= max_rounds:
-            raise RuntimeError(f"no fixed point after {max_rounds} rounds")
         new = _extend(frontier, steps).join(rounds.all(), ["start", "end"], "left_anti")
         frontier, size = rounds.add(new)
         length += 1

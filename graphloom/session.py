@@ -65,16 +65,6 @@ def task_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table over all cores if its files give fewer tasks than there are cores.
-
-    Meant for expensive work per row on tables of a few files.  A large table has more tasks than cores and is
-    returned as it is, so no shuffle is added there.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)
-
-
 class Rounds:
     """Written rounds of an iterative operator.
 

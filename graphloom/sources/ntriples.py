@@ -38,6 +38,7 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.text(path if isinstance(path, str) else list(path)).select("value")
 
 
+# Splits a matched line into its parts.  A line that holds it itself is taken apart group by group instead.
 _MARK = "\x01"
 
 
@@ -48,6 +49,8 @@ def parse_lines(lines: DataFrame, default_graph: str = DEFAULT_GRAPH, blank_pref
     """
     rows = lines.where(~F.col("value").rlike(r"^\s*(#.*)?$"))
     parts = F.split(F.regexp_replace("value", _LINE, f"$1{_MARK}$2{_MARK}$3{_MARK}$6"), _MARK)
+    groups = F.when(F.col("value").rlike(_LINE), F.array(*[F.regexp_extract("value", _LINE, n) for n in (1, 2, 3, 6)]))
+    parts = F.when(F.col("value").contains(_MARK), F.coalesce(groups, F.array("value"))).otherwise(parts)
     split = rows.select("value", F.inline(F.array(terms.let(parts, lambda m: F.struct(
         F.get(m, F.lit(0)).alias("s"), F.get(m, F.lit(1)).alias("p"), F.get(m, F.lit(2)).alias("o"),
         F.get(m, F.lit(3)).alias("g"), F.size(m).alias("n"))))))
@@ -74,7 +77,7 @@ def _problem() -> Column:
     unescaped_quote = (n_quotes > 2) & F.regexp_replace(inner, r"(?s)\\.", "").contains('"')
     return (
         F.when((F.col("n") != 4) & F.col("value").rlike(r"^\s*<<|>\s*<<"), F.lit("RDF* is not supported"))
-        .when((F.col("n") != 4) | F.col("value").contains(_MARK), F.lit("not a valid statement"))
+        .when(F.col("n") != 4, F.lit("not a valid statement"))
         .when(unescaped_quote, F.lit("not a valid literal"))
     )
 
