@@ -56,3 +56,22 @@ def partition_sums(rows: DataFrame, part, width: int) -> list:
 
     kind = "key int, row int, v array<double>"
     return rows.mapInArrow(run, kind).groupBy("key", "row").applyInArrow(add, kind).collect()
+
+
+def cell_runs(batches, columns: list[str]):
+    """Runs of rows with equal ``cell`` (of a table sorted by it) as lists by column, across batch borders.
+
+    For cells of bounded size only: a run is held whole.
+    """
+    held: dict[str, list] = {c: [] for c in columns}
+    for batch in batches:
+        for c in columns:
+            held[c].extend(batch.column(c).to_pylist())
+        cell = np.array(held["cell"], np.int64)
+        cuts = np.flatnonzero(np.diff(cell)) + 1
+        for a, b in zip([0, *cuts[:-1]], cuts):
+            yield {c: v[a:b] for c, v in held.items()}
+        if len(cuts):
+            held = {c: v[cuts[-1]:] for c, v in held.items()}
+    if held["cell"]:
+        yield held

@@ -1,8 +1,9 @@
 """Near-duplicate documents: universal hash minima, banding, signature and full-set verification, connected components.
 
 Documents with equal shingle sets are one class from the start.  Classes that share a band are candidates, but the pairs of a
-band's bucket are never all written out: every class is compared with the bucket's smallest class first, and only what that
-leaves in different components is compared further.  Each comparison is made on signatures and then on full sets.
+band's bucket are never written out.  Every class is compared with the smallest class of each of its buckets, on signatures and
+then on full sets.  What that leaves in different components of one bucket is compared block by block, again first on
+signatures, which gives families, and within families on full sets; tasks write what joins components, not pairs.
 """
 
 from __future__ import annotations
@@ -14,13 +15,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from graphloom.llm.common import table, utf8
+from graphloom.llm.common import cell_runs, table, utf8
 from graphloom.llm.components import connected_components
 from graphloom.session import cut_lineage, ship
 
 #: Hash minima per document, about; the chance that a pair just at the threshold shares no band; standard errors that a
-#: signature's estimate may fall short; classes of a mixed bucket that are compared at once.
-MINIMA, MISS, ERRORS, BLOCK = 196, 1e-4, 5.0, 512
+#: signature's estimate may fall short; classes that are compared with as many others at once, by signature and by set.
+MINIMA, MISS, ERRORS, BLOCK, SET_BLOCK = 196, 1e-4, 5.0, 512, 128
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -98,48 +99,58 @@ def signatures(docs: DataFrame, width: int, percent: int, seed: int = 0) -> Data
 
 
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """id, items: full shingle sets of the texts with these ids."""
+    """id, items: full shingle sets (sorted 64-bit hashes as bytes) of the texts with these ids.
+
+    The texts are dealt by id once, at any size: the ids grow with the table, so they are not for broadcasting.
+    """
 
     def run(batches):
         for batch in batches:
-            items = [shingles(t, width).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(items, pa.list_(pa.int64()))], ["id", "items"])
+            items = [shingles(t, width).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(items, pa.binary())], ["id", "items"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    chosen = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
-    return chosen.select("doc_id", utf8(F.col("text")).alias("text")).mapInArrow(run, f"id {kind}, items array<long>")
+    chosen = docs.select("doc_id", "text").join(ids.hint("merge"), F.col("doc_id") == F.col("id"), "left_semi")
+    return chosen.select("doc_id", utf8(F.col("text")).alias("text")).mapInArrow(run, f"id {kind}, items binary")
 
 
-def _alike(percent: int, size: int):
-    """Do two signatures leave room for the threshold?"""
+def _least(percent: int, size: int) -> float:
+    """Equal minima below which two signatures leave no room for the threshold."""
     t = percent / 100
-    least = (t - ERRORS * math.sqrt(t * (1 - t) / size)) * size
+    return (t - ERRORS * math.sqrt(t * (1 - t) / size)) * size
+
 
-    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, size: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs (u, v) whose full sets reach the threshold, and the sets read for that; both written."""
+    least = _least(percent, size)
+
+    def alike(x: pd.Series, y: pd.Series) -> pd.Series:
         if not len(x):
             return pd.Series([], dtype=bool)
         a, b = (np.frombuffer(b"".join(s), "<u2").reshape(len(s), -1) for s in (x, y))
         return pd.Series((a == b).sum(axis=1) >= least)
 
-    return F.pandas_udf(run, "boolean"), least
-
+    def enough(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = []
+        for a, b in zip(x, y):
+            a, b = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            out.append(100 * both >= percent * (len(a) + len(b) - both))
+        return pd.Series(out, dtype=bool)
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, size: int) -> DataFrame:
-    """The pairs (u, v) whose full sets reach the threshold, written."""
-    alike, _ = _alike(percent, size)
     facts = classes.select("id", "n", "sig")
     near = (pairs.join(facts.select(F.col("id").alias("u"), F.col("n").alias("n_u"), F.col("sig").alias("sig_u")), "u")
             .join(facts.select(F.col("id").alias("v"), F.col("n").alias("n_v"), F.col("sig").alias("sig_v")), "v")
             .where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
-            .where(alike("sig_u", "sig_v")).select("u", "v"))
+            .where(F.pandas_udf(alike, "boolean")("sig_u", "sig_v")).select("u", "v"))
     near = cut_lineage(near, "near")
+    # Pairs of a class with each of its centres: at most one per band.
     ids = near.select(F.explode(F.array("u", "v")).alias("id")).distinct()
     sets = cut_lineage(_sets(docs, ids, width), "sets")
-    both = F.size(F.array_intersect("items_u", "items_v"))
     met = (near.join(sets.select(F.col("id").alias("u"), F.col("items").alias("items_u")), "u")
            .join(sets.select(F.col("id").alias("v"), F.col("items").alias("items_v")), "v")
-           .where(100 * both >= percent * (F.size("items_u") + F.size("items_v") - both)))
-    return cut_lineage(met.select("u", "v"), "links")
+           .where(F.pandas_udf(enough, "boolean")("items_u", "items_v")))
+    return cut_lineage(met.select("u", "v"), "links"), sets
 
 
 def _named(rows: DataFrame, components: DataFrame, column: str, name: str) -> DataFrame:
@@ -166,22 +177,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, seed: in
     centres = buckets.groupBy("key").agg(F.min("id").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "v")
     shared = cut_lineage(buckets.join(centres, "key").select("key", F.col("id").alias("u"), "v"), "shared")
 
-    # First the centre with which a class shares most bands, then the other centres it is not yet connected with.
-    stars = shared.where("u <> v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"))
-    first = stars.groupBy("u").agg(F.max_by("v", F.struct("n", -F.col("v"))).alias("v"))
-    links = _verified(first, classes, docs, width, percent, size)
-    known = connected_components(links)
-    rest = _named(_named(stars.select("u", "v"), known, "u", "cu"), known, "v", "cv").where("cu <> cv")
-    links = links.unionByName(_verified(rest.select("u", "v"), classes, docs, width, percent, size))
+    stars = shared.where("u <> v").select("u", "v").distinct()
+    links, sets = _verified(stars, classes, docs, width, percent, size)
     known = connected_components(links)
 
     # Then all other pairs of a bucket that are still apart.
     apart = _named(shared.select("key", "u"), known, "u", "c")
     mixed = apart.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
     apart = cut_lineage(apart.join(mixed, "key"), "apart")
-    others = _apart(apart, classes, percent, size)
-    links = links.unionByName(_verified(others, classes, docs, width, percent, size))
-    known = connected_components(links)
+    family = connected_components(_families(apart, classes, percent, size))
+    members = cut_lineage(_named(family.select(F.col("component").alias("key"), F.col("node").alias("u")), known, "u", "c"), "members")
+    more = members.select(F.col("u").alias("id")).join(sets.select("id"), "id", "left_anti")
+    sets = sets.unionByName(cut_lineage(_sets(docs, more, width), "sets"))
+    known = connected_components(links.unionByName(_joined(members, sets, percent)))
 
     out = told.select("doc_id", F.col("n").alias("n_shingles"), "mark").join(groups, "mark", "left")
     out = _named(out, known, "id", "component_id").withColumn("component_id", F.coalesce("component_id", "doc_id"))
@@ -197,42 +205,103 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, see
     return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
-def _apart(apart: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
-    """Pairs of classes that share a bucket, lie in different components and are alike by signature.
-
-    In a bucket, the classes outside its largest component are compared with all others, block by block.  A pair comes
-    from the first band it shares only.
-    """
-    _, least = _alike(percent, size)
-    counts = apart.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy("key").agg(F.sum("n").alias("all"), F.max_by("c", F.struct("n", "c")).alias("main"), F.max("n").alias("most"))
-    rows = (apart.join(sizes, "key").join(classes.select(F.col("id").alias("u"), "sig", "keys"), "u")
-            .withColumn("minor", F.col("c") != F.col("main"))
-            .withColumn("across", F.ceil(F.col("all") / BLOCK)).withColumn("down", F.ceil((F.col("all") - F.col("most")) / BLOCK)))
+def _cells(rows: DataFrame, block: int) -> DataFrame:
+    """Rows (key, u, c, ...) dealt to cells that compare a block of the key's minor rows, those outside its largest
+    component, with a block of all its rows.  ``side`` 1 is the minor block, ``minor`` tells minor rows on both sides."""
+    counts = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "c")).alias("top"))
+    rows = (rows.join(sizes, "key").withColumn("minor", F.col("c") != F.col("top.c"))
+            .withColumn("across", F.ceil(F.col("all") / block)).withColumn("down", F.ceil((F.col("all") - F.col("top.n")) / block)))
     at = lambda n, s: F.pmod(F.xxhash64("u", F.lit(s)), F.col(n))
     every = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    # Without minor rows there is nothing to compare.
+    rows = rows.where("down > 0")
     one = rows.withColumn("x", at("across", 0)).withColumn("y", F.explode(every("down"))).withColumn("side", F.lit(0))
     two = rows.where("minor").withColumn("y", at("down", 1)).withColumn("x", F.explode(every("across"))).withColumn("side", F.lit(1))
+    cells = one.unionByName(two).withColumn("cell", F.xxhash64("key", "x", "y"))
+    return cells.drop("key", "all", "top", "across", "down", "x", "y")
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        left, right = group[group.side == 1], group[group.side == 0]
-        sig = lambda g: np.frombuffer(b"".join(g.sig), "<u2").reshape(len(g), -1)
-        keys = lambda g: np.stack(g["keys"].to_numpy())
-        found = []
-        if len(left) and len(right):
-            s, k, ids, comp, minor = sig(right), keys(right), right.u.to_numpy(), right.c.to_numpy(), right.minor.to_numpy()
-            key = group["key"].iloc[0]
-            for u, c, own, bands in zip(left.u, left.c, sig(left), left["keys"]):
-                # Two minor classes meet twice; the larger id speaks for both.
-                hit = (comp != c) & ((ids < u) | ~minor)
-                hit[hit] = (s[hit] == own).sum(axis=1) >= least
-                hit[hit] = bands[(k[hit] == bands).argmax(axis=1)] == key
-                found.append(pd.DataFrame({"u": u, "v": ids[hit]}))
-        return pd.concat(found) if found else pd.DataFrame({"u": [], "v": []})
-
-    kind = next(t for c, t in apart.dtypes if c == "u")
-    return (one.unionByName(two).select("key", "x", "y", "side", "u", "c", "minor", "sig", "keys")
-            .groupBy("key", "x", "y").applyInPandas(compare, f"u {kind}, v {kind}"))
+
+def _families(apart: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
+    """Edges (u, v) that connect all classes which share a bucket, lie in different components and are alike by signature."""
+    least = _least(percent, size)
+    cells = _cells(apart, BLOCK).join(classes.select(F.col("id").alias("u"), "sig"), "u")
+
+    def run(batches):
+        for group in cell_runs(batches, ["cell", "u", "c", "side", "sig"]):
+            side, comp = np.array(group["side"]), np.array(group["c"])
+            left, right = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+            if not len(left) or not len(right):
+                continue
+            sig = np.frombuffer(b"".join(group["sig"]), "<u2").reshape(len(side), -1)
+            links = {}
+            # A row stands on both sides of some cells; its two places are one.
+            root = {u: u for u in group["u"]}
+            others = sig[right]
+            for i in left:
+                hits = right[((others == sig[i]).sum(axis=1) >= least) & (comp[right] != comp[i])]
+                for j in hits:
+                    a, b = _root(root, group["u"][i]), _root(root, group["u"][j])
+                    if a != b:
+                        root[max(a, b)] = min(a, b)
+                        links[max(a, b)] = min(a, b)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(list(links)), pa.array(list(links.values()))], ["u", "v"])
+
+    kind = dict(apart.dtypes)["u"]
+    return cells.repartition("cell").sortWithinPartitions("cell", "u").mapInArrow(run, f"u {kind}, v {kind}")
+
+
+def _root(root: dict, x):
+    while root[x] != x:
+        root[x] = root[root[x]]
+        x = root[x]
+    return x
+
+
+def _shared_items(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by products of incidence matrices a few thousand items at a time."""
+    names, at = np.unique(np.concatenate(left + right), return_inverse=True)
+    row = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in left + right])
+    order = np.argsort(at, kind="stable")
+    at, row = at[order], row[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, len(names), 8192):
+        a, b = np.searchsorted(at, [first, first + 8192])
+        part = np.zeros((len(left) + len(right), 8192), np.float32)
+        part[row[a:b], at[a:b] - first] = 1
+        out += part[: len(left)] @ part[len(left):].T
+    return out
+
+
+def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between classes of one family, enough to join all components that any link joins."""
+    cells = _cells(members, SET_BLOCK).join(sets.select(F.col("id").alias("u"), "items"), "u")
+
+    def run(batches):
+        for group in cell_runs(batches, ["cell", "u", "c", "side", "items"]):
+            side, comp, ids = np.array(group["side"]), group["c"], group["u"]
+            left, right = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+            if not len(left) or not len(right):
+                continue
+            items = [np.frombuffer(x, "<u8") for x in group["items"]]
+            both = _shared_items([items[i] for i in left], [items[j] for j in right])
+            sizes = np.array([len(x) for x in items])
+            # Sums of ones up to a text's length are exact in single precision.
+            union = sizes[left][:, None] + sizes[right][None, :] - both
+            names = np.array(comp)
+            linked = (100 * both.astype(np.int64) >= percent * union.astype(np.int64)) & (names[left][:, None] != names[right][None, :])
+            root, links = {c: c for c in comp}, []
+            for i, j in zip(*np.nonzero(linked)):
+                a, b = _root(root, comp[left[i]]), _root(root, comp[right[j]])
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    links.append((ids[left[i]], ids[right[j]]))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*links)], ["u", "v"])
+
+    kind = dict(members.dtypes)["u"]
+    return cut_lineage(cells.repartition("cell").sortWithinPartitions("cell", "u").mapInArrow(run, f"u {kind}, v {kind}"), "joined")
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from graphloom.llm.common import table
+from graphloom.llm.common import cell_runs, table
 from graphloom.llm.components import connected_components
 from graphloom.session import cut_lineage, ship
 
@@ -100,22 +100,6 @@ def _postings(classes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     return rows.withColumn("key", F.explode("keys")).drop("keys")
 
 
-def _runs(batches, columns: list[str]):
-    """Consecutive rows of one cell, as lists, across batch borders; a cell has at most two blocks."""
-    held: dict[str, list] = {c: [] for c in columns}
-    for batch in batches:
-        for c in columns:
-            held[c].extend(batch.column(c).to_pylist())
-        cell = np.array(held["cell"], np.int64)
-        cuts = np.flatnonzero(np.diff(cell)) + 1
-        for a, b in zip([0, *cuts[:-1]], cuts):
-            yield {c: v[a:b] for c, v in held.items()}
-        if len(cuts):
-            held = {c: v[cuts[-1]:] for c, v in held.items()}
-    if held["cell"]:
-        yield held
-
-
 def _compare(rows: dict, least: float) -> tuple[np.ndarray, np.ndarray] | None:
     """Links counted for each row of a cell and the row that leads its linked group."""
     if len(set(rows["side"])) == 1 and rows["both"][0]:
@@ -170,7 +154,7 @@ def linked_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
                        F.xxhash64("label", "key", "size", F.least("x", "y"), F.greatest("x", "y")).alias("cell"))
 
     def run(batches):
-        for group in _runs(batches, ["cell", "id", "label", "n", "raw", "near", "key", "both", "side"]):
+        for group in cell_runs(batches, ["cell", "id", "label", "n", "raw", "near", "key", "both", "side"]):
             found = _compare(group, least)
             if found is not None:
                 links, lead = found

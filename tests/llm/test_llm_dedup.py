@@ -93,6 +93,7 @@ def test_near_duplicates(spark, near_texts, width, percent):
 
 def test_mixed_bucket_blocks(spark, near_texts, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 3)
+    monkeypatch.setattr(minhash, "SET_BLOCK", 2)
     rows = [(i, t, "en", None, "clash", 0) for i, t in near_texts.items()]
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, DOCS), 3, 85).collect()}
     assert got == brute(near_texts, 3, 85)[1]
