@@ -11,10 +11,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from graphloom.functions import geo
-from graphloom.session import Rounds, task_count
+from graphloom.session import Rounds, ship, task_count
 
 GEO_INFO_DDL = (
     "struct<kind:string,n_parts:int,centroid:struct<lng:double,lat:double>,"
@@ -250,9 +250,13 @@ def spatial_join(left: DataFrame, right: DataFrame, predicate: str, left_id: str
         raise ValueError(f"predicate must be one of {PREDICATES}")
     if (predicate == "within-dist") != (metres is not None):
         raise ValueError("within-dist, and only it, takes a distance")
+    ship(left.sparkSession)
     grow = 0.0 if metres is None else metres
     a, b = _boxes(left, left_id, left_wkt, "a", grow), _boxes(right, right_id, right_wkt, "b", 0.0)
     pairs = _box_pairs(a, b, predicate)
+    if metres is not None:
+        # Both parts of a box may meet a wide one.
+        pairs = pairs.distinct()
     geoms_a = left.select(F.col(left_id).alias("a_id"), F.col(left_wkt).alias("a_wkt"))
     geoms_b = right.select(F.col(right_id).alias("b_id"), F.col(right_wkt).alias("b_wkt"))
     full = pairs.join(geoms_a, "a_id").join(geoms_b, "b_id")
@@ -267,10 +271,21 @@ def _boxes(df: DataFrame, id_: str, wkt: str, side: str, metres: float) -> DataF
     # ``inline`` keeps the optimizer from repeating the parse for each of the four numbers.
     rows = df.select(F.col(id_).alias(f"{side}_id"), F.inline(F.array(geo.bounding_box(wkt)))).where("minx is not null")
     up = math.degrees(metres / (1000 * geo.EARTH_RADIUS_KM)) * (1 + 1e-9)
-    lat = F.least(F.greatest(F.abs("miny"), F.abs("maxy")) + up, F.lit(89.9))
-    aside = F.lit(up) / F.cos(F.radians(lat)) if metres else F.lit(0.0)
-    rows = rows.select(f"{side}_id", (F.col("minx") - aside).alias(f"{side}_x0"), (F.col("miny") - up).alias(f"{side}_y0"),
-                       (F.col("maxx") + aside).alias(f"{side}_x1"), (F.col("maxy") + up).alias(f"{side}_y1"))
+    lat = F.greatest(F.abs("miny"), F.abs("maxy")) + up
+    rows = rows.withColumn("miny", F.col("miny") - up).withColumn("maxy", F.col("maxy") + up)
+    if metres:
+        # The circle around a point bulges: its widest meridian is reached off its centre's parallel.
+        aside = F.degrees(F.asin(F.least(F.sin(F.radians(F.lit(up))) / F.cos(F.radians(lat)), F.lit(1.0)))) * (1 + 1e-9)
+        x0, x1 = F.col("minx") - aside, F.col("maxx") + aside
+        box = lambda a, b: F.struct(F.greatest(a, F.lit(-180.0)).alias("minx"), F.least(b, F.lit(180.0)).alias("maxx"))
+        # A box that reaches a pole reaches all meridians; one that crosses the date line has a second part behind it.
+        around = (lat >= 90) | (x1 - x0 >= 360)
+        parts = F.when(around, F.array(box(F.lit(-180.0), F.lit(180.0)))).otherwise(F.filter(F.array(
+            box(x0, x1), F.when(x0 < -180, box(x0 + 360, F.lit(180.0))), F.when(x1 > 180, box(F.lit(-180.0), x1 - 360))),
+            lambda part: part.isNotNull()))
+        rows = rows.select(f"{side}_id", "miny", "maxy", F.inline(parts))
+    rows = rows.select(f"{side}_id", F.col("minx").alias(f"{side}_x0"), F.col("miny").alias(f"{side}_y0"),
+                       F.col("maxx").alias(f"{side}_x1"), F.col("maxy").alias(f"{side}_y1"))
     extent = F.greatest(F.col(f"{side}_x1") - F.col(f"{side}_x0"), F.col(f"{side}_y1") - F.col(f"{side}_y0"))
     level = F.when(extent <= 360.0 / (1 << _MAX_LEVEL), _MAX_LEVEL).otherwise(
         F.greatest(F.floor(F.log2(360.0 / extent)), F.lit(0)))
@@ -354,6 +369,7 @@ def enrich_geometry(df: DataFrame, wkt: str, info: str = "geo_info") -> DataFram
         # Object columns: Arrow then sees plain values and None.
         return pd.DataFrame({n: pd.Series([m.get(n) for m in found], dtype=object) for n in names})
 
+    ship(df.sparkSession)
     m = F.col("__m")
     built = F.when(m["kind"].isNotNull(), F.struct(
         m["kind"].alias("kind"), m["n_parts"].alias("n_parts"),
@@ -376,6 +392,7 @@ def geometry_n(wkt, n: int) -> Column:
 
         return texts.map(one)
 
+    ship(SparkSession.active())
     return pick(wkt)
 
 
@@ -394,4 +411,5 @@ def simplify_geometry(wkt, tolerance: float) -> Column:
 
         return texts.map(one)
 
+    ship(SparkSession.active())
     return reduce_(wkt)

@@ -117,28 +117,31 @@ def graph_replace(base: DataFrame, graph: str, triples: DataFrame) -> DataFrame:
 
 
 def latest(changes: DataFrame) -> DataFrame:
-    """The last operation per quad of a change log ``(op, s, p, o, g, seq)``."""
-    return changes.groupBy(KEY).agg(F.max_by("op", "seq").alias("op"))
+    """The last operation per quad of a change log ``(op, s, p, o, g, seq)``, by batch (``at``, if given) and ``seq``."""
+    order = F.struct("at", "seq") if "at" in changes.columns else F.col("seq")
+    return changes.groupBy(KEY).agg(F.max_by("op", order).alias("op"))
 
 
 def merge_changes(base: DataFrame, changes: DataFrame) -> DataFrame:
-    """State after a change log; only the log is grouped, the base is never shuffled for it."""
+    """State after a change log; only the log is grouped, and the base meets it once."""
+    columns = [*KEY[:3], "o_term", "g"]
     last = latest(changes)
-    return apply_update(base, last.where("op = 'insert'").select(KEY), last.where("op = 'delete'").select(KEY))
+    kept = base.join(last.select(KEY), KEY, "left_anti").select(columns)
+    return kept.unionByName(with_terms(last.where("op = 'insert'").select(KEY)).select(columns))
 
 
 def diff(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(inserted, deleted)`` between two states."""
-    return (new.join(old.select(KEY), KEY, "left_anti").select(KEY),
-            old.join(new.select(KEY), KEY, "left_anti").select(KEY))
+    both = (old.select(KEY).withColumn("side", F.lit(1)).unionByName(new.select(KEY).withColumn("side", F.lit(2)))
+            .groupBy(KEY).agg(F.bit_or("side").alias("sides")))
+    return both.where("sides = 2").select(KEY), both.where("sides = 1").select(KEY)
 
 
 def effective(base: DataFrame, changes: DataFrame) -> DataFrame:
     """The last operations that change the base: no inserts of present quads, no deletes of absent ones."""
     last = latest(changes)
-    new = last.where("op = 'insert'").join(base.select(KEY), KEY, "left_anti")
-    gone = last.where("op = 'delete'").join(base.select(KEY), KEY, "left_semi")
-    return new.unionByName(gone)
+    held = base.select(*KEY, F.lit(True).alias("__held"))
+    return last.join(held, KEY, "left").where((F.col("op") == "insert") == F.col("__held").isNull()).select(*KEY, "op")
 
 
 def delta_statistics(base: DataFrame, changes: DataFrame) -> DataFrame:

@@ -1,16 +1,19 @@
 """A versioned quad set on a shared file system: a base, a change log, and a mark per published version.
 
-Layout: ``base-<n>/`` Parquet, ``delta-<n>/batch=<id>/`` change log since that base, ``VERSION-<n>`` once that base is
-complete.  Writers add whole folders and publish a version by one rename to a new name, so readers never see half a
-change.  There is one writer at a time.
+Layout: ``base-<n>/`` Parquet, ``delta-<n>/at=<k>/batch=<id>/`` change log since that base, ``folded/<id>`` for each batch
+that a base holds, ``VERSION-<n>`` once that base is complete.  Writers add whole folders and publish a version by one
+rename to a new name, so readers never see half a change.  Batches count in the order in which they were first logged
+(``at``), and within a batch ``seq`` orders the changes of a quad; updates and feeds share that order.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from graphloom.operators import updates as up
-from graphloom.sources.store import PREDICATE_BUCKET, read_quads, write_quads
+from graphloom.sources.store import PREDICATE_BUCKET, predicate_bucket, read_quads, write_quads
 
 CHANGES_DDL = "op string, s string, p string, o string, g string, seq bigint"
 
@@ -50,18 +53,44 @@ class QuadStore:
 
     # --- reading ----------------------------------------------------------------------------------------------------
 
-    def base(self) -> DataFrame:
-        return read_quads(self.spark, f"{self.path}/base-{self.version()}")
+    def base(self, *predicates: str) -> DataFrame:
+        return self.state(self.version(), *predicates)
+
+    def state(self, version: int, *predicates: str) -> DataFrame:
+        """The base of a version.  Constant predicates open their own folders only."""
+        quads = read_quads(self.spark, f"{self.path}/base-{version}")
+        if predicates:
+            buckets = sorted({predicate_bucket(p) for p in predicates})
+            quads = quads.where(F.col(PREDICATE_BUCKET).isin(buckets) & F.col("p").isin(*predicates))
+        return quads.drop(PREDICATE_BUCKET)
+
+    def _names(self, pattern: str) -> list[str]:
+        return [f.getPath().toString() for f in self._fs.globStatus(self._Path(f"{self.path}/{pattern}")) or []]
+
+    def _batches(self, version: int) -> dict[str, int]:
+        """Logged batches of a version and their places in the order."""
+        found = [p.rsplit("/", 2)[1:] for p in self._names(f"delta-{version}/at=*/batch=*")]
+        return {batch.split("=", 1)[1]: int(at.split("=", 1)[1]) for at, batch in found}
+
+    def _logged(self, version: int, batches: dict[str, int]) -> DataFrame:
+        base, ddl = f"{self.path}/delta-{version}", CHANGES_DDL + ", at bigint"
+        if not batches:
+            return self.spark.createDataFrame([], ddl)
+        folders = [f"{base}/at={at}/batch={batch}" for batch, at in batches.items()]
+        return self.spark.read.schema(ddl).option("basePath", base).parquet(*folders).select(*[c.split()[0] for c in ddl.split(", ")])
 
     def changes(self) -> DataFrame:
-        name = f"delta-{self.version()}"
-        if not self._exists(name):
-            return self.spark.createDataFrame([], CHANGES_DDL)
-        return self.spark.read.schema(CHANGES_DDL).parquet(f"{self.path}/{name}")
+        version = self.version()
+        return self._logged(version, self._batches(version))
 
-    def current(self) -> DataFrame:
-        base = self.base().drop(PREDICATE_BUCKET)
-        return up.merge_changes(base, self.changes()) if self._exists(f"delta-{self.version()}") else base
+    def current(self, *predicates: str) -> DataFrame:
+        """The state after all logged changes, of some predicates or of all."""
+        version = self.version()
+        base, batches = self.state(version, *predicates), self._batches(version)
+        if not batches:
+            return base
+        changes = self._logged(version, batches)
+        return up.merge_changes(base, changes.where(F.col("p").isin(*predicates)) if predicates else changes)
 
     def statistics(self) -> DataFrame:
         return up.delta_statistics(self.base(), self.changes())
@@ -69,35 +98,50 @@ class QuadStore:
     # --- writing ----------------------------------------------------------------------------------------------------
 
     def log(self, changes: DataFrame, batch: str) -> None:
-        """Add one batch of changes.  Writing the same batch again replaces it, so a repeated batch counts once."""
+        """Add one batch of changes.  A repeated batch replaces itself, or does nothing once a base holds it."""
+        version = self.version()
+        if self._exists(f"folded/{batch}"):
+            return
+        known = self._batches(version)
+        at = known.get(batch, max(known.values(), default=-1) + 1)
         columns = [F.col(c.split()[0]) for c in CHANGES_DDL.split(", ")]
-        changes.select(*columns).write.mode("overwrite").parquet(f"{self.path}/delta-{self.version()}/batch={batch}")
-
-    def _next_seq(self) -> int:
-        top = self.changes().agg(F.max("seq").alias("m")).first()["m"]
-        return 0 if top is None else top + 1
+        changes.select(*columns).write.mode("overwrite").parquet(f"{self.path}/delta-{version}/at={at}/batch={batch}")
+        if self.version() != version:
+            # A compaction came in between and may not have seen this batch.
+            self._carry_over(version)
 
     def update(self, inserts: DataFrame | None = None, deletes: DataFrame | None = None) -> None:
         """Log one update; a quad in both sets ends up inserted."""
-        seq = self._next_seq()
         parts = []
-        if deletes is not None:
-            parts.append(deletes.select(F.lit("delete").alias("op"), *up.KEY, F.lit(2 * seq).cast("bigint").alias("seq")))
-        if inserts is not None:
-            parts.append(inserts.select(F.lit("insert").alias("op"), *up.KEY, F.lit(2 * seq + 1).cast("bigint").alias("seq")))
+        for seq, op, quads in ((0, "delete", deletes), (1, "insert", inserts)):
+            if quads is not None:
+                parts.append(quads.select(F.lit(op).alias("op"), *up.KEY, F.lit(seq).cast("bigint").alias("seq")))
         if parts:
-            self.log(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]), f"u{seq}")
+            self.log(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]), f"u{uuid.uuid4().hex}")
 
     def compact(self) -> int:
-        """Fold the change log into a new base version; the old one stays readable until it is removed."""
+        """Fold the batches logged so far into a new base version; the old one stays readable until it is removed.
+
+        Batches logged meanwhile move on to the new version's log.
+        """
         version = self.version()
-        write_quads(self.current(), f"{self.path}/base-{version + 1}", mode="overwrite")
+        batches = self._batches(version)
+        folded = up.merge_changes(self.state(version), self._logged(version, batches)) if batches else self.state(version)
+        write_quads(folded, f"{self.path}/base-{version + 1}", mode="overwrite")
+        for batch in batches:
+            self._fs.create(self._Path(f"{self.path}/folded/{batch}"), True).close()
         self._publish(version + 1)
+        self._carry_over(version)
         return version + 1
 
-    def state(self, version: int) -> DataFrame:
-        """The base of an earlier version."""
-        return read_quads(self.spark, f"{self.path}/base-{version}").drop(PREDICATE_BUCKET)
+    def _carry_over(self, version: int) -> None:
+        """Move batches that no base holds from an older version's log to the newest one's."""
+        newest = self.version()
+        for batch, at in self._batches(version).items():
+            if not self._exists(f"folded/{batch}"):
+                folder = f"{self.path}/delta-{newest}/at={at}"
+                self._fs.mkdirs(self._Path(folder))
+                self._fs.rename(self._Path(f"{self.path}/delta-{version}/at={at}/batch={batch}"), self._Path(f"{folder}/batch={batch}"))
 
     def clone(self, path: str) -> "QuadStore":
         """Copy the current state under a new path."""

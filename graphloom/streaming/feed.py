@@ -12,7 +12,8 @@ def start_feed(changes: DataFrame, store: QuadStore, checkpoint: str, available_
     """Append a stream of ``(op, s, p, o, g, seq)`` to the store's change log.
 
     The micro-batch id names the folder of each batch and a repeated batch overwrites its own folder, so every change
-    counts exactly once.  ``seq`` orders the changes of one quad, also across batches.
+    counts exactly once, also when it is repeated after a compaction.  Batches count in order; within one, ``seq`` orders the
+    changes of a quad.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         store.log(batch, f"f{batch_id}")
