@@ -3,10 +3,13 @@
 from pyspark.sql import Window, functions as F
 
 from catalog.registry import graph, query, table, table_map
-from graphloom.functions.terms import RDF_TYPE
+from catalog.scans import _two_graphs
+from graphloom.functions.terms import DEFAULT_GRAPH, RDF_TYPE
 from graphloom.operators import construct as cs
 from graphloom.operators.scan import pattern
+from graphloom.operators.updates import with_terms
 from graphloom.plans import property_paths as pp
+from graphloom.plans.bgp import bgp
 from graphloom.plans.describe import describe
 from graphloom.plans.path_search import path_search
 from graphloom.plans.transitive import reach
@@ -210,3 +213,37 @@ def construct_blank_nodes(spark, d):
     # An unbound quality skips its triple; each row has a blank node of its own.
     out = cs.construct(rows, [("_:x", "<about>", "?doc"), ("_:x", "<quality>", "?q")], row_key=["doc"])
     return out.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("s").alias("subjects"))
+
+
+def _next_graph(spark, d):
+    """Orders with their customers, the next order of each, and the customers' nations, as stored quads."""
+    iri = lambda name, key: F.concat(F.lit(f"<{name}/"), F.col(key), F.lit(">"))
+    nexts = _next_orders(spark, d).select(iri("orders", "start").alias("s"), F.lit("<next>").alias("p"), iri("orders", "end").alias("o"))
+    maps = graph(spark, d, "orders", "customer").quads(["<orders/custkey>", "<customer/nationkey>"])
+    return with_terms(nexts.withColumn("g", F.lit(DEFAULT_GRAPH))).unionByName(maps.select("s", "p", "o", "o_term", "g"))
+
+
+@query("WITH RECURSIVE " + _NEXT + """, r AS (SELECT s, t FROM nx JOIN orders ON s = o_orderkey JOIN customer ON o_custkey = c_custkey
+WHERE c_nationkey = 7 UNION SELECT r.s, nx.t FROM r JOIN nx ON r.t = nx.s)
+SELECT '<customer/' || o_custkey || '>' AS c, '<orders/' || r.s || '>' AS o, '<orders/' || r.t || '>' AS later
+FROM r JOIN orders ON r.s = o_orderkey""")
+def transitive_bound_table(spark, d):
+    """Later orders of one nation's customers: the search begins at the orders that the other patterns find."""
+    return bgp(_next_graph(spark, d), [("?c", "<customer/nationkey>", "<nation/7>"), ("?o", "<orders/custkey>", "?c"),
+                                       ("?o", pp.Step("<next>").plus(), "?later")])
+
+
+@query("WITH RECURSIVE " + _NEXT + """, r AS (SELECT o_orderkey AS s, o_orderkey AS t FROM orders UNION SELECT r.s, nx.t FROM r JOIN nx ON r.t = nx.s)
+SELECT '<customer/' || o_custkey || '>' AS start, '<orders/' || r.t || '>' AS "end" FROM orders JOIN r ON r.s = o_orderkey""")
+def path_sequence_repeat(spark, d):
+    """From customers to their orders and all that follow: the orders seed the repetition."""
+    return pp.edges(_next_graph(spark, d), ~pp.Step("<orders/custkey>") / pp.Step("<next>").star())
+
+
+@query("""SELECT '<orders/' || a.o_orderkey || '>' AS o, '<customer/' || a.o_custkey || '>' AS c, g,
+'"' || a.o_orderkey || '"^^<http://www.w3.org/2001/XMLSchema#integer>' AS k
+FROM (SELECT o_orderkey, o_custkey, '<graph/late>' AS g FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'
+UNION ALL SELECT o_orderkey, o_custkey, '<graph/urgent>' FROM orders WHERE o_orderpriority LIKE '1%') a""")
+def bgp_graph_variable(spark, d):
+    """Two patterns that must match within one named graph."""
+    return bgp(_two_graphs(spark, d), [("?o", "<orders/custkey>", "?c"), ("?o", "<orders/orderkey>", "?k")], g="?g")

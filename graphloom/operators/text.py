@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from graphloom.functions.terms import _c
 from graphloom.operators.scan import as_quads
 from graphloom.plans.skew import lookup_join
-from graphloom.session import Rounds
+from graphloom.session import Rounds, cut_lineage
 
 WORDS_DDL = "word string, is_entity int, record bigint, score double"
 DOCS_DDL = "record bigint, text string"
@@ -119,7 +119,9 @@ def scored_postings(docs: DataFrame, scoring: Scoring, words: Sequence[str] | No
     counts = rows.groupBy("record", "word").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
     if scoring.mode == "explicit":
         return counts.select("record", "word", "tf", F.col("tf").cast("double").alias("score"))
-    frequency = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    # The texts are tokenized once; the joins below read the counts several times.
+    counts = cut_lineage(counts, "word-counts")
+    frequency = cut_lineage(counts.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "word-frequency")
     joined = lookup_join(counts, frequency, "word", F.col("df"))
     # ``lengths`` is a single row.
     return joined.crossJoin(F.broadcast(lengths)).select("record", "word", "tf", _score(scoring).alias("score"))

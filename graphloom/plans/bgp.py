@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from graphloom.functions.terms import canonical, typed
 from graphloom.operators.joins import natural_join
 from graphloom.operators.scan import as_quads, is_var, pattern
+from graphloom.plans.property_paths import Path, edges
+from graphloom.session import cut_lineage
 from graphloom.sources.mapping import MappedGraph, TableMap
 
 
@@ -57,22 +59,48 @@ def _row_groups(graph, triples: Sequence[Sequence]) -> list[list[Sequence]]:
     return list(groups.values())
 
 
-def bgp(graph, triples: Sequence[Sequence], counts: Mapping[str, int] | None = None) -> DataFrame:
+def bgp(graph, triples: Sequence[Sequence], counts: Mapping[str, int] | None = None, g: str | None = None) -> DataFrame:
     """Join of triple patterns ``(s, p, o)`` or ``(s, p, o, as_type)``; adaptive execution picks the join methods.
 
+    A ``Path`` may stand for the predicate; what the patterns before it have bound seeds its repetitions, so plain
+    patterns come first.  ``g`` is a constant graph or a variable: all patterns then match within one named graph.
     On a mapped graph the patterns that describe one row are one scan, so only joins between tables shuffle.
     """
+    plain = [t for t in triples if not isinstance(t[1], Path)]
+    paths = [t for t in triples if isinstance(t[1], Path)]
+    groups = _row_groups(graph, plain) if g is None else [[t] for t in plain]
     result = None
-    for group in _connected(_row_groups(graph, triples), counts):
+    for group in _connected(groups, counts):
         if len(group) > 1:
             part = _row_scan(graph.owner(group[0][1]), group)
         else:
             triple = group[0]
-            part = pattern(graph, *triple[:3], as_type=triple[3] if len(triple) > 3 else None)
+            part = pattern(graph, *triple[:3], g=g, as_type=triple[3] if len(triple) > 3 else None)
         result = part if result is None else natural_join(result, part)
+    for group in _connected([[t] for t in paths], None):
+        result = _with_path(graph, result, group[0], g)
     return result
 
 
+def _with_path(graph, result: DataFrame | None, triple: Sequence, g: str | None) -> DataFrame:
+    s, path, o = triple[:3]
+    known = result.columns if result is not None else []
+    if result is not None and {s, o} & {f"?{c}" for c in known}:
+        # The rows so far are read for the seeds and again for the join.
+        result = cut_lineage(result, "bgp")
+    bound = [x if not is_var(x) else result.select(x[1:]).distinct() if x[1:] in known else None for x in (s, o)]
+    # One bound side is enough for a search; a graph variable keeps graphs apart by itself.
+    start, end = bound if bound[0] is None or isinstance(bound[1], str) else (bound[0], None)
+    part = edges(graph, path, g, start, end)
+    if s == o:
+        part = part.where("start = end")
+    cells = {x[1:]: F.col(c) for c, x in (("start", s), ("end", o)) if is_var(x)}
+    if g is not None and is_var(g):
+        cells[g[1:]] = F.col(g[1:])
+    part = part.select(*[c.alias(n) for n, c in cells.items()]) if cells else part.select(F.lit(True).alias("matched"))
+    return part if result is None else natural_join(result, part)
+
+
 def _row_scan(table: TableMap, group: Sequence[Sequence]) -> DataFrame:
     columns, rows, cells = table.columns(), table.df, []
     for triple in group:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from graphloom.functions.terms import DEFAULT_GRAPH
 from graphloom.operators.scan import as_quads, is_var, pattern
 from graphloom.plans.transitive import reach
+from graphloom.session import cut_lineage
 
 
 class Path:
@@ -75,18 +76,43 @@ class Repeat(Path):
             raise ValueError("path bounds must satisfy 0 <= low <= high")
 
 
-def edges(graph, path: Path | str, g: str | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
+def edges(graph, path: Path | str, g: str | None = None, start: str | DataFrame | None = None,
+          end: str | DataFrame | None = None) -> DataFrame:
     """All ``(start, end)`` pairs of a path.
 
-    Sequences and alternatives keep duplicates; repetitions are sets.  A constant ``start`` or ``end`` seeds
-    repetitions, so that they search from there and never build the full closure.  ``g`` is a constant graph, or a
-    variable: then every path stays within one named graph, which is a further column.
+    Sequences and alternatives keep duplicates; repetitions are sets.  ``start`` and ``end`` are a constant or a table of
+    nodes (its first column); they seed repetitions, so that these search from there and never build the full closure.
+    Within a sequence the nodes that one part reaches seed the next one.  ``g`` is a constant graph, or a variable: then
+    every path stays within one named graph, which is a further column.
     """
     path = Step(path) if isinstance(path, str) else path
     pairs = _per_graph(graph, path, g[1:]) if g and is_var(g) else _edges(graph, path, g, start, end)
-    if start is not None:
-        pairs = pairs.where(F.col("start") == start)
-    return pairs if end is None else pairs.where(F.col("end") == end)
+    return _at(_at(pairs, "start", start), "end", end)
+
+
+def _at(pairs: DataFrame, column: str, bound: str | DataFrame | None) -> DataFrame:
+    """Pairs whose ``column`` is the constant or in the table."""
+    if bound is None:
+        return pairs
+    if isinstance(bound, str):
+        return pairs.where(F.col(column) == bound)
+    nodes = bound.select(F.col(bound.columns[0]).alias("__node"))
+    return pairs.join(nodes, F.col(column) == F.col("__node"), "left_semi")
+
+
+def _nodes(spark, bound: str | DataFrame | None, name: str) -> DataFrame | None:
+    if bound is None:
+        return None
+    if isinstance(bound, str):
+        return spark.createDataFrame([(bound,)], f"{name} string")
+    return bound.select(F.col(bound.columns[0]).alias(name)).dropDuplicates()
+
+
+def _repeats(path: Path) -> bool:
+    """Does the path hold a repetition, which gains from seeds?"""
+    if isinstance(path, Repeat):
+        return True
+    return any(map(_repeats, getattr(path, "parts", [path.inner] if hasattr(path, "inner") else [])))
 
 
 def _per_graph(graph, path: Path, name: str) -> DataFrame:
@@ -104,9 +130,7 @@ def _edges(graph, path: Path, g, start, end) -> DataFrame:
     if isinstance(path, Inverse):
         return _swap(_edges(graph, path.inner, g, end, start))
     if isinstance(path, Sequence_):
-        first = _edges(graph, path.parts[0], g, start, None).withColumnRenamed("end", "__mid")
-        second = _edges(graph, path.parts[1], g, None, end).withColumnRenamed("start", "__mid")
-        return first.join(second, "__mid").select("start", "end")
+        return _sequence(graph, path, g, start, end)
     if isinstance(path, Alternative):
         return reduce(DataFrame.unionByName, [_edges(graph, p, g, start, end) for p in path.parts])
     if isinstance(path, Negated):
@@ -114,12 +138,28 @@ def _edges(graph, path: Path, g, start, end) -> DataFrame:
     if isinstance(path, Repeat):
         inner = _edges(graph, path.inner, g, None, None)
         spark = inner.sparkSession
-        seeds = None if start is None else spark.createDataFrame([(start,)], "start string")
-        targets = None if end is None else spark.createDataFrame([(end,)], "end string")
+        seeds, targets = _nodes(spark, start, "start"), _nodes(spark, end, "end")
         return reach(inner, path.low, path.high, seeds, targets, nodes=graph_nodes(graph, g) if path.low == 0 else None)
     raise TypeError(f"not a path: {path!r}")
 
 
+def _sequence(graph, path: Sequence_, g, start, end) -> DataFrame:
+    """The parts of a sequence, the bound one first; its nodes seed repetitions in the other."""
+    one, two = path.parts
+    backwards = start is None and (end is not None or _repeats(one) and not _repeats(two))
+    if backwards:
+        second = _at(_edges(graph, two, g, None, end), "end", end)
+        if _repeats(one):
+            second = cut_lineage(second, "sequence")
+        first = _edges(graph, one, g, None, second.select("start") if _repeats(one) else None)
+    else:
+        first = _at(_edges(graph, one, g, start, None), "start", start)
+        if _repeats(two):
+            first = cut_lineage(first, "sequence")
+        second = _edges(graph, two, g, first.select("end") if _repeats(two) else None, end)
+    return first.withColumnRenamed("end", "__mid").join(second.withColumnRenamed("start", "__mid"), "__mid").select("start", "end")
+
+
 def _negated(graph, path: Negated, g) -> DataFrame:
     quads = as_quads(graph)
     if g is not None:
