@@ -6,7 +6,9 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from graphloom.functions.terms import LANG_STRING, XSD, _c, let, literal_of_type, make_term, number_text
+from graphloom.functions.terms import (
+    INTEGER_TYPES, LANG_STRING, REAL_TYPES, XSD, _c, let, literal_of_type, make_term, number_text,
+)
 
 
 def _s(x) -> Column:
@@ -40,16 +42,35 @@ def _plain(term: Column) -> Column:
     return (term["kind"] == "lit") & (term["dt"] == XSD + "string")
 
 
-def str_lang(term, lang: str) -> Column:
-    """STRLANG: only for plain literals."""
+def str_lang(term, lang: str | Column) -> Column:
+    """STRLANG: only for plain literals; the tag is a constant or a column, and an unbound or empty one gives unbound."""
     term = _c(term)
-    return F.when(_plain(term), make_term("lit", term["lex"], LANG_STRING, lang.lower()))
+    tag = F.lower(lang) if isinstance(lang, Column) else F.lit(lang.lower())
+    return F.when(_plain(term) & (tag != ""), make_term("lit", term["lex"], LANG_STRING, tag))
 
 
-def str_dt(term, datatype: str) -> Column:
-    """STRDT: only for plain literals; the value is decoded by its new type."""
+# For types that come from a column, the types whose texts are decoded alike.
+_DATES = ("date", "dateTime", "gYear", "gYearMonth")
+
+
+def str_dt(term, datatype: str | Column) -> Column:
+    """STRDT: only for plain literals; the value is decoded by its new type, a constant or a column."""
     term = _c(term)
-    return let(term, lambda t: F.when(_plain(t), literal_of_type(t["lex"], datatype)))
+    if not isinstance(datatype, Column):
+        return let(term, lambda t: F.when(_plain(t), literal_of_type(t["lex"], datatype)))
+    families = [([XSD + n for n in INTEGER_TYPES], XSD + "integer"), ([XSD + n for n in REAL_TYPES], XSD + "double")]
+    families += [([XSD + n], XSD + n) for n in ("boolean", *_DATES)]
+
+    def typed_as(t: Column) -> Column:
+        plain = make_term("lit", t["lex"], datatype)
+        out = F.lit(None)
+        for names, one in families:
+            value = literal_of_type(t["lex"], one)
+            known = F.coalesce(value["i"].cast("string"), value["d"].cast("string"), value["b"].cast("string"), value["ts"].cast("string"))
+            out = F.when(datatype.isin(names), F.when(known.isNotNull(), value).otherwise(plain)).otherwise(out)
+        return F.when(_plain(t) & datatype.isNotNull(), F.coalesce(out, plain))
+
+    return let(term, typed_as)
 
 
 def strlen(x) -> Column:
@@ -207,9 +228,12 @@ def lang(term) -> Column:
     return F.when(term["kind"] == "lit", F.coalesce(term["lang"], F.lit("")))
 
 
-def lang_matches(tag, wanted: str) -> Column:
-    """LANGMATCHES: basic range matching, ``*`` is any tag."""
+def lang_matches(tag, wanted: str | Column) -> Column:
+    """LANGMATCHES: basic range matching, ``*`` is any tag; the range is a constant or a column."""
     tag = F.lower(_s(tag))
+    if isinstance(wanted, Column):
+        wanted = F.lower(wanted)
+        return F.when(wanted == "*", tag != "").otherwise((tag == wanted) | tag.startswith(F.concat(wanted, F.lit("-"))))
     if wanted == "*":
         return tag != ""
     return (tag == wanted.lower()) | tag.startswith(wanted.lower() + "-")

@@ -103,3 +103,19 @@ def test_many_updates_and_compaction_between_batches(spark, tmp_path):
     assert rows(store.current("<p>"), "o") == [("<b>",), ("<y>",)] and store.current("<q>").count() == 0
     plan = store.current("<p>")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*p_bucket", plan)
+
+
+def test_tags_types_and_ranges_from_columns(spark):
+    from graphloom.functions import strings as st
+    from graphloom.functions.terms import XSD, parse_term
+
+    data = spark.createDataFrame([('"5"', "EN", XSD + "int", "en"), ('"x"', "", XSD + "int", "*"), ('"1.5"', None, XSD + "float", "fr"),
+                                  ('"true"', "de-CH", XSD + "boolean", "de"), ('"q"@en', "fr", None, "e")],
+                                 "t string, tag string, dt string, range string")
+    t = parse_term("t")
+    got = data.select(st.str_lang(t, F.col("tag")).alias("l"), st.str_dt(t, F.col("dt")).alias("d"),
+                      st.lang_matches(F.col("tag"), F.col("range")).alias("m")).collect()
+    assert [r["l"] and r["l"]["lang"] for r in got] == ["en", None, None, "de-ch", None]
+    same = [data.select(st.str_dt(t, d).alias("d")).collect()[i]["d"] for i, d in enumerate([XSD + "int", XSD + "int", XSD + "float", XSD + "boolean"])]
+    assert [r["d"] for r in got] == [*same, None]
+    assert [r["m"] for r in got] == [True, False, None, True, False]
