@@ -203,8 +203,8 @@ def construct_distinct(spark, d):
     return cs.construct(rows, [("?c", "<buys-with>", "?prio")], distinct=True)
 
 
-@query("""SELECT p, count(*) AS n, count(DISTINCT s) AS subjects FROM (
-SELECT doc_id AS s, '<about>' AS p FROM documents UNION ALL SELECT doc_id, '<quality>' FROM labels) GROUP BY p""")
+@query("""SELECT '<documents/' || doc_id || '>' AS doc, '"' || quality || '"^^<http://www.w3.org/2001/XMLSchema#integer>' AS q,
+1 AS about FROM documents LEFT JOIN labels USING (doc_id)""")
 def construct_blank_nodes(spark, d):
     g = graph(spark, d, "documents", "labels")
     docs = pattern(g, "?doc", "<documents/source>", "?src")
@@ -212,7 +212,9 @@ def construct_blank_nodes(spark, d):
     rows = docs.join(quality, "doc", "left")
     # An unbound quality skips its triple; each row has a blank node of its own.
     out = cs.construct(rows, [("_:x", "<about>", "?doc"), ("_:x", "<quality>", "?q")], row_key=["doc"])
-    return out.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("s").alias("subjects"))
+    value = lambda p: F.max(F.when(F.col("p") == p, F.col("o")))
+    return out.groupBy("s").agg(value("<about>").alias("doc"), value("<quality>").alias("q"),
+                                F.count(F.when(F.col("p") == "<about>", 1)).alias("about")).drop("s")
 
 
 def _next_graph(spark, d):

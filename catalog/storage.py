@@ -9,7 +9,7 @@ from graphloom.functions import terms
 from graphloom.operators import updates as up, views
 from graphloom.operators.scan import pattern
 from graphloom.plans.bgp import bgp
-from graphloom.session import shared_folder
+from graphloom.session import cut_lineage, shared_folder
 from graphloom.sources import ntriples as nt, sinks
 from graphloom.sources.mapping import MappedGraph
 from graphloom.sources.quadstore import QuadStore
@@ -63,19 +63,20 @@ def reader_rejects(spark, d):
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT g, count(*) AS n FROM (SELECT DISTINCT '<graph/customers>' AS g, c_mktsegment, c_nationkey FROM customer
-UNION ALL SELECT '<graph/suppliers>', s_suppkey::VARCHAR, s_nationkey FROM supplier) GROUP BY g""")
+@query("""SELECT DISTINCT '<nation/' || c_nationkey || '>' AS s, '<serves>' AS p, '"' || c_mktsegment || '"' AS o, '<graph/customers>' AS g FROM customer
+UNION ALL SELECT '<supplier/' || s_suppkey || '>', '<supplier/nationkey>', '<nation/' || s_nationkey || '>', '<graph/suppliers>' FROM supplier""")
 def several_inputs(spark, d):
     a, b = _folder(spark), _folder(spark)
     segments = bgp(graph(spark, d, "customer"), [("?c", "<customer/mktsegment>", "?o"), ("?c", "<customer/nationkey>", "?s")])
     sinks.write_ntriples(segments.select("s", F.lit("<serves>").alias("p"), "o"), a)
     sinks.write_ntriples(graph(spark, d, "supplier").quads(["<supplier/nationkey>"]), b)
     quads, _ = nt.read_quads_text(spark, [nt.Input(a, "<graph/customers>"), nt.Input(b, "<graph/suppliers>")])
-    return quads.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    return quads.select(up.KEY)
 
 
-@query("""SELECT '<graph/loaded>' AS g, count(*) + (SELECT count(*) FROM customer) AS n FROM orders
-UNION ALL SELECT '<urn:graph:default>', count(*) FROM region""")
+@query("""SELECT '<orders/' || o_orderkey || '>' AS s, '<orders/custkey>' AS p, '<customer/' || o_custkey || '>' AS o, '<graph/loaded>' AS g FROM orders
+UNION ALL SELECT '<customer/' || c_custkey || '>', '<customer/nationkey>', '<nation/' || c_nationkey || '>', '<graph/loaded>' FROM customer
+UNION ALL SELECT '<region/' || r_regionkey || '>', '<region/name>', '"' || r_name || '"', '<urn:graph:default>' FROM region""")
 def load_into_graph(spark, d):
     path = _folder(spark)
     g = graph(spark, d, "orders", "customer", "region")
@@ -83,7 +84,7 @@ def load_into_graph(spark, d):
     loaded = nt.load_document(spark, path, "<graph/loaded>")
     nothing = nt.load_document(spark, path + "-missing", "<graph/loaded>", silent=True)
     state = up.apply_update(g.quads(["<region/name>"]), loaded.unionByName(nothing))
-    return state.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    return state.select(up.KEY)
 
 
 def _mixed_rows(spark, d):
@@ -173,44 +174,53 @@ def _graphs(spark, d):
     return MappedGraph(parts).quads(["<customer/nationkey>", "<supplier/nationkey>", "<nation/regionkey>"])
 
 
-def _per_graph(quads):
-    return quads.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+_GRAPHS = """WITH c AS (SELECT '<customer/' || c_custkey || '>' AS s, '<customer/nationkey>' AS p, '<nation/' || c_nationkey || '>' AS o FROM customer),
+s AS (SELECT '<supplier/' || s_suppkey || '>' AS s, '<supplier/nationkey>' AS p, '<nation/' || s_nationkey || '>' AS o FROM supplier),
+n AS (SELECT '<nation/' || n_nationkey || '>' AS s, '<nation/regionkey>' AS p, '<region/' || n_regionkey || '>' AS o FROM nation) """
 
 
-_C, _S, _N = ("(SELECT count(*) FROM customer)", "(SELECT count(*) FROM supplier)", "(SELECT count(*) FROM nation)")
+def _in_graphs(*parts: str) -> str:
+    """SQL of quads: each part is a table of _GRAPHS and the graph it is in."""
+    names = {"customer": "<graph/customer>", "supplier": "<graph/supplier>", "default": "<urn:graph:default>"}
+    return " UNION ALL ".join(f"SELECT s, p, o, '{names[g]}' AS g FROM {t}" for t, g in (x.split() for x in parts))
 
 
-@query(f"SELECT 'one' AS what, {_S} + {_N} AS n UNION ALL SELECT 'default', {_C} + {_S} UNION ALL SELECT 'named', {_N} UNION ALL SELECT 'all', 0")
+def _what(name: str, *parts: str) -> str:
+    return f"SELECT '{name}' AS what, * FROM ({_in_graphs(*parts)})"
+
+
+@query(_GRAPHS + _what("one", "s supplier", "n default") + " UNION ALL " + _what("default", "c customer", "s supplier")
+       + " UNION ALL " + _what("named", "n default"))
 def update_clear(spark, d):
     quads = _graphs(spark, d)
     parts = [("one", "<graph/customer>"), ("default", "DEFAULT"), ("named", "NAMED"), ("all", "ALL")]
-    counts = [up.clear(quads, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(w).alias("what"), "n") for w, t in parts]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+    kept = [up.clear(quads, t).select(F.lit(w).alias("what"), *up.KEY) for w, t in parts]
+    return kept[0].unionByName(kept[1]).unionByName(kept[2]).unionByName(kept[3])
 
 
-@query(f"SELECT '<graph/customer>' AS g, {_C} AS n UNION ALL SELECT '<graph/supplier>', {_S} + {_C} UNION ALL SELECT '<urn:graph:default>', {_N}")
+@query(_GRAPHS + _in_graphs("c customer", "s supplier", "c supplier", "n default"))
 def update_add_graph(spark, d):
-    return _per_graph(up.add_graph(up.create(_graphs(spark, d), "<graph/x>"), "<graph/customer>", "<graph/supplier>"))
+    return up.add_graph(up.create(_graphs(spark, d), "<graph/x>"), "<graph/customer>", "<graph/supplier>").select(up.KEY)
 
 
-@query(f"SELECT '<graph/customer>' AS g, {_C} AS n UNION ALL SELECT '<graph/supplier>', {_C} UNION ALL SELECT '<urn:graph:default>', {_N}")
+@query(_GRAPHS + _in_graphs("c customer", "c supplier", "n default"))
 def update_copy_graph(spark, d):
-    return _per_graph(up.copy_graph(_graphs(spark, d), "<graph/customer>", "<graph/supplier>"))
+    return up.copy_graph(_graphs(spark, d), "<graph/customer>", "<graph/supplier>").select(up.KEY)
 
 
-@query(f"SELECT '<graph/supplier>' AS g, {_C} AS n UNION ALL SELECT '<urn:graph:default>', {_N}")
+@query(_GRAPHS + _in_graphs("c supplier", "n default"))
 def update_move_graph(spark, d):
-    return _per_graph(up.move_graph(_graphs(spark, d), "<graph/customer>", "<graph/supplier>"))
+    return up.move_graph(_graphs(spark, d), "<graph/customer>", "<graph/supplier>").select(up.KEY)
 
 
-@query(f"""SELECT '<graph/customer>' AS g, {_N} AS n UNION ALL SELECT '<urn:graph:default>', {_N} + {_S}""")
+@query(_GRAPHS + _in_graphs("n customer", "n default", "s default"))
 def graph_store_methods(spark, d):
     state = _graphs(spark, d)
     suppliers = up.graph_read(state, "<graph/supplier>")
     nations = up.graph_read(state, terms.DEFAULT_GRAPH)
     state = up.graph_insert(state, terms.DEFAULT_GRAPH, suppliers)
     state = up.graph_drop(state, "<graph/supplier>")
-    return _per_graph(up.graph_replace(state, "<graph/customer>", nations))
+    return up.graph_replace(state, "<graph/customer>", nations).select(up.KEY)
 
 
 _CHANGES = """WITH ch AS (SELECT CASE event_type WHEN 'error' THEN 'delete' ELSE 'insert' END AS op, '<user/' || user_id || '>' AS s,
@@ -277,10 +287,10 @@ def store_write_delete_files(spark, d):
     return store.current().select("s", "p", "o")
 
 
-@query(f"SELECT g, n FROM (SELECT '<graph/customer>' AS g, {_C} AS n UNION ALL SELECT '<graph/supplier>', {_S} UNION ALL SELECT '<urn:graph:default>', {_N})")
+@query(_GRAPHS + _in_graphs("c customer", "s supplier", "n default"))
 def store_clone(spark, d):
     store = QuadStore(spark, _folder(spark)).create(_graphs(spark, d))
-    return _per_graph(store.clone(_folder(spark)).current())
+    return store.clone(_folder(spark)).current().select(up.KEY)
 
 
 @query(_CHANGES + _STATE)
@@ -318,4 +328,8 @@ def view_load_unload(spark, d):
 @query("""SELECT c_mktsegment AS segment, count(*) AS n FROM customer GROUP BY c_mktsegment""")
 def pinned_result(spark, d):
     views.pin(pattern(graph(spark, d, "customer"), "?c", "<customer/mktsegment>", "?segment", as_type="string"), "segments")
-    return views.pinned(spark, "segments").groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
+    counts = views.pinned(spark, "segments").groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
+    # The counts go on from a file, so the pinned rows can be let go.
+    counts = cut_lineage(counts, "segments")
+    views.unpin(spark, "segments")
+    return counts
