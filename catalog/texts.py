@@ -121,13 +121,14 @@ def text_limit(spark, d):
 
 _PRED = """WITH sp AS (SELECT '<documents/' || doc_id || '>' AS s, unnest(['<documents/doc_id>', '<documents/text>',
 '<documents/lang>', '<documents/source>', '<documents/n_chars>', '<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>']) AS p
-FROM documents UNION ALL SELECT '<documents/' || doc_id || '>', unnest(['<labels/quality>', '<labels/toxic>']) FROM labels) """
+FROM documents UNION SELECT '<documents/' || doc_id || '>', unnest(['<labels/doc_id>', '<labels/quality>', '<labels/toxic>',
+'<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>']) FROM labels) """
 
 
 def _described(spark, d):
     """Documents and, on the same subjects, their labels where there are some."""
     docs = graph(spark, d, "documents").quads()
-    labels = MappedGraph([table_map(spark, d, "labels")]).quads().where(F.col("p").isin("<labels/quality>", "<labels/toxic>"))
+    labels = MappedGraph([table_map(spark, d, "labels")]).quads()
     return docs.unionByName(labels.withColumn("s", F.replace("s", F.lit("<labels/"), F.lit("<documents/"))))
 
 
