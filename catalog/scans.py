@@ -30,13 +30,14 @@ SELECT '<nation/' || n_nationkey || '>' AS s, unnest(['<http://www.w3.org/1999/0
   '<region/' || n_regionkey || '>']) AS o FROM nation
 UNION ALL
 SELECT '<orders/' || o_orderkey || '>', unnest(['<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>',
-  '<orders/orderkey>', '<orders/custkey>', '<orders/orderstatus>', '<orders/orderdate>', '<orders/orderpriority>']),
+  '<orders/orderkey>', '<orders/custkey>', '<orders/orderstatus>', '<orders/orderdate>', '<orders/orderpriority>', '<orders/totalprice>']),
   unnest(['<orders>', '"' || o_orderkey || '"^^<http://www.w3.org/2001/XMLSchema#integer>',
   '<customer/' || o_custkey || '>', '"' || o_orderstatus || '"',
   '"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '"^^<http://www.w3.org/2001/XMLSchema#dateTime>',
-  '"' || o_orderpriority || '"']) FROM orders""")
+  '"' || o_orderpriority || '"', '"' || CASE WHEN o_totalprice = floor(o_totalprice) THEN o_totalprice::BIGINT::VARCHAR ELSE o_totalprice::VARCHAR END || '"^^<http://www.w3.org/2001/XMLSchema#double>'])
+  FROM orders""")
 def scan_three_variables(spark, d):
-    maps = [table_map(spark, d, "nation"), table_map(spark, d, "orders", skip=["o_totalprice"])]
+    maps = [table_map(spark, d, "nation"), table_map(spark, d, "orders")]
     return pattern(MappedGraph(maps), "?s", "?p", "?o")
 
 

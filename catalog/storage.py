@@ -22,14 +22,14 @@ def _folder(spark) -> str:
 
 
 _ORDER_SPO = """SELECT '<orders/' || o_orderkey || '>' AS s, unnest(['<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>',
-'<orders/orderkey>', '<orders/custkey>', '<orders/orderstatus>', '<orders/orderdate>', '<orders/orderpriority>']) AS p,
+'<orders/orderkey>', '<orders/custkey>', '<orders/orderstatus>', '<orders/orderdate>', '<orders/orderpriority>', '<orders/totalprice>']) AS p,
 unnest(['<orders>', '"' || o_orderkey || '"^^<http://www.w3.org/2001/XMLSchema#integer>', '<customer/' || o_custkey || '>',
 '"' || o_orderstatus || '"', '"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '"^^<http://www.w3.org/2001/XMLSchema#dateTime>',
-'"' || o_orderpriority || '"']) AS o FROM orders"""
+'"' || o_orderpriority || '"', '"' || CASE WHEN o_totalprice = floor(o_totalprice) THEN o_totalprice::BIGINT::VARCHAR ELSE o_totalprice::VARCHAR END || '"^^<http://www.w3.org/2001/XMLSchema#double>']) AS o FROM orders"""
 
 
 def _orders(spark, d, **changes):
-    return MappedGraph([table_map(spark, d, "orders", skip=["o_totalprice"], **changes)])
+    return MappedGraph([table_map(spark, d, "orders", **changes)])
 
 
 @query("SELECT s, p, o, '<graph/orders>' AS g FROM (" + _ORDER_SPO + ")")
