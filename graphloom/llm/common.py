@@ -30,6 +30,11 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text.cast("binary"), F.lit("").cast("binary"))
 
 
+def long_ids(df: DataFrame, column: str) -> DataFrame:
+    """Whole-number ids as 64-bit integers, which is what Python tasks give back."""
+    return df.withColumn(column, F.col(column).cast("long")) if dict(df.dtypes)[column] in ("tinyint", "smallint", "int") else df
+
+
 def partition_sums(rows: DataFrame, part, width: int) -> list:
     """Sum over all rows of what ``part(batch)`` gives, {key: matrix of ``width`` columns}, as rows (key, row, v).
 

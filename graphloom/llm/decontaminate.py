@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from graphloom.llm.common import table, utf8
+from graphloom.llm.common import long_ids, table, utf8
 from graphloom.session import ship
 
 #: BM25 parameters; words of a piece (a passage has two, so items are indexed in parts of one piece); postings in a block of a list; parts of
@@ -187,6 +187,7 @@ def contaminated(docs: DataFrame, items: DataFrame, cover: float = COVER, overla
     they occur; an empty table gives no rows; other columns are not read.
     """
     ship(docs.sparkSession)
+    docs, items = long_ids(docs, "doc_id"), long_ids(items, "item_id")
     kind, item_kind = dict(docs.dtypes)["doc_id"], dict(items.dtypes)["item_id"]
     rows = docs.select("doc_id", utf8(F.col("text")).alias("text"))
 

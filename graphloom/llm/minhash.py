@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from graphloom.llm.common import cell_runs, table, utf8
+from graphloom.llm.common import cell_runs, long_ids, table, utf8
 from graphloom.llm.components import connected_components
 from graphloom.session import cut_lineage, ship
 
@@ -167,6 +167,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, seed: in
     an id: those have no component and are kept.  Ids name rows; rows that repeat an id with an equal text are one
     document and are all kept or not.  An empty table gives no rows; other columns are not read.
     """
+    docs = long_ids(docs, "doc_id")
     bands, rows = bands_for(percent)
     size = bands * rows
     told = cut_lineage(signatures(docs, width, percent, seed), "signatures")

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from graphloom.llm.common import cell_runs, table
+from graphloom.llm.common import cell_runs, long_ids, table
 from graphloom.llm.components import connected_components
 from graphloom.session import cut_lineage, ship
 
@@ -139,6 +139,7 @@ def linked_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     link it gives is verified.  An empty table gives no rows; other columns are not read.
     """
     ship(vectors.sparkSession)
+    vectors = long_ids(vectors, "vec_id")
     rows = cut_lineage(_raw(vectors), "vectors")
     classes = cut_lineage(rows.where("raw is not null and vec_id is not null").groupBy("label", "raw").agg(
         F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n")), "classes")
