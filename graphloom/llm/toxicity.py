@@ -126,6 +126,9 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 0) -> np.ndarray:
         return pd.DataFrame({"member": [int(group.member.iloc[0])], "weights": [weights.tobytes()]})
 
     found = sorted(rows.groupBy("member").applyInPandas(member, "member int, weights binary").collect())     # MEMBERS rows
+    if not found:
+        # No text to learn from: the prior alone.
+        return np.append(np.zeros(BUCKETS, np.float32), np.float32(np.log(prior / (1 - prior))))[:, None]
     return np.stack([np.frombuffer(r["weights"], np.float32) for r in found], axis=1)
 
 
