@@ -1,22 +1,27 @@
-"""Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
+"""Language-model scores: a class-factored maximum-entropy model mixed with n-grams and skips of word identities.
 
-P(word | before) = P(class | three classes before) P(word | class).  The first factor is a maximum-entropy model: weights of
+P(word | before) = sum of g_k(before) P_k(word | before).  P_0 = P(class | three classes before) P(word | class); each other
+P_k is the share of the word after one hashed history of words (KINDS), from a table of counts that grows with the training
+tokens.  The gates g_k depend on how often and how variously each history was met, and are trained by EM on training tokens
+whose own occurrence is taken out of all counts.  The first factor of P_0 is a maximum-entropy model: weights of
 hashed n-gram and skip features of the classes before, trained by full gradients that tasks sum over their
 share of the corpus.  The second is the word's discounted count.  A word's class comes from its shape (a short word
 itself, otherwise its last bytes), and shapes are grouped by the company they keep.  Words never met in training share
 what their class's discount leaves over, so the probabilities of all words and of one unknown word per class sum to one.
 
 All counts cover all training texts.  The vocabulary grows with the corpus and is never held in one place: texts are dealt to
-blocks of bounded size, and each block is scored with just the words it holds.
+blocks of bounded size, and each block is judged with just the words and histories it holds.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import defaultdict
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from graphloom.llm.common import fold, partition_sums, table, utf8
@@ -26,8 +31,14 @@ from graphloom.session import cut_lineage, ship
 SHAPES, CLASSES, ROWS = 512, 32, 1 << 14
 #: Gradient steps, their size, and pull towards zero; tasks that share the training contexts.
 STEPS, RATE, PULL, TASKS = 30, 0.3, 1e-6, 8
-#: Bytes of text scored at once; words a task collects before it hands them on.
+#: Bytes of text scored at once, for each kind of key that is then held; words a task collects before it hands them on.
 BLOCK_BYTES, FLUSH = 8 << 20, 400_000
+#: Histories of words, as places before the token: n-grams of two and three words, and a skip.
+KINDS = ((1,), (1, 2), (2,))
+#: Steps of EM in a block; bounds of how often a history was met; states of one history and of all.
+EM_STEPS, MET = 10, (3, 10, 100)
+STATES = 1 + 2 * (len(MET) + 1)
+GATES = STATES ** len(KINDS)
 
 
 def shape(word: bytes) -> int:
@@ -41,6 +52,7 @@ class Reader:
         self.number: dict[bytes, int] = defaultdict()
         self.number.default_factory = self.number.__len__
         self.shapes = np.zeros(0, np.int16)
+        self.codes = np.zeros(0, np.uint64)
 
     def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(word numbers of all texts with -1 behind each, lengths with that end)."""
@@ -61,6 +73,13 @@ class Reader:
             self.shapes = np.concatenate([self.shapes, np.array(new, np.int16)])
         return np.append(self.shapes, np.int16(0))[ids]
 
+    def coded(self, ids: np.ndarray) -> np.ndarray:
+        """64-bit hashes of word numbers; an end has 1."""
+        if len(self.number) > len(self.codes):
+            new = b"".join(blake2b(w, digest_size=8).digest() for w in list(self.number)[len(self.codes):])
+            self.codes = np.concatenate([self.codes, np.frombuffer(new, "<u8")])
+        return np.append(self.codes, np.uint64(1))[ids]
+
     def trim(self) -> None:
         if len(self.number) > FLUSH:
             self.__init__()
@@ -78,6 +97,25 @@ def context(kinds: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return code
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def histories(codes: np.ndarray, sizes: np.ndarray):
+    """For each of KINDS, keys of every token's history and of the history with the token; before a text there are ends."""
+    at, odd = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes), np.uint64(0x9E3779B97F4A7C15)
+    for tag, places in enumerate(KINDS, 1):
+        key = np.full(len(codes), tag, np.uint64)
+        for back in places:
+            before = np.ones(len(codes), np.uint64)
+            before[back:] = codes[:-back] if len(codes) > back else codes[:0]
+            before[at < back] = 1
+            key = _mixed(key * odd + before)
+        yield key, _mixed(key * odd + codes)
+
+
 def features(codes: np.ndarray) -> np.ndarray:
     """Rows of the weight table for contexts: bias, n-grams of 1 to 3 classes, and skips over the nearest ones."""
     c1, c2, c3 = codes % CLASSES, codes // CLASSES % CLASSES, codes // CLASSES**2
@@ -186,7 +224,7 @@ def fit_classes(docs: DataFrame, kinds: np.ndarray) -> np.ndarray:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word, shape, c: counts of all words of the training texts, the end of texts not among them."""
+    """word, key, shape, c: counts of all words of the training texts, the end of texts not among them."""
 
     def count(batches):
         reader, total = Reader(), np.zeros(0, np.int64)
@@ -194,7 +232,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
         def told():
             words = list(reader.number)
             reader.shaped(np.zeros(0, np.int64))
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(reader.shapes, pa.int16()), pa.array(total)], ["word", "shape", "n"])
+            codes = reader.coded(np.arange(len(words))).view(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), pa.array(codes), pa.array(reader.shapes, pa.int16()), pa.array(total)], ["word", "key", "shape", "n"])
 
         for batch in batches:
             ids, _ = reader.read(batch.column("text").to_pylist())
@@ -206,7 +246,54 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 reader, total = Reader(), np.zeros(0, np.int64)
         yield told()
 
-    return _train_texts(docs).mapInArrow(count, "word binary, shape short, n long").groupBy("word", "shape").agg(F.sum("n").alias("c"))
+    return _train_texts(docs).mapInArrow(count, "word binary, key long, shape short, n long").groupBy("word", "key", "shape").agg(F.sum("n").alias("c"))
+
+
+def history_counts(docs: DataFrame) -> DataFrame:
+    """key, c, v of all training texts: for a history with a word how often it occurs, for a history also its number of words."""
+
+    def count(batches):
+        reader = Reader()
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            part = np.cumsum([len(t) for t in texts]) // (BLOCK_BYTES // (1 + len(KINDS)))
+            cuts = np.flatnonzero(np.diff(part)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(texts)]):
+                ids, sizes = reader.read(texts[a:b])
+                for history, pair in histories(reader.coded(ids), sizes):
+                    key, first, n = np.unique(pair, return_index=True, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key.view(np.int64)), pa.array(history[first].view(np.int64)), pa.array(n, pa.int64())], ["key", "history", "n"])
+                reader.trim()
+
+    pairs = _train_texts(docs).mapInArrow(count, "key long, history long, n long").groupBy("key", "history").agg(F.sum("n").alias("c"))
+    pairs = cut_lineage(pairs, "pairs")
+    before = pairs.groupBy(F.col("history").alias("key")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v"))
+    return pairs.select("key", "c", F.lit(0).cast("long").alias("v")).unionByName(before)
+
+
+def state(met: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """State of a history met so often with so many words; 0 if it was never met."""
+    return np.where(met > 0, 1 + 2 * np.digitize(met, MET) + (2 * words > met), 0)
+
+
+def open_gates() -> np.ndarray:
+    """GATES x models: which have anything to say in a joint state; the class model always does."""
+    x = np.arange(GATES)
+    return np.stack([x >= 0] + [x // STATES**k % STATES > 0 for k in range(len(KINDS))], axis=1)
+
+
+def gate_counts(x: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """GATES x models: tokens that each model is held to have made, by EM over joint states ``x`` and probabilities ``p``."""
+    usable = open_gates()
+    g, total = usable / usable.sum(1, keepdims=True), np.zeros((GATES, p.shape[1]))
+    for _ in range(EM_STEPS):
+        part = g[x] * p
+        part /= part.sum(1, keepdims=True)
+        total = np.stack([np.bincount(x, weights=w, minlength=GATES) for w in part.T], axis=1)
+        g = np.where(usable, total + 0.5, 0)
+        g /= g.sum(1, keepdims=True)
+    return total
 
 
 def language_scores(docs: DataFrame, train) -> DataFrame:
@@ -216,7 +303,7 @@ def language_scores(docs: DataFrame, train) -> DataFrame:
     score alike; without training rows no word is known; an empty table gives no rows; other columns are not read.
     """
     ship(docs.sparkSession)
-    rows = docs.select("doc_id", utf8(F.col("text")).alias("text"), train.alias("train"))
+    rows = docs.select("doc_id", utf8(F.col("text")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     kinds = group_shapes(rows)
     weights = fit_classes(rows, kinds)
     counts = cut_lineage(word_counts(rows), "words")
@@ -235,45 +322,98 @@ def language_scores(docs: DataFrame, train) -> DataFrame:
         unknown = np.where(tokens > 0, np.log(discount * types / tokens), 0.0)
     base = float(np.log10(n + 0.5 * (v + 1)))
 
-    blocks = -(-n_bytes // BLOCK_BYTES) or 1
+    blocks = -(-n_bytes * (1 + len(KINDS)) // BLOCK_BYTES) or 1
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)))
 
-    def words(group: pa.Table) -> pa.Table:
-        found: set[bytes] = set()
-        for text in group.column("text").to_pylist():
-            found.update(text.lower().split())
-        return pa.table({"block": pa.array([group.column("block")[0].as_py()] * len(found), pa.int64()), "word": pa.array(list(found), pa.binary())})
-
-    used = dealt.groupBy("block").applyInArrow(words, "block long, word binary").join(counts.select("word", "c"), "word", "left")
+    def keys(group: pa.Table) -> pa.Table:
+        reader = Reader()
+        ids, sizes = reader.read(group.column("text").to_pylist())
+        found = [reader.coded(np.arange(len(reader.number)))]
+        for history, pair in histories(reader.coded(ids), sizes):
+            found += [np.unique(history), np.unique(pair)]
+        found = np.concatenate(found).view(np.int64)
+        return pa.table({"block": pa.array(np.full(len(found), group.column("block")[0].as_py(), np.int64)), "key": pa.array(found)})
+
+    known_keys = counts.select("key", "c", F.lit(0).cast("long").alias("v")).unionByName(history_counts(rows))
+    used = dealt.groupBy("block").applyInArrow(keys, "block long, key long").join(known_keys, "key")
+
+    def judge(group: pa.Table, vocabulary: pa.Table) -> pa.Table:
+        """Probabilities of each token by each model, and a row of the block's gate counts."""
+        order = np.argsort(vocabulary.column("key").to_numpy())
+        key, c_of, v_of = (vocabulary.column(x).to_numpy()[order] for x in ("key", "c", "v"))
+
+        def look(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            wanted = wanted.view(np.int64)
+            if not len(key):
+                return np.zeros(len(wanted)), np.zeros(len(wanted))
+            at = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+            hit = key[at] == wanted
+            return np.where(hit, c_of[at], 0).astype(float), np.where(hit, v_of[at], 0).astype(float)
 
-    def score(group: pa.Table, vocabulary: pa.Table) -> pa.Table:
         reader = Reader()
-        for word in vocabulary.column("word").to_pylist():
-            reader.number[word]
-        c = np.append(vocabulary.column("c").to_numpy(zero_copy_only=False), [n_docs])
-        c = np.nan_to_num(c.astype(float))
         ids, sizes = reader.read(group.column("text").to_pylist())
-        own = kinds[reader.shaped(ids)]
-        ids[ids < 0] = len(c) - 1
-        known = c[ids] > 0
-        with np.errstate(divide="ignore", invalid="ignore"):
-            word = np.where(known, np.log(np.maximum(c[ids] - discount, 1e-9) / np.maximum(tokens[own], 1)), unknown[own])
-        # The end is the only member of its class.
-        word[own == 0] = 0.0
-        codes, at = np.unique(context(own, sizes), return_inverse=True)
-        logs = log_class(weights, codes)[at, own] + word
+        own, codes = kinds[reader.shaped(ids)], reader.coded(ids)
+        c = np.append(look(reader.coded(np.arange(len(reader.number))))[0], n_docs)[ids]
+        learnt = np.repeat(group.column("train").to_numpy(zero_copy_only=False).astype(bool), sizes)
+        contexts, at = np.unique(context(own, sizes), return_inverse=True)
+        of_class = log_class(weights, contexts)[at, own]
+        met = [(look(history), look(pair)[0]) for history, pair in histories(codes, sizes)]
+
+        def models(off: int, where) -> tuple[np.ndarray, np.ndarray]:
+            """Joint states and probabilities; ``off`` 1 takes the token's own occurrence out of the counts."""
+            mine, kind = c[where] - off, own[where]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                word = np.where(mine > 0, np.log(np.maximum(mine - discount, 1e-9) / np.maximum(tokens[kind], 1)), unknown[kind])
+            # The end is the only member of its class.
+            word[kind == 0] = 0.0
+            x, p = np.zeros(len(mine), np.int64), [np.exp(of_class[where] + word)]
+            for k, ((n_of, v_of), both) in enumerate(met):
+                often, pairs = n_of[where] - off, both[where] - off
+                various = v_of[where] - (off and pairs == 0)
+                x += STATES**k * state(often, various)
+                p.append(np.where(often > 0, np.maximum(pairs, 0) / np.maximum(often, 1), 0.0))
+            return x, np.stack(p, axis=1)
+
+        gates = gate_counts(*models(1, learnt)) if learnt.any() else np.zeros((GATES, len(KINDS) + 1))
+        x, p = models(0, slice(None))
         first = np.cumsum(sizes) - sizes
-        return pa.table({
+        cut = list(zip(first.tolist(), (first + sizes).tolist()))
+        x, p = x.astype("<u2"), p.astype("<f4")
+        told = pa.table({
             "doc_id": group.column("doc_id"), "train": group.column("train"), "n_tokens": pa.array(sizes),
-            "n_known": pa.array(np.add.reduceat(known.astype(np.int64), first)),
-            "train_tokens": pa.array(np.full(len(sizes), n, np.int64)),
-            "base_score": pa.array(np.add.reduceat(np.log10(c[ids] + 0.5) - base, first)),
-            "score": pa.array(np.add.reduceat(logs, first) / np.log(10))})
+            "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64), first)),
+            "base_score": pa.array(np.add.reduceat(np.log10(c + 0.5) - base, first)),
+            "x": pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()), "p": pa.array([p[a:b].tobytes() for a, b in cut], pa.binary()),
+            "gates": pa.nulls(len(sizes), pa.binary())})
+        extra = {f.name: pa.nulls(1, f.type) for f in told.schema} | {"gates": pa.array([gates.tobytes()], pa.binary())}
+        return pa.concat_tables([told, pa.table(extra)])
 
     kind = dict(docs.dtypes)["doc_id"]
-    scored = dealt.groupBy("block").cogroup(used.groupBy("block")).applyInArrow(
-        score, f"doc_id {kind}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    judged = cut_lineage(dealt.groupBy("block").cogroup(used.groupBy("block")).applyInArrow(
+        judge, f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, x binary, p binary, gates binary"), "judged")
+
+    def summed(batch: pa.RecordBatch) -> dict[int, np.ndarray]:
+        return {0: sum(np.frombuffer(b, float).reshape(GATES, -1) for b in batch.column("gates").to_pylist())}
+
+    usable = open_gates()
+    g = np.where(usable, 0.5, 0)
+    for r in partition_sums(judged.where("gates is not null").select("gates"), summed, len(KINDS) + 1):
+        g[r["row"]] += r["v"]
+    g /= g.sum(1, keepdims=True)
+
+    def score(batches):
+        for batch in batches:
+            out = []
+            for x, p in zip(batch.column("x").to_pylist(), batch.column("p").to_pylist()):
+                p = np.frombuffer(p, "<f4").reshape(-1, len(KINDS) + 1).astype(float)
+                out.append(float(np.log10((g[np.frombuffer(x, "<u2")] * p).sum(1)).sum()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.compute.invert(batch.column("train")) if name == "held_out" else pa.array(np.full(len(out), n, np.int64)) if name == "train_tokens"
+                 else pa.array(out, pa.float64()) if name == "score" else batch.column(name) for name in names], names)
+
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return judged.where("gates is null").select("doc_id", "train", "n_tokens", "n_known", "base_score", "x", "p").mapInArrow(
+        score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,3 +160,25 @@ def test_language_scores_without_training_rows_or_documents(spark):
     assert [(got[i]["n_tokens"], got[i]["n_known"], got[i]["base_score"]) for i in (1, 2)] == [(3, 0, 0.0), (1, 0, 0.0)]
     assert all(math.isfinite(r["score"]) for r in got.values())
     assert language_rows(spark, [], F.lit(True)) == {}
+
+
+def test_language_scores_know_word_order(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "STEPS", 2)
+    # One shape, so one class: only word identities tell these texts apart.
+    pairs = [("redimo", "walimo"), ("tadimo", "ponimo"), ("kasimo", "lunimo")]
+    draw = random.Random(5)
+    docs = [(i, " ".join(w for _ in range(20) for w in draw.choice(pairs)), "en", "s", None, None) for i in range(60)]
+    docs += [(1000, "redimo walimo tadimo ponimo", "en", "s", None, None), (1001, "redimo ponimo tadimo walimo", "en", "s", None, None)]
+    got = language_rows(spark, docs, F.col("doc_id") < 1000)
+    assert got[1000]["base_score"] == pytest.approx(got[1001]["base_score"])
+    assert got[1000]["score"] > got[1001]["score"] + 1
+
+
+def test_gates_against_brute_force():
+    draw = np.random.default_rng(3)
+    # After history "a": half of the tokens are told by its count, none by the class model.
+    x = np.full(1000, 1)
+    p = np.stack([np.full(1000, 0.01), np.where(draw.random(1000) < 0.5, 0.9, 0.0), np.zeros(1000), np.zeros(1000)], axis=1)
+    total = language_model.gate_counts(x, p)
+    assert total.sum() == pytest.approx(1000) and total[1, 2:].sum() == 0
+    assert total[1, 1] == pytest.approx((p[:, 1] > 0).sum(), rel=0.1)
