@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from graphloom.llm.common import long_ids, table, utf8
-from graphloom.session import ship
+from graphloom.session import cut_lineage, ship
 
 #: BM25 parameters; words of a piece (a passage has two, so items are indexed in parts of one piece); postings in a block of a list; parts of
 #: items in a range.
@@ -54,10 +54,20 @@ def question_and_answer(data: bytes) -> tuple[list[bytes], list[bytes]]:
     return whole[:cut], whole[cut:]
 
 
+def parts_of(words: list[bytes]) -> list[Counter]:
+    """Word counts of an item's parts.  The last part is as long as the others; it overlaps with the one before."""
+    starts = range(0, max(1, len(words) - PIECE + 1), PIECE)
+    return [Counter(words[s:s + PIECE]) for s in sorted({*starts, max(0, len(words) - PIECE)})]
+
+
 class ItemIndex:
-    """Inverted lists of the parts of test items, with block maxima."""
+    """Inverted lists of the parts of test items, with block maxima.
 
-    def __init__(self, items: list[tuple]):
+    ``facts`` are the number of parts, their mean length and the document frequency of each word here, over all items;
+    without them ``items`` are all items.
+    """
+
+    def __init__(self, items: list[tuple], facts: tuple[int, float, dict[bytes, int]] | None = None):
         self.items, parts = [], []
         for item_id, data in items:
             words = words_of(data or b"")
@@ -65,14 +75,11 @@ class ItemIndex:
                 continue
             question, answer = question_and_answer(data)
             self.items.append((item_id, _grams(question), _grams(answer), len(words)))
-            # The last part is as long as the others; it overlaps with the one before.
-            starts = range(0, max(1, len(words) - PIECE + 1), PIECE)
-            ends = {*starts, max(0, len(words) - PIECE)}
-            parts += [(len(self.items) - 1, Counter(words[s:s + PIECE])) for s in sorted(ends)]
+            parts += [(len(self.items) - 1, c) for c in parts_of(words)]
         self.owner = [p for p, _ in parts]
         df = Counter(w for _, c in parts for w in c)
-        mean = sum(c.total() for _, c in parts) / max(1, len(parts))
-        idf = {w: log(1 + (len(parts) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+        count, mean, often = facts or (len(parts), sum(c.total() for _, c in parts) / max(1, len(parts)), df)
+        idf = {w: log(1 + (count - often[w] + 0.5) / (often[w] + 0.5)) for w in df}
         self.number = {w: i for i, w in enumerate(df)}
         lists: list[list[tuple[int, float]]] = [[] for _ in df]
         for i, (_, counts) in enumerate(parts):
@@ -172,12 +179,45 @@ class ItemIndex:
 
 def item_indexes(items: DataFrame) -> list[ItemIndex]:
     """Indexes of ``item_id, text``.  Items are hashed to as many indexes as their text asks for; each is built on the
-    driver from its own share, about SHARD_BYTES at most."""
+    driver from its own share, about SHARD_BYTES at most, with the statistics of all items, so that scores do not hang on
+    the split."""
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = -(-total // SHARD_BYTES) or 1
-    rows = items.select("item_id", utf8(F.col("text")).alias("text"))
-    share = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
-    return [ItemIndex([(r[0], bytes(r[1])) for r in rows.where(share == s).orderBy("item_id", "text").collect()]) for s in range(shards)]
+    rows = items.select("item_id", utf8(F.col("text")).alias("text"), F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).alias("share"))
+
+    def share(s: int) -> list[tuple]:
+        return [(r[0], bytes(r[1])) for r in rows.where(F.col("share") == s).orderBy("item_id", "text").collect()]
+
+    if shards == 1:
+        return [ItemIndex(share(0))]
+
+    def count(batches):
+        for batch in batches:
+            found: dict[tuple, list[int]] = {}
+            for own, text in zip(batch.column("share").to_pylist(), batch.column("text").to_pylist()):
+                words = words_of(text)
+                for part in parts_of(words) if words else []:
+                    # The row without a word has the number of parts and their words.
+                    for word, size in [(None, part.total()), *((w, 0) for w in part)]:
+                        cell = found.setdefault((own, word), [0, 0])
+                        cell[0] += 1
+                        cell[1] += size
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in found], pa.int64()), pa.array([k[1] for k in found], pa.binary()),
+                 pa.array([v[0] for v in found.values()], pa.int64()), pa.array([v[1] for v in found.values()], pa.int64())],
+                ["share", "word", "n", "size"])
+
+    met = cut_lineage(rows.select("share", "text").mapInArrow(count, "share long, word binary, n long, size long")
+                      .groupBy("share", "word").agg(F.sum("n").alias("n"), F.sum("size").alias("size")), "item-words")
+    parts, size = met.where("word is null").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    df = met.where("word is not null").groupBy("word").agg(F.sum("n").alias("df"))
+    # Each share again with the frequencies that its words have over all items.
+    often = cut_lineage(met.where("word is not null").select("share", "word").join(df, "word"), "item-frequencies")
+
+    def facts(s: int) -> tuple:
+        return parts, size / max(1, parts), {bytes(r["word"]): r["df"] for r in often.where(F.col("share") == s).collect()}
+
+    return [ItemIndex(share(s), facts(s)) for s in range(shards)]
 
 
 def contaminated(docs: DataFrame, items: DataFrame, cover: float = COVER, overlap: float = OVERLAP) -> DataFrame:

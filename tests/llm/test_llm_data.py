@@ -268,6 +268,19 @@ def test_several_indexes_give_the_same(spark, leaks, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
 
 
+def test_scores_do_not_depend_on_the_split(spark, leaks, monkeypatch):
+    draw = random.Random(9)
+    items = leaks[0] + [(100 + i, " ".join(words(draw, 90))) for i in range(40)]
+    # Parts of items of every length, so that many scores are near the threshold.
+    docs = [doc(i, " ".join([*words(draw, 60), *text.split()[:5 + 2 * i % 80], *words(draw, 60)])) for i, (_, text) in enumerate(items) if text]
+    found = []
+    for size in (1 << 20, 1500):
+        monkeypatch.setattr(decontaminate, "SHARD_BYTES", size)
+        rows = decontaminate.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string"))
+        found.append({(r["doc_id"], r["item_id"]): r["score"] for r in rows.collect()})
+    assert len(found[0]) > 10 and found[0] == pytest.approx(found[1])
+
+
 def test_search_against_all_scores(leaks):
     draw = random.Random(1)
     index = decontaminate.ItemIndex([(i, " ".join(words(draw, 40)).encode()) for i in range(120)])
