@@ -134,7 +134,8 @@ def mix(docs: DataFrame, targets: list[tuple], key: tuple[str, ...] = ("doc_id",
     rows are interchangeable.
     """
     spark = docs.sparkSession
-    name = F.to_json("sources")
+    # A null array is a pattern like the empty one: its rows stay and take nothing.
+    name = F.coalesce(F.to_json("sources"), F.lit("[]"))
     found = (docs.where("size > 0 and size(sources) > 0").groupBy(name.alias("__p")).agg(F.sum("size").alias("size"))
              .limit(MAX_PATTERNS + 1).collect())
     if len(found) > MAX_PATTERNS:

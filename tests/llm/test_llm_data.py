@@ -73,6 +73,12 @@ def test_overlapping_sources(spark):
     assert sum(got.values()) == 120 and max(got.values()) == 10 and got[12] == 0
 
 
+def test_rows_with_null_sources_stay(spark):
+    df = spark.createDataFrame([(1, 10, ["x"]), (2, 10, None), (3, 10, [])], "doc_id long, size long, sources array<string>")
+    got = {r["doc_id"]: r["taken"] for r in mixing.mix(df, [("x", 10, 10.0)]).collect()}
+    assert got == {1: 10, 2: 0, 3: 0}
+
+
 def test_mix_nothing(spark):
     df = mixing.sized(spark.createDataFrame([], DOCS), "doc_id", "source")
     assert mixing.source_targets(df) == [] and mixing.mix(df, []).count() == 0
