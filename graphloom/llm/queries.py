@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from graphloom.llm.decontaminate import op10_decontamination
+from graphloom.llm.line_dedup import OP13_SQL, op13_line_dedup
 from graphloom.llm.language_model import op3_language_model
 from graphloom.llm.minhash import op5_minhash
 from graphloom.llm.mixing import op2_mixing
@@ -50,5 +51,5 @@ SELECT node AS doc_id, coalesce(n, 0) AS n_shingles, component_id, node = compon
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_mixing, op3_language_model, op4_pivots, op5_minhash, op6_quality, op7_sharding, op8_token_files,
-    op9_token_counts, op10_decontamination)}
-SQL: dict[str, str] = {"op4_pivots": OP4_SQL, "op5_minhash": OP5_SQL, "op9_token_counts": OP9_SQL}
+    op9_token_counts, op10_decontamination, op13_line_dedup)}
+SQL: dict[str, str] = {"op4_pivots": OP4_SQL, "op5_minhash": OP5_SQL, "op9_token_counts": OP9_SQL, "op13_line_dedup": OP13_SQL}
