@@ -83,9 +83,10 @@ class LineRuns:
         return self.spark.table(name)
 
     def _write(self, rows: DataFrame) -> dict:
+        """Write rows that are dealt by h as a run."""
         name = uuid.uuid4().hex
         path = f"{self.folder}/runs/{name}"
-        (rows.repartition(self.buckets, "h").sortWithinPartitions("h", "g").write.bucketBy(self.buckets, "h").sortBy("h", "g")
+        (rows.sortWithinPartitions("h", "g").write.bucketBy(self.buckets, "h").sortBy("h", "g")
          .option("path", path).format("parquet").saveAsTable(f"line_run_{name}"))
         return {"path": path, "buckets": self.buckets}
 
@@ -94,7 +95,8 @@ class LineRuns:
         rows = self.run(runs[0])
         for run in runs[1:]:
             rows = rows.unionByName(self.run(run))
-        return rows.groupBy(*_KEY).agg(F.sum("docs").alias("docs"), F.max("largest").alias("largest"))
+        # Dealt explicitly: the union of bucketed tables is not bucketed.
+        return rows.repartition(self.buckets, "h").groupBy(*_KEY).agg(F.sum("docs").alias("docs"), F.max("largest").alias("largest"))
 
     def add(self, batch: DataFrame) -> None:
         """Add the lines (doc_id, h, g) of a batch of documents."""
@@ -104,7 +106,7 @@ class LineRuns:
             done = self.run(known).where(F.col("docs") >= self.min_docs).select(*_KEY, F.col("largest").alias("known"))
             fresh = fresh.join(done, (fresh["h"] == done["h"]) & (fresh["g"] == done["g"]) & (done["known"] >= fresh["largest"]), "left_anti")
         levels = [list(level) for level in levels] or [[]]
-        levels[0].append(self._write(fresh))
+        levels[0].append(self._write(fresh.repartition(self.buckets, "h")))
         k = 0
         while k < len(levels) and len(levels[k]) >= self.fanout:
             if k + 1 == len(levels):
