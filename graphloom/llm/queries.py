@@ -7,6 +7,7 @@ from graphloom.llm.line_dedup import OP13_SQL, op13_line_dedup
 from graphloom.llm.language_model import op3_language_model
 from graphloom.llm.minhash import op5_minhash
 from graphloom.llm.mixing import op2_mixing
+from graphloom.llm.phrases import OP11_SQL, op11_phrases
 from graphloom.llm.pivots import op4_pivots
 from graphloom.llm.quality import op6_quality
 from graphloom.llm.ranked_search import OP12_SQL, op12_ranked_search
@@ -52,6 +53,6 @@ SELECT node AS doc_id, coalesce(n, 0) AS n_shingles, component_id, node = compon
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_mixing, op3_language_model, op4_pivots, op5_minhash, op6_quality, op7_sharding, op8_token_files,
-    op9_token_counts, op10_decontamination, op12_ranked_search, op13_line_dedup)}
-SQL: dict[str, str] = {"op4_pivots": OP4_SQL, "op5_minhash": OP5_SQL, "op9_token_counts": OP9_SQL, "op12_ranked_search": OP12_SQL,
+    op9_token_counts, op10_decontamination, op11_phrases, op12_ranked_search, op13_line_dedup)}
+SQL: dict[str, str] = {"op4_pivots": OP4_SQL, "op5_minhash": OP5_SQL, "op9_token_counts": OP9_SQL, "op11_phrases": OP11_SQL, "op12_ranked_search": OP12_SQL,
                       "op13_line_dedup": OP13_SQL}
