@@ -22,6 +22,7 @@ columns are not read.
 from __future__ import annotations
 
 import uuid
+import zlib
 from functools import reduce
 
 import numpy as np
@@ -120,7 +121,7 @@ def _count_step(masks, window: int, singles: bool, longest: int):
     """(h, f) of the phrases that are due in a step: both halves have reached the threshold, one of them within the window."""
 
     def run(batches):
-        mask = masks.value
+        mask = _unpacked(masks)
         slot = np.uint64(len(mask) - 1)
 
         def due(first, second):
@@ -141,7 +142,7 @@ def _count_words(masks, longest: int):
     """(lang, k, phrase, f) of the phrases whose slot has reached the threshold, by their words; and each language's words (k = 0)."""
 
     def run(batches):
-        mask = masks.value
+        mask = _unpacked(masks)
         slot = np.uint64(len(mask) - 1)
         reached = lambda h: mask[(h >> np.uint64(4)) & slot] != 0
 
@@ -195,13 +196,17 @@ class _Masks:
         return any(row["shorter"] for row in found)
 
     def sent(self):
-        """The table as a broadcast of its fixed size; the one before is dropped."""
+        """The table as a broadcast of bounded size, packed, for most slots are empty in a small corpus; the one before is dropped."""
         if self.held is not None:
-            self.held.unpersist()
-        self.held = self.spark.sparkContext.broadcast(self.table)
+            self.held.destroy()
+        self.held = self.spark.sparkContext.broadcast(zlib.compress(self.table.tobytes(), 1))
         return self.held
 
 
+def _unpacked(masks) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(masks.value), np.uint32)
+
+
 def _bucketed(rows: DataFrame, name: str, folder: str) -> DataFrame:
     """A table of (h, f) in the shared folder, bucketed by h: joining it moves the other side only."""
     spark, buckets = rows.sparkSession, task_count(rows.sparkSession)
