@@ -125,6 +125,45 @@ def stored_quads_scan(spark, d):
     return pattern(read_quads(spark, path), "?s", "<orders/custkey>", "?o")
 
 
+_CELLS = """SELECT '<customer/' || c_custkey || '>' AS s, unnest(['<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>', '<customer/custkey>', '<customer/name>',
+'<customer/nationkey>', '<customer/acctbal>', '<customer/mktsegment>']) AS p, unnest(['<customer>',
+'"' || c_custkey || '"^^<http://www.w3.org/2001/XMLSchema#integer>', '"' || c_name || '"', '<nation/' || c_nationkey || '>',
+'"' || CASE WHEN c_acctbal = floor(c_acctbal) THEN c_acctbal::BIGINT::VARCHAR ELSE c_acctbal::VARCHAR END || '"^^<http://www.w3.org/2001/XMLSchema#double>',
+'"' || c_mktsegment || '"']) AS o FROM customer WHERE c_custkey = 7"""
+
+
+def _changed_store(spark, d) -> QuadStore:
+    """Orders and customers, clustered, and changes that no base holds yet."""
+    store = QuadStore(spark, _folder(spark)).create(graph(spark, d, "orders", "customer").quads())
+    store.update(inserts=up.quads_of(spark, [("<customer/7>", "<vip>", '"yes"'), ("<list>", "<member>", "<customer/7>")]),
+                 deletes=up.quads_of(spark, [("<customer/7>", "<customer/nationkey>", f"<nation/{n}>") for n in range(25)]))
+    return store
+
+
+@query("SELECT p, o FROM (" + _CELLS + """) WHERE p <> '<customer/nationkey>' UNION ALL SELECT '<vip>', '"yes"'""")
+def scan_subject_bound(spark, d):
+    """All about one subject, from the copy that is clustered by subject, with the changes since."""
+    return pattern(_changed_store(spark, d).graph(), "<customer/7>", "?p", "?o")
+
+
+@query("""SELECT '<orders/' || o_orderkey || '>' AS s, '<orders/custkey>' AS p FROM orders WHERE o_custkey = 7
+UNION ALL SELECT '<list>', '<member>'""")
+def scan_object_bound(spark, d):
+    """All that points to one object, from the copy that is clustered by object, with the changes since."""
+    return pattern(_changed_store(spark, d).graph(), "?s", "?p", "<customer/7>")
+
+
+@query("SELECT 's' AS what, p, o AS x FROM (" + _CELLS + """) UNION ALL
+SELECT 'o', '<orders/custkey>', '<orders/' || o_orderkey || '>' FROM orders WHERE o_custkey = 7
+UNION ALL SELECT 'n', '<orders/orderstatus>', '<orders/' || o_orderkey || '>' FROM orders WHERE o_orderstatus = 'F'""")
+def scan_mapped_constants(spark, d):
+    """A constant subject or object with a variable predicate on mapped tables: filters on the key and on the columns."""
+    g = graph(spark, d, "orders", "customer", "nation")
+    parts = [pattern(g, "<customer/7>", "?p", "?x"), pattern(g, "?x", "?p", "<customer/7>"), pattern(g, "?x", "?p", '"F"')]
+    whats = [p.select(F.lit(w).alias("what"), "p", "x") for w, p in zip("son", parts)]
+    return whats[0].unionByName(whats[1]).unionByName(whats[2])
+
+
 # --- updates --------------------------------------------------------------------------------------------------------
 
 def _status(spark, d):
@@ -303,6 +342,21 @@ def change_feed_stream(spark, d):
     return store.current().select(up.KEY)
 
 
+@query(_CHANGES + _STATE)
+def change_feed_two_sources(spark, d):
+    """Two feeds into one store, a compaction between them, and the first feed once more with nothing new."""
+    store = QuadStore(spark, _folder(spark)).create(_event_base(spark, d))
+    stream = (spark.readStream.schema(table(spark, d, "events").schema).option("pathGlobFilter", "events.parquet")
+              .parquet(d))
+    checkpoints = [_folder(spark), _folder(spark)]
+    for part in (0, 1, 0):
+        feed = start_feed(_event_changes(stream.where(F.col("user_id") % 2 == part)), store, checkpoints[part], available_now=True)
+        feed.awaitTermination()
+        if part == 0:
+            store.compact()
+    return store.current().select(up.KEY)
+
+
 # --- views ----------------------------------------------------------------------------------------------------------
 
 @query("""SELECT '<orders/' || o_orderkey || '>' AS order_iri, o_totalprice AS price FROM orders WHERE o_orderpriority = '1-URGENT'""")

@@ -1,10 +1,14 @@
 """Text search over the documents and predicate statistics."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.registry import graph, query, table, table_map
 from graphloom.operators import predicates as pr, text as tx
+from graphloom.session import shared_folder
 from graphloom.sources.mapping import MappedGraph
+from graphloom.sources.textstore import TextStore
 
 _TOKENS = r"""WITH t AS (SELECT doc_id AS record, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{Nd}]+')) AS word
 FROM documents), tok AS (SELECT * FROM t WHERE word <> ''),
@@ -18,9 +22,69 @@ def _docs(spark, d):
     return table(spark, d, "documents").select(F.col("doc_id").alias("record"), "text", "source")
 
 
+def _with_sources(spark, d):
+    return _docs(spark, d).withColumn("entity", F.concat(F.lit("<source/"), F.col("source"), F.lit(">")))
+
+
+def _new_store(spark) -> TextStore:
+    return TextStore(spark, f"{shared_folder(spark)}/text-{uuid.uuid4().hex}")
+
+
+_STORES: dict[tuple[str, str], TextStore] = {}
+
+
+def _store(spark, d) -> TextStore:
+    """The text index of a folder's documents: built on first use in a session, then searched as often as one likes."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STORES:
+        _STORES[key] = _new_store(spark)
+        _STORES[key].add(_with_sources(spark, d), entity="entity")
+    return _STORES[key]
+
+
 def _postings(spark, d):
-    docs = _docs(spark, d).withColumn("entity", F.concat(F.lit("<source/"), F.col("source"), F.lit(">")))
-    return tx.build_postings(docs, entity="entity")
+    return _store(spark, d).postings()
+
+
+@query(_TOKENS + """, kept AS (SELECT c.* FROM c WHERE record NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
+UNION ALL SELECT c.* FROM c JOIN documents ON record = doc_id WHERE source = 'src1' AND record IN (SELECT doc_id FROM labels WHERE toxic = 1))
+SELECT record, word, tf::DOUBLE AS score, false AS is_entity FROM kept
+UNION ALL SELECT DISTINCT record, '<source/' || source || '>', 0.0, true FROM (SELECT DISTINCT record FROM kept) JOIN documents ON record = doc_id""")
+def text_index_segments(spark, d):
+    """An index built from two segments, one of them delivered twice; toxic records are deleted, some come back, and the segments are merged."""
+    store, docs = _new_store(spark), _with_sources(spark, d).where("trim(text) <> ''")
+    for part in (0, 1, 0):
+        store.add(docs.where(F.col("record") % 2 == part), entity="entity", batch=f"half-{part}")
+    toxic = table(spark, d, "labels").where("toxic = 1").select(F.col("doc_id").alias("record"))
+    store.delete(toxic)
+    store.merge()
+    store.add(docs.join(toxic, "record", "left_semi").where("source = 'src1'"), entity="entity", replace=True)
+    return store.postings()
+
+
+@query(r"""WITH w AS (SELECT DISTINCT p_partkey, p_brand, p_size, unnest(regexp_split_to_array(lower(p_name), '[^\p{L}\p{Nd}]+')) AS word FROM part)
+SELECT p_partkey AS text, '<brand/' || p_brand || '>' AS entity, p_size::DOUBLE AS score FROM w WHERE word = 'widget'""")
+def text_words_file(spark, d):
+    """A words file with own scores as a segment: records that hold a word, with their entities and what the file scores them."""
+    part, path = table(spark, d, "part"), f"{shared_folder(spark)}/words-{uuid.uuid4().hex}"
+    words = part.select(F.explode(F.array_distinct(tx.tokens("p_name"))).alias("w"), F.lit("0").alias("e"), "p_partkey", F.lit("1.0").alias("s"))
+    brands = part.select(F.concat(F.lit("<brand/"), F.col("p_brand"), F.lit(">")).alias("w"), F.lit("1").alias("e"), "p_partkey", F.col("p_size").cast("string").alias("s"))
+    words.unionByName(brands).select(F.concat_ws("\t", "w", "e", "p_partkey", "s").alias("value")).write.text(path)
+    store = _new_store(spark)
+    store.add_words(tx.read_words(spark, path))
+    return tx.entity_search(store.postings(), "Widget", score="score")
+
+
+@query(_TOKENS + _STATS + """SELECT w AS word, false AS is_entity, doc_id * 3 - 1 AS record, round(coalesce(c.tf * 2.75 / (1.75 * (0.25 + 0.75 * dl.dl / avdl) + c.tf)
+* log2(n.n / df.df), 0), 5) AS score FROM documents CROSS JOIN (SELECT unnest(['the', 'der', 'les']) AS w) t
+LEFT JOIN c ON c.record = doc_id AND c.word = w LEFT JOIN df ON df.word = w LEFT JOIN dl ON dl.record = doc_id, n""")
+def text_score_postings(spark, d):
+    """Scores for given postings: each record takes the text of the next document at or after it."""
+    docs = _docs(spark, d).withColumn("record", F.col("record") * 3)
+    given = docs.select((F.col("record") - 1).alias("record"), F.explode(F.array(*[F.lit(w) for w in ("the", "der", "les")])).alias("word"))
+    postings = given.select("word", F.lit(False).alias("is_entity"), "record", F.lit(1.0).alias("score"))
+    scored = tx.score_postings(postings, docs, tx.Scoring("bm25"))
+    return scored.withColumn("score", F.round("score", 5))
 
 
 @query(_TOKENS + "SELECT record, word, tf FROM c")
@@ -90,7 +154,7 @@ def text_score_tfidf(spark, d):
 * log2(n.n / df.df), 5) AS score FROM c JOIN df USING (word) JOIN dl USING (record), n
 WHERE word IN ('the', 'der', 'les', 'leaux')""")
 def text_score_bm25(spark, d):
-    scored = tx.scored_postings(_docs(spark, d), tx.Scoring("bm25"), words=["the", "der", "les", "leaux"])
+    scored = _store(spark, d).scored(tx.Scoring("bm25"), ["the", "der", "les", "leaux"])
     return scored.withColumn("score", F.round("score", 5))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from graphloom.functions.terms import DEFAULT_GRAPH, typed
-from graphloom.sources.mapping import MappedGraph, distinct_quads
+from graphloom.sources.mapping import QuadSource, distinct_quads
 from graphloom.sources.store import PREDICATE_BUCKET, predicate_bucket
 
 
@@ -16,8 +16,8 @@ def is_var(x) -> bool:
 
 
 def as_quads(graph, predicates: Sequence[str] | None = None) -> DataFrame:
-    """Quads of a DataFrame or of a mapped graph, cut down to constant predicates where known."""
-    if isinstance(graph, MappedGraph):
+    """Quads of a DataFrame, a mapped or a stored graph, cut down to constant predicates where known."""
+    if isinstance(graph, QuadSource):
         return graph.quads(predicates)
     if predicates is None:
         return graph
@@ -32,8 +32,9 @@ def pattern(graph, s: str, p: str, o: str, g: str | None = None, as_type: str |
     ``?name`` is a variable, anything else a constant in canonical text.  The same variable twice means equality.
     ``as_type`` gives the object variable as a plain typed column instead of canonical text.
     """
-    if isinstance(graph, MappedGraph) and not is_var(p):
-        quads = graph.quads([p], s=None if is_var(s) else s, o=None if is_var(o) else o)
+    held = isinstance(graph, QuadSource)
+    if held:
+        quads = graph.quads(None if is_var(p) else [p], s=None if is_var(s) else s, o=None if is_var(o) else o)
     else:
         quads = as_quads(graph, None if is_var(p) else [p])
     if g is not None and is_var(g):
@@ -42,8 +43,8 @@ def pattern(graph, s: str, p: str, o: str, g: str | None = None, as_type: str |
     first: dict[str, str] = {}
     for column, value in parts:
         if not is_var(value):
-            # A mapped graph has already compared subject and object with its own columns.
-            if column == "g" or not (isinstance(graph, MappedGraph) and not is_var(p)):
+            # Mapped and stored graphs have already compared subject, predicate and object with their own columns.
+            if column == "g" or not held:
                 quads = quads.where(F.col(column) == F.lit(value))
         elif value in first:
             quads = quads.where(F.col(column) == F.col(first[value]))
@@ -60,16 +61,16 @@ def pattern(graph, s: str, p: str, o: str, g: str | None = None, as_type: str |
 
 def from_graphs(graph, graphs: Sequence[str]):
     """FROM: the listed graphs merged into one default graph, as a set of triples."""
-    if isinstance(graph, MappedGraph):
-        return graph.in_graphs(lambda g: g in graphs, merged=True)
+    if isinstance(graph, QuadSource):
+        return graph.merged_graphs(graphs)
     merged = graph.where(F.col("g").isin(list(graphs))).withColumn("g", F.lit(DEFAULT_GRAPH))
     return merged if len(set(graphs)) == 1 else distinct_quads(merged)
 
 
 def from_named(graph, graphs: Sequence[str]):
     """FROM NAMED: only the listed graphs can be reached by a graph variable."""
-    if isinstance(graph, MappedGraph):
-        return graph.in_graphs(lambda g: g in graphs)
+    if isinstance(graph, QuadSource):
+        return graph.only(graphs)
     return graph.where(F.col("g").isin(list(graphs)))
 
 
@@ -78,6 +79,6 @@ def graph_only(graph, name: str):
 
 
 def graph_except(graph, name: str):
-    if isinstance(graph, MappedGraph):
-        return graph.in_graphs(lambda g: g != name)
+    if isinstance(graph, QuadSource):
+        return graph.without(name)
     return graph.where(F.col("g") != name)

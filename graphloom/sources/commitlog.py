@@ -46,15 +46,6 @@ class CommitLog:
         finally:
             stream.close()
 
-    def since(self, base: Callable[[dict], bool]) -> list[tuple[int, dict]]:
-        """The newest entry for which ``base`` holds and all entries after it, in order; all entries if it holds for none."""
-        out = []
-        for number in reversed(self.numbers()):
-            out.append((number, self.get(number)))
-            if base(out[-1][1]):
-                break
-        return out[::-1]
-
     def put(self, number: int, entry: dict) -> bool:
         """Create one number; False if somebody else did."""
         draft, final = self._file(f"_drafts/{uuid.uuid4().hex}"), self._file(f"{number:012d}.json")
@@ -83,3 +74,7 @@ class CommitLog:
                 return None
             if self.put(number, entry):
                 return number
+
+    def remove(self, path: str) -> bool:
+        """Remove a folder that entries name; whether it was there."""
+        return bool(self._fs.delete(self._hadoop.Path(path), True))

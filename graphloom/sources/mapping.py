@@ -76,10 +76,17 @@ class TableMap:
             if not (constant.startswith(head) and constant.endswith(">")):
                 return F.lit(False)
             return _same_key(column, kind, constant[len(head):-1])
-        if whole and re.fullmatch(rf'"-?\d+"\^\^<{re.escape(terms.XSD)}integer>', constant):
-            return _same_key(column, kind, constant[1:constant.rindex('"')])
+        if not constant.startswith('"'):
+            # Only references are anything but literals.
+            return F.lit(False)
+        if whole:
+            number = re.fullmatch(rf'"(-?\d+)"\^\^<{re.escape(terms.XSD)}integer>', constant)
+            return _same_key(column, kind, number[1]) if number else F.lit(False)
         if isinstance(kind, T.StringType) and column not in self.lang and "\\" not in constant:
             return F.col(column) == F.lit(constant[1:-1]) if re.fullmatch(r'(?s)".*"', constant) else F.lit(False)
+        if not isinstance(kind, T.StringType) and not constant.endswith(">"):
+            # Literals of other types carry their type.
+            return F.lit(False)
         return terms.canonical(self.term(column)) == F.lit(constant)
 
     def is_subject(self, constant: str) -> Column:
@@ -109,21 +116,36 @@ class TableMap:
             F.lit(self.graph).alias("g"),
         )
 
-    def unpivot(self) -> DataFrame:
+    def may_hold(self, constant: str) -> bool:
+        """Whether a constant can be the name of a row."""
+        return constant.startswith(f"<{self.name}/") and constant.endswith(">")
+
+    def unpivot(self, s: str | None = None, o: str | None = None) -> DataFrame:
         """All cells in one pass: rows are multiplied by a cell number, which then picks the cell.
 
         What a query does not use (the text or the term) is not computed, as every part is an expression of its own.
+        A constant subject is a filter on the key; a constant object is a filter on the columns that can hold it, first
+        for rows and then for cells.
         """
         predicates = [RDF_TYPE, *self.columns()]
         cells = [self._cell(p) for p in predicates]
-        rows = self.df.withColumn("__cell", F.explode(F.array(*[F.lit(n) for n in range(len(cells))])))
-        present = _pick([F.lit(True), *[F.col(c).isNotNull() for c in self.columns().values()]])
+        present = [F.lit(True), *[F.col(c).isNotNull() for c in self.columns().values()]]
+        rows = self.df if s is None else self.df.where(self.is_subject(s))
+        if o is not None:
+            present = [F.lit(canonical_iri(self.name) == o), *[self.equals(c, o) for c in self.columns().values()]]
+            rows = rows.where(reduce(Column.__or__, present))
+        rows = rows.withColumn("__cell", F.explode(F.array(*[F.lit(n) for n in range(len(cells))])))
+        present = _pick(present)
         return rows.where(present).select(
             self.subject().alias("s"), _pick([F.lit(p) for p in predicates]).alias("p"),
             _pick([text for _, text in cells]).alias("o"), _pick([term for term, _ in cells]).alias("o_term"),
             F.lit(self.graph).alias("g"))
 
 
+def canonical_iri(name: str) -> str:
+    return f"<{name}>"
+
+
 def _same_key(column: str, kind: T.DataType, key: str) -> Column:
     """Column equals the value whose text is ``key``."""
     if isinstance(kind, T.IntegralType):
@@ -154,7 +176,26 @@ def distinct_quads(quads: DataFrame) -> DataFrame:
     return texts.select("s", "p", "o", terms.parse_term("o").alias("o_term"), "g")
 
 
-class MappedGraph:
+class QuadSource:
+    """A graph that is not one DataFrame: it gives the quads that a pattern's constants leave.
+
+    ``only``, ``without`` and ``merged_graphs`` restrict it to graphs, the last one as one default graph.
+    """
+
+    def quads(self, predicates: Sequence[str] | None = None, s: str | None = None, o: str | None = None) -> DataFrame:
+        raise NotImplementedError
+
+    def only(self, graphs: Sequence[str]) -> "QuadSource":
+        raise NotImplementedError
+
+    def without(self, graph: str) -> "QuadSource":
+        raise NotImplementedError
+
+    def merged_graphs(self, graphs: Sequence[str]) -> "QuadSource":
+        raise NotImplementedError
+
+
+class MappedGraph(QuadSource):
     """Tables seen as one set of quads; ``merged`` folds their graphs into one default graph."""
 
     def __init__(self, tables: Iterable[TableMap], merged: bool = False):
@@ -168,15 +209,24 @@ class MappedGraph:
         """Only the tables whose graph passes the test; the others are never scanned."""
         return MappedGraph([t for t in self.tables if keep(t.graph)], merged)
 
+    def only(self, graphs: Sequence[str]) -> "MappedGraph":
+        return self.in_graphs(lambda g: g in graphs)
+
+    def without(self, graph: str) -> "MappedGraph":
+        return self.in_graphs(lambda g: g != graph)
+
+    def merged_graphs(self, graphs: Sequence[str]) -> "MappedGraph":
+        return self.in_graphs(lambda g: g in graphs, merged=True)
+
     def owner(self, predicate: str) -> TableMap | None:
         """The only table with a predicate, if there is just one."""
         found = [t for t in self.tables if predicate in t.columns()]
         return found[0] if len(found) == 1 else None
 
     def quads(self, predicates: Sequence[str] | None = None, s: str | None = None, o: str | None = None) -> DataFrame:
-        """Quads, of the given predicates only; for those, constant subjects and objects become column filters."""
+        """Quads, of the given predicates only; constant subjects and objects become column filters."""
         if predicates is None:
-            parts = [t.unpivot() for t in self.tables]
+            parts = [t.unpivot(s, o) for t in self.tables if s is None or t.may_hold(s)]
         else:
             parts = [
                 t.one_predicate(p, s, o)

@@ -1,148 +1,183 @@
-"""A versioned quad set on a shared file system: a base, a change log, and a mark per published version.
+"""A versioned quad set on a shared file system: clustered base copies, a change log, and one linear order of both.
 
-Layout: ``base-<n>/`` Parquet, ``delta-<n>/at=<k>/batch=<id>/`` change log since that base, ``folded/<id>`` for each batch
-that a base holds, ``VERSION-<n>`` once that base is complete.  Writers add whole folders and publish a version by one
-rename to a new name, so readers never see half a change.  Batches count in the order in which they were first logged
-(``at``), and within a batch ``seq`` orders the changes of a quad; updates and feeds share that order.
+``log/`` holds numbered entries (``CommitLog``); the folders they name are complete before their entry appears, so readers
+never see half a change and a writer that dies leaves files that nobody reads.  An entry is a batch of changes or a
+base.  A base holds all entries up to a number; the state is the newest base and all batches with larger numbers, in the
+order of their numbers, whatever was compacted in between.  Within a batch ``seq`` orders the changes of a quad.
+
+A batch is named by a feed and a number within it and counts once: a feed's numbers ascend, so a base keeps the last number
+of each feed, and a repeated batch finds itself there or in the log.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from graphloom.operators import updates as up
-from graphloom.sources.store import PREDICATE_BUCKET, predicate_bucket, read_quads, write_quads
+from graphloom.sources.commitlog import CommitLog
+from graphloom.sources.store import ORDERS, StoredGraph, write_clustered
 
 CHANGES_DDL = "op string, s string, p string, o string, g string, seq bigint"
+_CHANGE = [c.split()[0] for c in CHANGES_DDL.split(", ")]
 
 
 class QuadStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.commits = CommitLog(spark, f"{self.path}/log")
+        self._draft: dict = {}
 
     # --- versions ---------------------------------------------------------------------------------------------------
 
-    def _exists(self, name: str) -> bool:
-        return self._fs.exists(self._Path(f"{self.path}/{name}"))
+    def _read(self) -> tuple[dict, list[tuple[int, dict]], int]:
+        """The newest base, the batches that it does not hold with their numbers, and the newest number."""
+        numbers = self.commits.numbers()
+        base, batches = None, []
+        for number in reversed(numbers):
+            if base is not None and number <= base["upto"]:
+                break
+            entry = self.commits.get(number)
+            if entry["kind"] == "batch":
+                batches.append((number, entry))
+            elif base is None:
+                base = entry
+        if base is None:
+            raise ValueError(f"{self.path} holds no quad store")
+        return base, batches[::-1], numbers[-1]
 
     def version(self) -> int:
         """The newest published version."""
-        marks = self._fs.globStatus(self._Path(f"{self.path}/VERSION-*"))
-        found = [int(m.getPath().getName().split("-")[1]) for m in marks or []]
-        if not found:
-            raise ValueError(f"{self.path} holds no quad store")
-        return max(found)
-
-    def _publish(self, version: int) -> None:
-        fresh = self._Path(f"{self.path}/_VERSION-{version}")
-        self._fs.create(fresh, True).close()
-        if not self._fs.rename(fresh, self._Path(f"{self.path}/VERSION-{version}")):
-            raise RuntimeError("could not publish the new version")
-
-    def create(self, quads: DataFrame) -> "QuadStore":
-        if self._exists("VERSION-0"):
+        return self._read()[0]["version"]
+
+    def _base(self, version: int) -> dict:
+        for number in reversed(self.commits.numbers()):
+            entry = self.commits.get(number)
+            if entry["kind"] == "base" and entry["version"] == version:
+                return entry
+        raise ValueError(f"{self.path} has no version {version}")
+
+    def create(self, quads: DataFrame, orders: tuple[str, ...] = ORDERS) -> "QuadStore":
+        """A new store.  ``orders`` are the clustered copies that it keeps: by predicate, subject and object."""
+        if self.commits.last() >= 0:
+            raise ValueError(f"{self.path} already holds a quad store")
+        name = f"base-{uuid.uuid4().hex}"
+        copies = write_clustered(up.with_terms(quads), f"{self.path}/{name}", orders)
+        if not self.commits.put(0, {"kind": "base", "version": 0, "upto": -1, "path": name, "orders": copies, "feeds": {}}):
             raise ValueError(f"{self.path} already holds a quad store")
-        write_quads(up.with_terms(quads), f"{self.path}/base-0")
-        self._publish(0)
         return self
 
     # --- reading ----------------------------------------------------------------------------------------------------
 
+    def _graph(self, base: dict, changes: DataFrame | None = None) -> StoredGraph:
+        return StoredGraph(self.spark, f"{self.path}/{base['path']}", base["orders"], changes)
+
+    def graph(self) -> StoredGraph:
+        """The current state as a graph: patterns read the copy that suits what they bind."""
+        base, batches, _ = self._read()
+        return self._graph(base, self._logged(batches) if batches else None)
+
     def base(self, *predicates: str) -> DataFrame:
         return self.state(self.version(), *predicates)
 
     def state(self, version: int, *predicates: str) -> DataFrame:
         """The base of a version.  Constant predicates open their own folders only."""
-        quads = read_quads(self.spark, f"{self.path}/base-{version}")
-        if predicates:
-            buckets = sorted({predicate_bucket(p) for p in predicates})
-            quads = quads.where(F.col(PREDICATE_BUCKET).isin(buckets) & F.col("p").isin(*predicates))
-        return quads.drop(PREDICATE_BUCKET)
-
-    def _names(self, pattern: str) -> list[str]:
-        return [f.getPath().toString() for f in self._fs.globStatus(self._Path(f"{self.path}/{pattern}")) or []]
-
-    def _batches(self, version: int) -> dict[str, int]:
-        """Logged batches of a version and their places in the order."""
-        found = [p.rsplit("/", 2)[1:] for p in self._names(f"delta-{version}/at=*/batch=*")]
-        return {batch.split("=", 1)[1]: int(at.split("=", 1)[1]) for at, batch in found}
-
-    def _logged(self, version: int, batches: dict[str, int]) -> DataFrame:
-        base, ddl = f"{self.path}/delta-{version}", CHANGES_DDL + ", at bigint"
+        return self._graph(self._base(version)).quads(list(predicates) or None)
+
+    def _logged(self, batches: list[tuple[int, dict]]) -> DataFrame:
+        """The changes of batches with ``at``, the place of their batch."""
         if not batches:
-            return self.spark.createDataFrame([], ddl)
-        folders = [f"{base}/at={at}/batch={batch}" for batch, at in batches.items()]
-        return self.spark.read.schema(ddl).option("basePath", base).parquet(*folders).select(*[c.split()[0] for c in ddl.split(", ")])
+            return self.spark.createDataFrame([], CHANGES_DDL + ", at bigint")
+        folder = f"{self.path}/changes"
+        rows = self.spark.read.schema(CHANGES_DDL + ", attempt string").option("basePath", folder).parquet(
+            *[f"{folder}/attempt={entry['attempt']}" for _, entry in batches])
+        # One row for each batch since the last compaction.
+        places = self.spark.createDataFrame([(entry["attempt"], number) for number, entry in batches], "attempt string, at bigint")
+        return rows.join(F.broadcast(places), "attempt").select(*_CHANGE, "at")
 
     def changes(self) -> DataFrame:
-        version = self.version()
-        return self._logged(version, self._batches(version))
+        return self._logged(self._read()[1])
 
     def current(self, *predicates: str) -> DataFrame:
         """The state after all logged changes, of some predicates or of all."""
-        version = self.version()
-        base, batches = self.state(version, *predicates), self._batches(version)
-        if not batches:
-            return base
-        changes = self._logged(version, batches)
-        return up.merge_changes(base, changes.where(F.col("p").isin(*predicates)) if predicates else changes)
+        return self.graph().quads(list(predicates) or None)
 
     def statistics(self) -> DataFrame:
         return up.delta_statistics(self.base(), self.changes())
 
     # --- writing ----------------------------------------------------------------------------------------------------
 
-    def log(self, changes: DataFrame, batch: str) -> None:
-        """Add one batch of changes.  A repeated batch replaces itself, or does nothing once a base holds it."""
-        version = self.version()
-        if self._exists(f"folded/{batch}"):
-            return
-        known = self._batches(version)
-        at = known.get(batch, max(known.values(), default=-1) + 1)
-        columns = [F.col(c.split()[0]) for c in CHANGES_DDL.split(", ")]
-        changes.select(*columns).write.mode("overwrite").parquet(f"{self.path}/delta-{version}/at={at}/batch={batch}")
-        if self.version() != version:
-            # A compaction came in between and may not have seen this batch.
-            self._carry_over(version)
+    @staticmethod
+    def _last(base: dict, batches: list[tuple[int, dict]]) -> dict[str, int]:
+        """The last number of each feed."""
+        last = dict(base["feeds"])
+        for _, entry in batches:
+            if entry["feed"] is not None:
+                last[entry["feed"]] = max(entry["n"], last.get(entry["feed"], -1))
+        return last
+
+    def log(self, changes: DataFrame, batch: str, n: int = 0) -> bool:
+        """Add batch ``n`` of a feed (or a batch of its own name); False if it was there already.
+
+        A feed's numbers ascend: one that is not larger than the last does nothing.
+        """
+        return self._add(changes, batch, n)
+
+    def _add(self, changes: DataFrame, feed: str | None, n: int) -> bool:
+        known = lambda: feed is not None and self._last(*self._read()[:2]).get(feed, -1) >= n
+        if known():
+            return False
+        attempt = uuid.uuid4().hex
+        changes.select(*_CHANGE).write.parquet(f"{self.path}/changes/attempt={attempt}")
+        entry = {"kind": "batch", "feed": feed, "n": n, "attempt": attempt}
+        return self.commits.append(lambda: None if known() else entry) is not None
 
     def update(self, inserts: DataFrame | None = None, deletes: DataFrame | None = None) -> None:
         """Log one update; a quad in both sets ends up inserted."""
-        parts = []
-        for seq, op, quads in ((0, "delete", deletes), (1, "insert", inserts)):
-            if quads is not None:
-                parts.append(quads.select(F.lit(op).alias("op"), *up.KEY, F.lit(seq).cast("bigint").alias("seq")))
+        parts = [
+            quads.select(F.lit(op).alias("op"), *up.KEY, F.lit(seq).cast("bigint").alias("seq"))
+            for seq, op, quads in ((0, "delete", deletes), (1, "insert", inserts)) if quads is not None]
         if parts:
-            self.log(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]), f"u{uuid.uuid4().hex}")
+            self._add(reduce(DataFrame.unionByName, parts), None, 0)
 
     def compact(self) -> int:
-        """Fold the batches logged so far into a new base version; the old one stays readable until it is removed.
+        """Fold the batches logged so far into a new base; the old one stays readable until ``vacuum``.
 
-        Batches logged meanwhile move on to the new version's log.
+        Batches logged meanwhile have larger numbers than the base holds and stay in their order.
         """
-        version = self.version()
-        batches = self._batches(version)
-        folded = up.merge_changes(self.state(version), self._logged(version, batches)) if batches else self.state(version)
-        write_quads(folded, f"{self.path}/base-{version + 1}", mode="overwrite")
-        for batch in batches:
-            self._fs.create(self._Path(f"{self.path}/folded/{batch}"), True).close()
-        self._publish(version + 1)
-        self._carry_over(version)
-        return version + 1
-
-    def _carry_over(self, version: int) -> None:
-        """Move batches that no base holds from an older version's log to the newest one's."""
-        newest = self.version()
-        for batch, at in self._batches(version).items():
-            if not self._exists(f"folded/{batch}"):
-                folder = f"{self.path}/delta-{newest}/at={at}"
-                self._fs.mkdirs(self._Path(folder))
-                self._fs.rename(self._Path(f"{self.path}/delta-{version}/at={at}/batch={batch}"), self._Path(f"{folder}/batch={batch}"))
+        base, batches, number = self._read()
+        name, version = f"base-{uuid.uuid4().hex}", base["version"] + 1
+        folded = self._graph(base, self._logged(batches) if batches else None).quads()
+        copies = write_clustered(folded, f"{self.path}/{name}", _by_place(base))
+        self._draft = {"kind": "base", "version": version, "upto": number, "path": name, "orders": copies, "feeds": self._last(base, batches)}
+        self._publish(version)
+        return self.version()
+
+    def _publish(self, version: int) -> None:
+        """Commit the base that was written, unless another compaction was faster."""
+        self.commits.append(lambda: None if self.version() >= version else self._draft)
+
+    def vacuum(self) -> int:
+        """Remove the files of older versions and of the batches that the newest base holds; how many folders went.
+
+        Nobody may still read an older version.
+        """
+        newest, gone = self._read()[0], []
+        for number in self.commits.numbers():
+            entry = self.commits.get(number)
+            if entry["kind"] == "batch" and number <= newest["upto"]:
+                gone.append(f"changes/attempt={entry['attempt']}")
+            elif entry["kind"] == "base" and entry["version"] < newest["version"]:
+                gone.append(entry["path"])
+        return sum(self.commits.remove(f"{self.path}/{name}") for name in gone)
 
     def clone(self, path: str) -> "QuadStore":
         """Copy the current state under a new path."""
-        return QuadStore(self.spark, path).create(self.current())
+        return QuadStore(self.spark, path).create(self.current(), _by_place(self._read()[0]))
+
+
+def _by_place(base: dict) -> tuple[str, ...]:
+    """The copies of a base, the first one first (entries come back sorted by name)."""
+    return tuple(c for c in ORDERS if c in base["orders"])

@@ -1,43 +1,125 @@
-"""Quads at rest: Parquet, pruned by predicate and sorted by subject."""
+"""Quads at rest: Parquet copies clustered by predicate, by subject and by object.
+
+Every copy is dealt into folders by a hash bucket of its column, so the number of folders is bounded, and sorted within them,
+so that row groups have tight ranges.  A pattern reads the copy of what it binds: one folder, and there the row groups whose
+range holds the constant.
+"""
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from graphloom.sources.mapping import distinct_quads
+from graphloom.functions.terms import DEFAULT_GRAPH
+from graphloom.session import cut_lineage
+from graphloom.sources.mapping import QuadSource, distinct_quads
 
 PREDICATE_BUCKET = "p_bucket"
 N_BUCKETS = 512
+#: The copies of a clustered store, by their leading column, and what each is sorted by.
+ORDERS = ("p", "s", "o")
+#: Quads for which the copies by subject and by object have a folder; most folders of one copy.
+BUCKET_ROWS, MOST_BUCKETS = 4_000_000, 8192
+_SORTED = {"p": ("p", "s"), "s": ("s", "p"), "o": ("o", "p", "s")}
 
 
-def predicate_bucket(predicate: str) -> int:
-    """Bucket of a constant predicate; the same formula as ``_bucket_column``."""
-    return zlib.crc32(predicate.encode("utf-8")) % N_BUCKETS
+def predicate_bucket(text: str, buckets: int = N_BUCKETS) -> int:
+    """Bucket of a constant; the same formula as ``_bucket_column``."""
+    return zlib.crc32(text.encode("utf-8")) % buckets
 
 
-def _bucket_column():
-    return (F.crc32(F.col("p")) % N_BUCKETS).cast("int")
+def _bucket_column(column: str, buckets: int = N_BUCKETS):
+    return (F.crc32(F.col(column)) % buckets).cast("int")
 
 
-def write_quads(quads: DataFrame, path: str, mode: str = "error") -> None:
-    """Store a quad set.
+def _write_copy(quads: DataFrame, path: str, column: str, mode: str = "error", buckets: int = N_BUCKETS) -> None:
+    """One clustered copy of a quad set.
 
-    Folders follow a hash bucket of the predicate, so their number is fixed however many predicates there are.
-    Range partitioning on (bucket, predicate, subject) spreads a predicate that holds most of the data over many
-    tasks and files, and the sort gives row groups tight subject ranges.
+    Range partitioning on (bucket, sort columns) spreads a predicate or object that holds most of the data over many
+    tasks and files.
     """
-    (
-        distinct_quads(quads)
-        .withColumn(PREDICATE_BUCKET, _bucket_column())
-        .repartitionByRange(PREDICATE_BUCKET, "p", "s")
-        .sortWithinPartitions(PREDICATE_BUCKET, "p", "s")
-        .write.mode(mode)
-        .partitionBy(PREDICATE_BUCKET)
-        .parquet(path)
-    )
+    bucket = f"{column}_bucket"
+    order = [bucket, *_SORTED[column]]
+    (quads.withColumn(bucket, _bucket_column(column, buckets)).repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.mode(mode).partitionBy(bucket).parquet(path))
+
+
+def write_quads(quads: DataFrame, path: str, mode: str = "error") -> None:
+    """Store a quad set as one copy by predicate."""
+    _write_copy(distinct_quads(quads), path, "p", mode)
 
 
 def read_quads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def write_clustered(quads: DataFrame, path: str, orders: Sequence[str] = ORDERS) -> dict[str, int]:
+    """Store a quad set in several copies; the number of folders of each.
+
+    The set is de-duplicated once and the other copies are made from the first.  Subjects and objects get a folder for
+    about every BUCKET_ROWS quads, so a lookup opens a bounded part of the files however large the set is.
+    """
+    if not orders or not set(orders) <= set(ORDERS):
+        raise ValueError(f"copies are some of {ORDERS}")
+    spark, first, out = quads.sparkSession, orders[0], {}
+    quads = distinct_quads(quads)
+    if first != "p":
+        # Its number of folders needs the number of quads.
+        quads = cut_lineage(quads, "quads")
+    for n, column in enumerate(orders):
+        source = quads if n == 0 else spark.read.parquet(f"{path}/by_{first}").drop(f"{first}_bucket")
+        out[column] = N_BUCKETS if column == "p" else min(MOST_BUCKETS, max(1, source.count() // BUCKET_ROWS))
+        _write_copy(source, f"{path}/by_{column}", column, buckets=out[column])
+    return out
+
+
+class StoredGraph(QuadSource):
+    """Clustered copies of a quad set and the changes logged since they were written.
+
+    Constants reach the scan as a bucket and as a range of the copy, and they cut down the changes too.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, orders: Mapping[str, int], changes: DataFrame | None = None,
+                 then: Callable[[DataFrame], DataFrame] | None = None):
+        self.spark, self.path, self.orders, self.changes, self.then = spark, path, dict(orders), changes, then
+
+    def copy_for(self, predicates: Sequence[str] | None, s: str | None, o: str | None) -> str:
+        """The copy that a pattern with these constants reads: a subject is rarest, a predicate commonest."""
+        bound = {"s": s is not None, "o": o is not None, "p": predicates is not None}
+        return next((c for c in ("s", "o", "p") if bound[c] and c in self.orders), next(c for c in ORDERS if c in self.orders))
+
+    def quads(self, predicates: Sequence[str] | None = None, s: str | None = None, o: str | None = None) -> DataFrame:
+        from graphloom.operators.updates import merge_changes
+
+        held = {"s": None if s is None else [s], "o": None if o is None else [o], "p": None if predicates is None else list(predicates)}
+        column = self.copy_for(predicates, s, o)
+        base = self.spark.read.parquet(f"{self.path}/by_{column}")
+        if held[column] is not None:
+            base = base.where(F.col(f"{column}_bucket").isin([predicate_bucket(x, self.orders[column]) for x in held[column]]))
+        out = _restricted(base, held).select("s", "p", "o", "o_term", "g")
+        if self.changes is not None:
+            out = merge_changes(out, _restricted(self.changes, held))
+        return self.then(out) if self.then else out
+
+    def _and(self, step: Callable[[DataFrame], DataFrame]) -> "StoredGraph":
+        before = self.then
+        return StoredGraph(self.spark, self.path, self.orders, self.changes, (lambda df: step(before(df))) if before else step)
+
+    def only(self, graphs: Sequence[str]) -> "StoredGraph":
+        return self._and(lambda df: df.where(F.col("g").isin(list(graphs))))
+
+    def without(self, graph: str) -> "StoredGraph":
+        return self._and(lambda df: df.where(F.col("g") != graph))
+
+    def merged_graphs(self, graphs: Sequence[str]) -> "StoredGraph":
+        merge = lambda df: df.withColumn("g", F.lit(DEFAULT_GRAPH))
+        return self.only(graphs)._and(merge if len(set(graphs)) == 1 else lambda df: distinct_quads(merge(df)))
+
+
+def _restricted(rows: DataFrame, held: dict[str, list[str] | None]) -> DataFrame:
+    for column, values in held.items():
+        if values is not None:
+            rows = rows.where(F.col(column) == values[0] if len(values) == 1 else F.col(column).isin(values))
+    return rows
