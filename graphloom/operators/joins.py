@@ -1,9 +1,10 @@
 """Joins of solution tables on their shared variables.
 
 An unbound (NULL) shared variable is compatible with every value and the output takes the bound side.  Shared variables
-that are always bound use plain equi-joins.  Where NULLs can occur, rows are split by *mask* (which shared variables are
-bound) and each pair of masks is equi-joined on the variables both sides bind, so work stays hash or sort-merge
-joinable.  Only rows that have no commonly bound variable at all form a product, because that product is the result.
+that are always bound use plain equi-joins.  Where NULLs can occur, each row is tagged with its *mask* (which shared variables
+it binds) and copied once for each mask of the other side; one equi-join on the pair of masks and on the variables that both
+of them bind then finds every partner once, in one pass over each input.  Only rows that have no commonly bound variable at
+all form a product, because that product is the result; it is dealt over a grid of cells.
 """
 
 from __future__ import annotations
@@ -45,47 +46,71 @@ def _subsets(columns: Sequence[str]) -> list[tuple[str, ...]]:
 def _masks(df: DataFrame, optional: Sequence[str]) -> list[tuple[str, ...]]:
     """Which sets of optional columns are bound together in some row.
 
-    With one column both sets are taken as possible (the null counts in Parquet footers make an absent one free).
+    Up to two columns all sets are taken as possible: at most four copies of a row cost less than a pass over the input.
     With more, one aggregate pass finds the few that occur; its result has at most 2^columns rows.
     """
-    if len(optional) < 2:
+    if len(optional) <= 2:
         return _subsets(optional)
     bits = F.array(*[F.col(c).isNotNull() for c in optional])
     found = df.select(bits.alias("bits")).distinct().collect()
     return [tuple(c for c, bit in zip(optional, row["bits"]) if bit) for row in found]
 
 
-def _having_mask(df: DataFrame, optional: Sequence[str], bound: Sequence[str]) -> DataFrame:
-    tests = [F.col(c).isNotNull() if c in bound else F.col(c).isNull() for c in optional]
-    return df.where(reduce(Column.__and__, tests)) if tests else df
+#: Cells of a product of rows without common variables: GRID by GRID.
+GRID = 16
 
 
 class _Plan:
-    """The mask pairs of one compatible join."""
+    """The mask pairs of one compatible join.  A mask is an integer with a bit for each optional shared variable."""
 
     def __init__(self, left: DataFrame, right: DataFrame, nullable):
         self.left, self.right = left, right
         self.on = shared(left, right)
         self.optional = _nullable(left, right, self.on, nullable)
         self.sure = [c for c in self.on if c not in self.optional]
-        self.left_optional = [c for c in self.optional if nullable is not None or left.schema[c].nullable]
-        self.right_optional = [c for c in self.optional if nullable is not None or right.schema[c].nullable]
         self.trivial = not self.optional
-
-    def left_parts(self):
-        always = [c for c in self.on if c not in self.left_optional]
-        for mask in _masks(self.left, self.left_optional):
-            yield [*always, *mask], _having_mask(self.left, self.left_optional, mask)
-
-    def right_parts(self):
-        always = [c for c in self.on if c not in self.right_optional]
-        return [
-            ([*always, *mask], _having_mask(self.right, self.right_optional, mask))
-            for mask in _masks(self.right, self.right_optional)
-        ]
-
-    def common(self, left_bound, right_bound) -> list[str]:
-        return [c for c in self.on if c in left_bound and c in right_bound]
+        self.may_lack = {
+            side: [c for c in self.optional if nullable is not None or df.schema[c].nullable] for side, df in (("l", left), ("r", right))}
+        self.masks = {}
+
+    def _find_masks(self) -> None:
+        for side, df in (("l", self.left), ("r", self.right)):
+            always = sum(self._bit(c) for c in self.optional if c not in self.may_lack[side])
+            # An empty side keeps one mask, so the other side keeps its rows.
+            self.masks[side] = [always + sum(map(self._bit, m)) for m in _masks(df, self.may_lack[side])] or [always]
+
+    def _bit(self, column: str) -> int:
+        return 1 << self.optional.index(column)
+
+    def tagged(self, df: DataFrame, side: str, grid: bool = False) -> DataFrame:
+        """A copy of each row for each mask of the other side, with the pair of masks and the variables that both bind.
+
+        With ``grid`` pairs without any common variable are dealt to cells by a hash of the row.
+        """
+        if not self.masks:
+            self._find_masks()
+        other = "r" if side == "l" else "l"
+        own = sum((F.when(F.col(c).isNotNull(), self._bit(c)).otherwise(0) if c in self.may_lack[side] else F.lit(self._bit(c))
+                   for c in self.optional), F.lit(0))
+        out = df.withColumn(f"__m{side}", own).withColumn(f"__m{other}", F.explode(F.array(*[F.lit(m) for m in self.masks[other]])))
+        common = F.col("__ml").bitwiseAND(F.col("__mr"))
+        for n, c in enumerate(self.optional):
+            out = out.withColumn(f"__k{n}", F.when(common.bitwiseAND(F.lit(self._bit(c))) != 0, F.col(c)))
+        if not self.sure and grid:
+            # The row's own coordinate is fixed, the other one runs over the grid.
+            mine = F.pmod(F.xxhash64(*df.columns), F.lit(GRID)).cast("int")
+            cells = F.when(common == 0, F.sequence(F.lit(0), F.lit(GRID - 1))).otherwise(F.array(F.lit(0)))
+            out = out.withColumn(f"__c{side}", F.when(common == 0, mine).otherwise(0)).withColumn(f"__c{other}", F.explode(cells))
+        return out
+
+    def keys(self, grid: bool = False) -> list[str]:
+        return ["__ml", "__mr", *[f"__k{n}" for n in range(len(self.optional))], *(["__cl", "__cr"] if grid and not self.sure else [])]
+
+
+def _meet(rows: DataFrame, others: DataFrame, keys: Sequence[str], sure: Sequence[str], how: str) -> DataFrame:
+    """Join on tags (``others`` has them with a prefix); a variable that is not compared is NULL on both sides."""
+    same = [F.col(k).eqNullSafe(F.col(f"__o{k}")) if k.startswith("__k") else F.col(k) == F.col(f"__o{k}") for k in keys]
+    return rows.join(others, reduce(Column.__and__, [*same, *[F.col(c) == F.col(f"__r_{c}") for c in sure]]), how)
 
 
 def compat_join(left: DataFrame, right: DataFrame, nullable: Sequence[str] | None = None) -> DataFrame:
@@ -96,23 +121,11 @@ def compat_join(left: DataFrame, right: DataFrame, nullable: Sequence[str] | Non
     plan = _Plan(left, right, nullable)
     if plan.trivial:
         return natural_join(left, right)
-    extra = [c for c in right.columns if c not in plan.on]
-    parts, right_parts = [], plan.right_parts()
-    for left_bound, lpart in plan.left_parts():
-        for right_bound, rpart in right_parts:
-            keys = plan.common(left_bound, right_bound)
-            renamed = rpart.select([F.col(c).alias(f"__r_{c}") if c in plan.on else F.col(c) for c in rpart.columns])
-            if keys:
-                condition = reduce(Column.__and__, [F.col(c) == F.col(f"__r_{c}") for c in keys])
-                joined = lpart.join(renamed, condition, "inner")
-            else:
-                joined = lpart.crossJoin(renamed)
-            parts.append(joined.select(
-                *[(F.col(c) if c in left_bound else F.col(f"__r_{c}")).alias(c) if c in plan.on else F.col(c)
-                  for c in left.columns],
-                *extra,
-            ))
-    return reduce(DataFrame.unionByName, parts)
+    extra, keys = [c for c in right.columns if c not in plan.on], plan.keys(grid=True)
+    others = plan.tagged(right, "r", grid=True).select(
+        *[F.col(c).alias(f"__r_{c}") for c in plan.on], *extra, *[F.col(k).alias(f"__o{k}") for k in keys])
+    joined = _meet(plan.tagged(left, "l", grid=True), others, keys, plan.sure, "inner")
+    return joined.select(*[F.coalesce(c, f"__r_{c}").alias(c) if c in plan.optional else F.col(c) for c in left.columns], *extra)
 
 
 def _one_row(df: DataFrame) -> DataFrame:
@@ -126,16 +139,26 @@ def _drop_matching(part: DataFrame, other: DataFrame, keys: Sequence[str]) -> Da
     return part.join(_one_row(other), F.lit(True), "left_anti")
 
 
+def _flagged(plan: _Plan, name: str, need_common: bool) -> DataFrame:
+    """Left rows with a flag: is there a compatible right row (one that shares a bound variable if ``need_common``).
+
+    Every left row has one copy for each right mask, and equal rows fare alike.  So the copies of equal rows are put
+    together again by their content: no row number that a repeated task might give differently.
+    """
+    keys = plan.keys()
+    others = plan.tagged(plan.right, "r")
+    if need_common and not plan.sure:
+        others = others.where(F.col("__ml").bitwiseAND(F.col("__mr")) != 0)
+    others = others.select(*[F.col(c).alias(f"__r_{c}") for c in plan.sure], *[F.col(k).alias(f"__o{k}") for k in keys]).distinct().withColumn("__hit", F.lit(True))
+    copies = _meet(plan.tagged(plan.left, "l"), others, keys, plan.sure, "left")
+    rows = copies.groupBy(*plan.left.columns).agg(F.coalesce(F.bool_or("__hit"), F.lit(False)).alias(name), F.count(F.lit(1)).alias("__copies"))
+    each = F.sequence(F.lit(1).cast("bigint"), F.floor(F.col("__copies") / len(plan.masks["r"])))
+    return rows.withColumn("__copy", F.explode(each)).select(*plan.left.columns, name)
+
+
 def _without_partner(plan: _Plan, need_common: bool) -> DataFrame:
     """Left rows without a compatible right row (one that shares a bound variable if ``need_common``)."""
-    parts, right_parts = [], plan.right_parts()
-    for left_bound, part in plan.left_parts():
-        for right_bound, other in right_parts:
-            keys = plan.common(left_bound, right_bound)
-            if keys or not need_common:
-                part = _drop_matching(part, other, keys)
-        parts.append(part)
-    return reduce(DataFrame.unionByName, parts)
+    return _flagged(plan, "__hit_any", need_common).where("not __hit_any").drop("__hit_any")
 
 
 def optional_join(left: DataFrame, right: DataFrame, nullable: Sequence[str] | None = None) -> DataFrame:
@@ -189,17 +212,10 @@ def where_not_exists(left: DataFrame, right: DataFrame, nullable: Sequence[str]
 def exists_flag(left: DataFrame, right: DataFrame, name: str, nullable: Sequence[str] | None = None) -> DataFrame:
     """EXISTS as a boolean column that expressions can use."""
     plan = _Plan(left, right, nullable)
-    parts, right_parts = [], plan.right_parts()
-    for left_bound, part in plan.left_parts():
-        flags = []
-        for n, (right_bound, other) in enumerate(right_parts):
-            keys, flag = plan.common(left_bound, right_bound), f"__hit{n}"
-            flags.append(flag)
-            if keys:
-                hits = other.select(*keys).dropDuplicates().withColumn(flag, F.lit(True))
-                part = part.join(hits, on=keys, how="left")
-            else:
-                part = part.join(_one_row(other).select(F.lit(True).alias(flag)), F.lit(True), "left")
-        hit = F.coalesce(*flags, F.lit(False))
-        parts.append(part.select(*left.columns, hit.alias(name)))
-    return reduce(DataFrame.unionByName, parts)
+    if not plan.on:
+        hit = _one_row(right).select(F.lit(True).alias("__any"))
+        return left.join(hit, F.lit(True), "left").select(*left.columns, F.col("__any").isNotNull().alias(name))
+    if plan.trivial:
+        hits = right.select(plan.on).dropDuplicates().withColumn("__any", F.lit(True))
+        return left.join(hits, plan.on, "left").select(*left.columns, F.col("__any").isNotNull().alias(name))
+    return _flagged(plan, name, need_common=False)
