@@ -91,6 +91,23 @@ def regular_expressions(spark, d):
         st.prefix_match("url", "http://a").alias("pre"))
 
 
+@query("""SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN regexp_matches(p_name, '(?i)WID') WHEN 1 THEN regexp_matches(p_name, p_brand)
+WHEN 2 THEN NULL ELSE regexp_matches(p_name, '^.+t$') END AS hit,
+CASE p_size % 4 WHEN 0 THEN regexp_replace(p_name, '(?i)WID', '<' || p_size || '>', 'g') WHEN 1 THEN replace(p_name, p_brand, '<' || p_size || '>')
+WHEN 2 THEN NULL ELSE regexp_replace(p_name, '^.+t$', '<' || p_size || '>', 'g') END AS masked,
+CASE WHEN p_size % 2 = 0 THEN regexp_replace(p_type, '([A-Z])[A-Z]+', '\\1', 'g') END AS initials FROM part""")
+def regex_from_column(spark, d):
+    """Patterns, flags and replacements from columns; faulty patterns and groups that do not exist are unbound."""
+    kind = F.col("p_size") % 4
+    pattern = F.when(kind == 0, "WID").when(kind == 1, F.col("p_brand")).when(kind == 2, "(").otherwise("^.+t$")
+    flags = F.when(kind == 0, "i").otherwise("")
+    group = F.when(F.col("p_size") % 2 == 0, "$1").otherwise("$7")
+    return table(spark, d, "part").select(
+        "p_partkey", st.regex("p_name", pattern, flags).alias("hit"),
+        st.replace("p_name", pattern, F.concat(F.lit("<"), F.col("p_size"), F.lit(">")), flags).alias("masked"),
+        st.replace("p_type", "([A-Z])[A-Z]+", group).alias("initials"))
+
+
 @query("""SELECT page_id, url_encode(url) AS enc FROM pages""")
 def uri_encoding(spark, d):
     return table(spark, d, "pages").select("page_id", st.encode_for_uri("url").alias("enc"))

@@ -8,6 +8,8 @@ from catalog.registry import graph, query, table, table_map
 from graphloom.operators import predicates as pr, text as tx
 from graphloom.session import shared_folder
 from graphloom.sources.mapping import MappedGraph
+from graphloom.sources.patternstore import PatternStore
+from graphloom.sources.quadstore import QuadStore
 from graphloom.sources.textstore import TextStore
 
 _TOKENS = r"""WITH t AS (SELECT doc_id AS record, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{Nd}]+')) AS word
@@ -214,6 +216,39 @@ def available_predicates(spark, d):
     return pr.available_predicates(_described(spark, d), english)
 
 
+_STATES: dict[tuple[str, str], tuple] = {}
+
+
+def _described_store(spark, d):
+    """The described documents as a store, and their pattern dictionary: built on first use in a session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STATES:
+        base = f"{shared_folder(spark)}/described-{uuid.uuid4().hex}"
+        store, patterns = QuadStore(spark, f"{base}/quads").create(_described(spark, d), ("p", "s")), PatternStore(spark, f"{base}/patterns")
+        patterns.refresh(store)
+        # An update after the first build: the dictionary takes in the changed subjects only.
+        quality = graph(spark, d, "labels").quads(["<labels/quality>"])
+        low = quality.where(F.col("o_term.i") == 0).withColumn("s", F.replace("s", F.lit("<labels/"), F.lit("<documents/")))
+        new = low.select("s", F.lit("<reviewed>").alias("p"), F.lit('"yes"').alias("o"), "g")
+        store.update(inserts=new, deletes=low)
+        patterns.refresh(store)
+        _STATES[key] = store, patterns
+    return _STATES[key]
+
+
+@query(_PRED + """, low AS (SELECT '<documents/' || doc_id || '>' AS s FROM labels WHERE quality = 0),
+now AS (SELECT * FROM sp WHERE NOT (p = '<labels/quality>' AND s IN (SELECT s FROM low)) UNION SELECT s, '<reviewed>' FROM low),
+english AS (SELECT '<documents/' || doc_id || '>' AS s FROM documents WHERE lang = 'en')
+SELECT 'all' AS what, p, count(*) AS n FROM now GROUP BY p
+UNION ALL SELECT 'en', p, count(*) FROM now WHERE s IN (SELECT s FROM english) GROUP BY p""")
+def available_predicates_stored(spark, d):
+    """Autocompletion from the stored pattern dictionary, right after an update: for all subjects and for some."""
+    patterns = _described_store(spark, d)[1]
+    english = table(spark, d, "documents").where("lang = 'en'").select(F.concat(F.lit("<documents/"), F.col("doc_id"), F.lit(">")).alias("s"))
+    whole, some = patterns.available_predicates(), patterns.available_predicates(english)
+    return whole.select(F.lit("all").alias("what"), "p", "n").unionByName(some.select(F.lit("en").alias("what"), "p", "n"))
+
+
 @query(_PRED + "SELECT p, count(DISTINCT s) AS n FROM sp GROUP BY p")
 def available_predicates_from_patterns(spark, d):
     return pr.available_from_patterns(pr.subject_patterns(_described(spark, d)))

@@ -200,12 +200,31 @@ def _flagged(pattern: str, flags: str) -> str:
     return full
 
 
-def regex(x, pattern: str, flags: str = "") -> Column:
-    """REGEX: a partial match."""
+def _pattern(pattern: Column, flags: str | Column) -> Column:
+    """A pattern from data; NULL if it, or its flags, are faulty."""
+    flags = F.lit(flags) if isinstance(flags, str) else flags
+    full = F.when(flags == "", pattern).otherwise(F.concat(F.lit("(?"), flags, F.lit(")"), pattern))
+    # The class that Spark itself compiles patterns with tells whether it takes one.
+    sound = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), full).isNotNull()
+    return F.when(sound & F.regexp_like(flags, F.lit("^[ims]*$")), full)
+
+
+def regex(x, pattern: str | Column, flags: str | Column = "") -> Column:
+    """REGEX: a partial match.  A faulty constant raises; a faulty pattern from a column makes its row unbound."""
+    if isinstance(pattern, Column) or isinstance(flags, Column):
+        return F.regexp_like(_s(x), _pattern(pattern if isinstance(pattern, Column) else F.lit(pattern), flags))
     return _s(x).rlike(_flagged(pattern, flags))
 
 
-def replace(x, pattern: str, replacement: str, flags: str = "") -> Column:
+def replace(x, pattern: str | Column, replacement: str | Column, flags: str | Column = "") -> Column:
+    """REPLACE of all matches; ``$1`` stands for a group.  From columns, faulty patterns and groups make their row unbound."""
+    if isinstance(pattern, Column) or isinstance(flags, Column) or isinstance(replacement, Column):
+        full = _pattern(pattern if isinstance(pattern, Column) else F.lit(pattern), flags)
+        new = replacement if isinstance(replacement, Column) else F.lit(replacement)
+        # A text without group marks cannot fail; with them a missing group must not end the query.
+        plain = F.when(~F.regexp_like(new, F.lit(r"[$\\]")), new)
+        grouped = F.try_reflect(F.lit("org.apache.commons.lang3.RegExUtils"), F.lit("replaceAll"), _s(x), full, new)
+        return F.when(full.isNotNull() & new.isNotNull() & _s(x).isNotNull(), F.when(plain.isNotNull(), F.regexp_replace(_s(x), full, plain)).otherwise(grouped))
     return F.regexp_replace(_s(x), _flagged(pattern, flags), replacement)
 
 

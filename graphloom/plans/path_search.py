@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from graphloom.plans.transitive import distances
-from graphloom.session import Rounds
+from graphloom.plans.transitive import distances, reach
+from graphloom.session import Rounds, cut_lineage
 
 
 def path_search(edges: DataFrame, sources: DataFrame | None = None, targets: DataFrame | None = None,
@@ -22,7 +22,8 @@ def path_search(edges: DataFrame, sources: DataFrame | None = None, targets: Dat
     the path's edges, so it does not depend on partitioning.
 
     The number of simple paths can grow exponentially; edges that cannot lie on a wanted path are removed first, using
-    depths from both ends.
+    depths from both ends.  With ``pairs`` or ``paths_per_target`` a path grows only towards targets that its own source
+    still wants: a pair that has its paths is finished, and paths that lead to finished pairs only are dropped.
     """
     if max_depth is not None and max_depth < 0:
         raise ValueError("max_depth must not be negative")
@@ -40,12 +41,10 @@ def path_search(edges: DataFrame, sources: DataFrame | None = None, targets: Dat
     steps = _useful_edges(base, wanted_sources, wanted_targets, max_depth)
     first = steps if wanted_sources is None else steps.join(
         wanted_sources.select(F.col("node").alias("start")).dropDuplicates(), "start", "left_semi")
-    hits = _grow(spark, steps, first, wanted_targets, max_depth)
-    if pairs is not None:
-        hits = hits.join(pairs, ["source", "target"], "left_semi")
-    if paths_per_target is not None:
-        best = Window.partitionBy("source", "target").orderBy("length", "path_id")
-        hits = hits.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= paths_per_target)
+    if pairs is None and paths_per_target is None:
+        hits = _grow(spark, steps, first, wanted_targets, max_depth)
+    else:
+        hits = _grow_towards(spark, steps, first, pairs, wanted_targets, paths_per_target, max_depth)
     return hits.select("source", "target", F.col("path_id").alias(path_column), F.posexplode("edges").alias(edge_column, "e")).select(
         "source", "target", path_column, edge_column, F.col("e.start").alias(start), F.col("e.end").alias(end),
         *[F.col(f"e.{p}") for p in edge_properties])
@@ -80,29 +79,79 @@ def _useful_edges(base: DataFrame, sources, targets, max_depth) -> DataFrame:
     return Rounds(base.sparkSession, "useful").add(steps)[0]
 
 
+def _edge(steps: DataFrame):
+    return F.struct("start", "end", *sorted(c for c in steps.columns if c not in ("start", "end", "copy", "left")), "copy")
+
+
+def _paths_of_one(first: DataFrame) -> DataFrame:
+    return first.select(
+        F.col("start").alias("source"), F.col("end").alias("last"), F.array("start", "end").alias("nodes"),
+        F.array(_edge(first)).alias("edges"), "left")
+
+
+def _longer(frontier: DataFrame, steps: DataFrame, depth: int, max_depth: int | None) -> DataFrame:
+    """Paths of ``depth`` + 1 edges from paths of ``depth`` edges."""
+    onward = steps.select(F.col("start").alias("__from"), F.col("end").alias("__to"), _edge(steps).alias("__edge"), F.col("left").alias("__left"))
+    grown = frontier.join(onward, (F.col("last") == F.col("__from")) & ~F.array_contains("nodes", F.col("__to")))
+    if max_depth is not None:
+        grown = grown.where(F.col("__left") + depth + 1 <= max_depth)
+    return grown.select(
+        "source", F.col("__to").alias("last"), F.array_append("nodes", F.col("__to")).alias("nodes"),
+        F.array_append("edges", F.col("__edge")).alias("edges"), F.col("__left").alias("left"))
+
+
+def _as_hits(paths: DataFrame) -> DataFrame:
+    return paths.select(
+        "source", F.col("last").alias("target"), "edges", F.size("edges").alias("length"),
+        F.md5(F.array_join(F.transform("edges", lambda e: F.to_json(e)), "|")).alias("path_id"))
+
+
 def _grow(spark, steps: DataFrame, first: DataFrame, targets, max_depth) -> DataFrame:
     """Level-synchronous growth: paths of length n+1 from paths of length n, written out per level."""
-    names = ["start", "end", *sorted(c for c in steps.columns if c not in ("start", "end", "copy", "left")), "copy"]
-    edge = F.struct(*names)
-    level = first.select(
-        F.col("start").alias("source"), F.col("end").alias("last"), F.array("start", "end").alias("nodes"),
-        F.array(edge).alias("edges"), "left")
     rounds = Rounds(spark, "paths")
-    frontier, size = rounds.add(level)
+    frontier, size = rounds.add(_paths_of_one(first))
     depth = 1
-    onward = steps.select(F.col("start").alias("__from"), F.col("end").alias("__to"), edge.alias("__edge"),
-                          F.col("left").alias("__left"))
     while size and (max_depth is None or depth < max_depth):
-        grown = frontier.join(onward, (F.col("last") == F.col("__from")) & ~F.array_contains("nodes", F.col("__to")))
-        if max_depth is not None:
-            grown = grown.where(F.col("__left") + depth + 1 <= max_depth)
-        frontier, size = rounds.add(grown.select(
-            "source", F.col("__to").alias("last"), F.array_append("nodes", F.col("__to")).alias("nodes"),
-            F.array_append("edges", F.col("__edge")).alias("edges"), F.col("__left").alias("left")))
+        frontier, size = rounds.add(_longer(frontier, steps, depth, max_depth))
         depth += 1
     found = rounds.all()
     if targets is not None:
         found = found.join(targets.select(F.col("node").alias("last")), "last", "left_semi")
-    return found.select(
-        "source", F.col("last").alias("target"), "edges", F.size("edges").alias("length"),
-        F.md5(F.array_join(F.transform("edges", lambda e: F.to_json(e)), "|")).alias("path_id"))
+    return _as_hits(found)
+
+
+def _grow_towards(spark, steps: DataFrame, first: DataFrame, pairs, targets, per_target: int | None, max_depth) -> DataFrame:
+    """Growth towards wanted pairs only, level by level, so paths come shortest first.
+
+    ``wanted`` are the open pairs and how many paths each still lacks; a path stays if some open target of its source
+    can be reached from its last node.
+    """
+    plain = steps.select("start", "end").dropDuplicates()
+    if pairs is None:
+        # The pairs that have a path at all; each gives a row of the result.
+        ends = None if targets is None else targets.select(F.col("node").alias("end"))
+        pairs = reach(plain, seeds=first.select("start").dropDuplicates(), targets=ends).toDF("source", "target")
+    pairs = pairs.where("source <> target").withColumn("lacks", F.lit(per_target).cast("bigint"))
+    wanted, lack = Rounds(spark, "wanted").add(pairs)
+    ends = wanted.select(F.col("target").alias("end")).dropDuplicates()
+    ways = reach(plain, targets=ends).select(F.col("start").alias("last"), F.col("end").alias("target"))
+    ways = cut_lineage(ways.unionByName(ends.select(F.col("end").alias("last"), F.col("end").alias("target"))).dropDuplicates(), "ways")
+
+    hits, level, depth = Rounds(spark, "hits"), _paths_of_one(first), 1
+    while True:
+        leads = wanted.join(ways, "target").select("source", "last").dropDuplicates()
+        frontier, size = Rounds(spark, "paths").add(level.join(leads, ["source", "last"], "left_semi").select(level.columns))
+        here = _as_hits(frontier).join(wanted, ["source", "target"])
+        if per_target is not None:
+            best = Window.partitionBy("source", "target").orderBy("path_id")
+            here = here.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= F.col("lacks")).drop("__r")
+        found, n = hits.add(here.drop("lacks"))
+        if per_target is not None and n:
+            got = found.groupBy("source", "target").agg(F.count(F.lit(1)).alias("__got"))
+            rest = wanted.join(got, ["source", "target"], "left").withColumn("lacks", F.col("lacks") - F.coalesce("__got", F.lit(0)))
+            wanted, lack = Rounds(spark, "wanted").add(rest.where("lacks > 0").drop("__got"))
+        if not size or not lack or max_depth is not None and depth >= max_depth:
+            return hits.all()
+        leads = wanted.join(ways, "target").select("source", "last").dropDuplicates()
+        level = _longer(frontier.join(leads, ["source", "last"], "left_semi").select(frontier.columns), steps, depth, max_depth)
+        depth += 1

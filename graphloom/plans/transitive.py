@@ -14,8 +14,9 @@ def reach(edges: DataFrame, low: int = 1, high: int | None = None, seeds: DataFr
     ``seeds(start)`` or ``targets(end)`` bind a side: the search begins there.  With ``low=0`` every node of ``nodes``
     (all subjects and objects of the graph) also reaches itself; bound values count only if they are nodes.
 
-    Rounds are semi-naive: each extends only the pairs that were new, and is written out, so plans stay flat and a lost
-    executor repeats one round.
+    A search from a bound side, or with bounds, is semi-naive: each round extends only the pairs that were new.  The whole
+    closure doubles the length that is known in each round (see ``_closure``).  Rounds are written out, so plans stay flat
+    and a lost executor repeats one round.
     """
     if high is not None and high < low:
         raise ValueError("high must not be below low")
@@ -28,7 +29,10 @@ def reach(edges: DataFrame, low: int = 1, high: int | None = None, seeds: DataFr
     steps = Rounds(spark, "edges").add(edges.select("start", "end").where(
         "start is not null and end is not null").dropDuplicates())[0]
     steps = steps.select(F.col("start").alias("__from"), F.col("end").alias("__to"))
-    found = _walks(spark, steps, max(low, 1), high, seeds) if high != 0 else None
+    if high is None and seeds is None and low <= 1:
+        found = _closure(spark, steps)
+    else:
+        found = _walks(spark, steps, max(low, 1), high, seeds) if high != 0 else None
     if low == 0:
         loops = nodes if seeds is None else nodes.join(
             seeds.select(F.col("start").alias("node")).dropDuplicates(), "node", "left_semi")
@@ -71,6 +75,29 @@ def _walks(spark, steps: DataFrame, low: int, high: int | None, seeds) -> DataFr
     return rounds.all()
 
 
+def _closure(spark, steps: DataFrame) -> DataFrame:
+    """All pairs joined by a walk, in as many rounds as the longest distance has binary digits.
+
+    Pairs are kept with their distance.  Once all pairs up to distance D are known, a pair at a distance up to 2 D is one
+    of distance exactly D followed by a known one, so a round joins just the pairs at distance D with all pairs.  A
+    component whose nodes reach each other within D has none of these and costs nothing more, be it ever so dense.
+    """
+    rounds = Rounds(spark, "closure")
+    edge = steps.select(F.col("__from").alias("start"), F.col("__to").alias("end"), F.lit(1).cast("bigint").alias("length"))
+    new, _ = rounds.add(edge)
+    known = 1
+    while True:
+        edge_of_known = new.where(F.col("length") == known)
+        if edge_of_known.isEmpty():
+            return rounds.all().select("start", "end")
+        onward = rounds.all().select(F.col("start").alias("__from"), F.col("end").alias("__to"), F.col("length").alias("__more"))
+        longer = (
+            edge_of_known.join(onward, F.col("end") == F.col("__from"))
+            .groupBy("start", F.col("__to").alias("end")).agg((F.min("__more") + known).alias("length")))
+        new, _ = rounds.add(longer.join(rounds.all().select("start", "end"), ["start", "end"], "left_anti"))
+        known *= 2
+
+
 def distances(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
     """``(node, depth)``: breadth-first depth from the seed nodes (column ``node``)."""
     spark = edges.sparkSession

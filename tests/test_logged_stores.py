@@ -186,3 +186,36 @@ def test_words_file_segment(spark, tmp_path):
     assert rows(tx.word_search(store.postings(), "cat", score="s")) == [(1, 2.5), (3, 1.0)]
     assert rows(tx.entity_search(store.postings(), "cat", score="s")) == [(1, "<x>", 1.5)]
     assert rows(store.docs()) == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_patterns_follow_the_store(spark, tmp_path):
+    from graphloom.operators import predicates as pr
+    from graphloom.sources.patternstore import PatternStore
+
+    quad = lambda s, p, o="<x>": (s, p, o)
+    start = [quad("<a>", "<p>"), quad("<a>", "<q>"), quad("<b>", "<p>"), quad("<b>", "<p>", "<y>"), quad("<c>", "<r>")]
+    store = QuadStore(spark, str(tmp_path / "s")).create(up.quads_of(spark, start), ("p",))
+    patterns = PatternStore(spark, str(tmp_path / "p"))
+    some = spark.createDataFrame([("<a>",), ("<c>",), ("<c>",), ("<n>",)], "s string")
+
+    def check():
+        now = store.current()
+        assert rows(patterns.available_predicates()) == rows(pr.available_predicates(now))
+        assert rows(patterns.available_predicates(some)) == rows(pr.available_predicates(now, some))
+        assert rows(patterns.subjects(), "s") == rows(now.select("s").distinct())
+
+    assert patterns.refresh(store) and not patterns.refresh(store)
+    check()
+    # A new subject, a changed one and one that loses all; a delete without effect changes nothing.
+    store.update(inserts=up.quads_of(spark, [quad("<n>", "<p>"), quad("<b>", "<r>")]), deletes=up.quads_of(spark, [quad("<c>", "<r>"), quad("<a>", "<absent>")]))
+    store.update(deletes=up.quads_of(spark, [quad("<b>", "<p>")]))
+    assert patterns.refresh(store)
+    check()
+    store.update(inserts=up.quads_of(spark, [quad("<c>", "<r>")]))
+    assert patterns.refresh(store) and len(patterns._segments()) == 3
+    check()
+    # A compaction swallows a change before the dictionary has seen it: it is made anew.
+    store.update(deletes=up.quads_of(spark, [quad("<n>", "<p>")]))
+    store.compact()
+    assert patterns.refresh(store) and len(patterns._segments()) == 1
+    check()
