@@ -4,12 +4,15 @@ Documents are dealt into SHARDS.  Step i scans shard i mod SHARDS and counts sin
 phrase from the step after both phrases it is made of (all its words but the last, all but the first) have reached the threshold,
 for one full cycle.  So pairs start while words are still being counted, and triples while pairs are.
 
-Counting works on 64-bit hashes (language and words; the lowest bits hold the length), one table of (h, f) per step,
-bucketed by h.  The last SHARDS tables hold every shard once, so the sum of a phrase over them is a lower bound of its
-count, and exact when its cycle ends.  A phrase that reaches the threshold has its share of it, threshold / SHARDS, in some shard;
-only such phrases are added up.  Tasks ask a table of bit masks, one bit per step in which some phrase of a slot
-reached the threshold, whether a phrase is due: its size is bounded (SLOTS), and two phrases in one slot cost a needless count,
-never a missed one.
+Counting works on 64-bit hashes (language and words; the lowest bits hold the length).  A hash's page, its highest bits, is
+a row that holds sorted hashes and counts as bytes: few rows are moved, and a page is merged as arrays by one task.  There
+is a page for every PAGE bytes of text.  The tables of a step and the hashes that reached the threshold are bucketed by
+page, so adding up the last SHARDS tables moves nothing.  These hold every shard once, so the sum of a phrase over them is a
+lower bound of its count, and exact when its cycle ends.
+
+Tasks ask a table of bit masks, one bit per step in which some phrase of a slot reached the threshold, and a second table of
+single bits, whether a phrase is due: their size is bounded (SLOTS), and two phrases in one slot of both cost a needless
+count, never a missed one.
 
 The hashes only choose what a last scan counts by its words, so results do not depend on them: whatever truly reaches the
 threshold is counted there, whole and exactly.
@@ -23,13 +26,12 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from graphloom.llm.common import table, utf8
 from graphloom.session import cut_lineage, ship, shared_folder, task_count
@@ -38,14 +40,15 @@ from graphloom.session import cut_lineage, ship, shared_folder, task_count
 LONGEST, THRESHOLD, HIDE = 3, 10, 50
 #: Rows of a language in the result.
 TOP = 2000
-#: Shards of a cycle; bytes of word numbers counted at a time in a task; slots of the mask table (4 bytes each).
-SHARDS, CHUNK, SLOTS = 4, 16 << 20, 1 << 22
-#: Slots of the mask table that travel in one row.
-_PAGE = 1 << 12
+#: Shards of a cycle; bytes of word numbers counted at a time in a task; slots of the mask tables (2 bytes and 1 byte each).
+SHARDS, CHUNK, SLOTS = 2, 16 << 20, 1 << 24
+#: Bytes of text for which there is a page of hashes; most pages; slots of the mask tables that travel in one row.
+PAGE, MOST_PAGES, _SLICE = 2 << 20, 1 << 20, 1 << 16
 
 #: Ends of pieces and blanks as bytes.
 _PIECES = bytes(10 if c in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if c == 9 else c for c in range(256))
-_KEY = "h bigint, f bigint"
+_COUNTS = "page int, h binary, f binary"
+_REACHED = "page int, reached binary, new binary"
 
 
 def pieces_of(text: bytes) -> list[list[bytes]]:
@@ -117,43 +120,146 @@ def _phrases(ids: np.ndarray, words: np.ndarray, longest: int, due) -> list[tupl
     return out
 
 
-def _count_step(masks, window: int, singles: bool, longest: int):
-    """(h, f) of the phrases that are due in a step: both halves have reached the threshold, one of them within the window."""
+def _paged(h: np.ndarray, f: np.ndarray, pages: int) -> pa.RecordBatch:
+    """Sorted hashes and their counts as a row for each page that has any."""
+    page = (h >> np.uint64(44)).astype(np.int64) * pages >> 20
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(page)) + 1, [len(h)]]) if len(h) else np.zeros(1, np.int64)
+    rows = [(int(page[x]), h[x:y].tobytes(), f[x:y].astype(np.int64).tobytes()) for x, y in zip(cuts[:-1], cuts[1:])]
+    columns = list(zip(*rows)) or [(), (), ()]
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["page", "h", "f"])
+
+
+def _added(hashes: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order and their summed counts."""
+    h = np.frombuffer(b"".join(hashes), np.uint64)
+    order = np.argsort(h, kind="stable")
+    h, f = h[order], np.frombuffer(b"".join(counts), np.int64)[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    return h[first], np.add.reduceat(f, first) if len(h) else f
+
+
+def _merge(group: pa.Table) -> pa.Table:
+    """The rows of a page as one."""
+    h, f = _added(group.column("h").to_pylist(), group.column("f").to_pylist())
+    return pa.table({"page": group.column("page")[:1], "h": pa.array([h.tobytes()], pa.binary()), "f": pa.array([f.tobytes()], pa.binary())})
+
+
+def _reach(threshold: int, tables: int):
+    """Hashes of a page that the last tables bring to the threshold: those known before, and the new ones."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                held = [i for i in range(tables) if row[f"h{i}"] is not None]
+                h, f = _added([row[f"h{i}"] for i in held], [row[f"f{i}"] for i in held])
+                before = np.frombuffer(row["reached"], np.uint64)
+                new = np.setdiff1d(h[f >= threshold], before, assume_unique=True)
+                rows.append((row["page"], np.union1d(before, new).tobytes(), new.tobytes()))
+            columns = list(zip(*rows)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["page", "reached", "new"])
+
+    return run
+
+
+def _slots(h: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two slots of a hash, from different bits of it."""
+    low = np.uint64(slots - 1)
+    return (h >> np.uint64(4)) & low, ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)) & low
+
+
+class _Masks:
+    """The mask tables on the driver: bit i of a slot is set if one of its phrases reached the threshold in step i."""
+
+    def __init__(self, spark: SparkSession, slots: int):
+        self.spark, self.steps, self.seen, self.held = spark, np.zeros(slots, np.uint16), np.zeros(slots, np.uint8), None
+
+    def add(self, reached: DataFrame, step: int, longest: int) -> bool:
+        """Set the bits of ``reached`` (new); whether it holds phrases of fewer words than ``longest``."""
+        slots = len(self.steps)
+        size = min(_SLICE, slots)
+
+        def sliced(batches):
+            bits, shorter = np.zeros((2, slots), bool), False
+            for batch in batches:
+                for new in batch.column("new").to_pylist():
+                    h = np.frombuffer(new, np.uint64)
+                    shorter = shorter or bool(((h & np.uint64(15)) < longest).any())
+                    for table, slot in zip(bits, _slots(h, slots)):
+                        table[slot] = True
+            for which in range(2):
+                for k in np.unique(np.flatnonzero(bits[which]) // size).tolist():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([which], pa.int32()), pa.array([k], pa.int32()), pa.array([np.packbits(bits[which][k * size:(k + 1) * size]).tobytes()], pa.binary()),
+                         pa.array([shorter])], ["which", "slice", "bits", "shorter"])
+
+        def either(group: pa.Table) -> pa.Table:
+            whole = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in group.column("bits").to_pylist()])
+            return pa.table({"which": group.column("which")[:1], "slice": group.column("slice")[:1], "bits": pa.array([whole.tobytes()], pa.binary()),
+                             "shorter": pa.array([any(group.column("shorter").to_pylist())])})
+
+        kind = "which int, slice int, bits binary, shorter boolean"
+        # At most one row for each slice of the tables.
+        found = reached.select("new").mapInArrow(sliced, kind).groupBy("which", "slice").applyInArrow(either, kind).collect()
+        for row in found:
+            bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8))[:size]
+            at = slice(row["slice"] * size, (row["slice"] + 1) * size)
+            if row["which"]:
+                self.seen[at] |= bits
+            else:
+                self.steps[at] |= bits.astype(np.uint16) << np.uint16(step)
+        return any(row["shorter"] for row in found)
+
+    def sent(self):
+        """The tables as a broadcast of bounded size, packed, for most slots are empty in a small corpus; the one before is dropped."""
+        if self.held is not None:
+            self.held.destroy()
+        self.held = self.spark.sparkContext.broadcast((zlib.compress(self.steps.tobytes(), 1), zlib.compress(self.seen.tobytes(), 1)))
+        return self.held
+
+
+def _asked(masks):
+    """A function that gives the bit masks of hashes; 0 for those that never reached the threshold."""
+    steps, seen = np.frombuffer(zlib.decompress(masks.value[0]), np.uint16), np.frombuffer(zlib.decompress(masks.value[1]), np.uint8)
+
+    def ask(h: np.ndarray) -> np.ndarray:
+        one, two = _slots(h, len(steps))
+        return steps[one] * seen[two]
+
+    return ask
+
+
+def _count_step(masks, window: int, singles: bool, longest: int, pages: int):
+    """Counts of the phrases that are due in a step: both halves have reached the threshold, one of them within the window."""
 
     def run(batches):
-        mask = _unpacked(masks)
-        slot = np.uint64(len(mask) - 1)
+        ask = _asked(masks)
 
         def due(first, second):
             if first is None:
                 return True if singles else None
-            a, b = mask[(first >> np.uint64(4)) & slot], mask[(second >> np.uint64(4)) & slot]
-            return (a != 0) & (b != 0) & ((a | b) & np.uint32(window) != 0)
+            a, b = ask(first), ask(second)
+            return (a != 0) & (b != 0) & ((a | b) & np.uint16(window) != 0)
 
         for lang, ids, words in _chunks(batches):
             found = [h for h, _ in _phrases(ids, _word_hashes(lang, words), longest, due)]
-            h, f = np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(f.astype(np.int64))], ["h", "f"])
+            yield _paged(*np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]), return_counts=True), pages)
 
     return run
 
 
 def _count_words(masks, longest: int):
-    """(lang, k, phrase, f) of the phrases whose slot has reached the threshold, by their words; and each language's words (k = 0)."""
+    """(lang, k, phrase, f) of the phrases whose slots have reached the threshold, by their words; and each language's words (k = 0)."""
 
     def run(batches):
-        mask = _unpacked(masks)
-        slot = np.uint64(len(mask) - 1)
-        reached = lambda h: mask[(h >> np.uint64(4)) & slot] != 0
-
+        ask = _asked(masks)
         for lang, ids, words in _chunks(batches):
             names = pa.array(words, pa.binary()).cast(pa.string())
             n = int((ids >= 0).sum())
             yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([n], pa.int64())], ["lang", "k", "phrase", "f"])
-            found = _phrases(ids, _word_hashes(lang, words), longest, lambda a, b: True if a is None else reached(a) & reached(b))
+            found = _phrases(ids, _word_hashes(lang, words), longest, lambda a, b: True if a is None else (ask(a) != 0) & (ask(b) != 0))
             for k, (h, at) in enumerate(found, 1):
-                keep = reached(h)
-                h, at = h[keep], at[keep]
+                at = at[ask(h) != 0]
                 # Two phrases of one hash are told apart by their words.
                 key = np.zeros(len(at), np.int64)
                 for j in range(k):
@@ -168,49 +274,10 @@ def _count_words(masks, longest: int):
     return run
 
 
-class _Masks:
-    """The mask table on the driver: bit i of a slot is set if one of its phrases reached the threshold in step i."""
-
-    def __init__(self, spark: SparkSession, slots: int):
-        self.spark, self.table, self.held = spark, np.zeros(slots, np.uint32), None
-
-    def add(self, reached: DataFrame, step: int, longest: int) -> bool:
-        """Set the bits of ``reached`` (h); whether it holds phrases of fewer words than ``longest``."""
-        slots = len(self.table)
-        page = min(_PAGE, slots)
-
-        def pages(group: pa.Table) -> pa.Table:
-            bits = np.zeros(page, np.uint8)
-            bits[group.column("slot").to_numpy() % page] = 1
-            shorter = bool((group.column("k").to_numpy() < longest).any())
-            return pa.table({"page": pa.array([group.column("slot")[0].as_py() // page], pa.int64()),
-                             "bits": pa.array([np.packbits(bits).tobytes()], pa.binary()), "shorter": pa.array([shorter])})
-
-        slot = reached.select(F.shiftrightunsigned("h", 4).bitwiseAND(F.lit(slots - 1)).alias("slot"), F.col("h").bitwiseAND(F.lit(15)).alias("k"))
-        paged = slot.distinct().groupBy(F.floor(F.col("slot") / page).alias("page")).applyInArrow(pages, "page bigint, bits binary, shorter boolean")
-        # At most one row for each page of the table.
-        found = paged.collect()
-        for row in found:
-            bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8))[:page]
-            self.table[row["page"] * page:(row["page"] + 1) * page] |= bits.astype(np.uint32) << np.uint32(step)
-        return any(row["shorter"] for row in found)
-
-    def sent(self):
-        """The table as a broadcast of bounded size, packed, for most slots are empty in a small corpus; the one before is dropped."""
-        if self.held is not None:
-            self.held.destroy()
-        self.held = self.spark.sparkContext.broadcast(zlib.compress(self.table.tobytes(), 1))
-        return self.held
-
-
-def _unpacked(masks) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(masks.value), np.uint32)
-
-
 def _bucketed(rows: DataFrame, name: str, folder: str) -> DataFrame:
-    """A table of (h, f) in the shared folder, bucketed by h: joining it moves the other side only."""
-    spark, buckets = rows.sparkSession, task_count(rows.sparkSession)
-    rows.repartition(buckets, "h").write.bucketBy(buckets, "h").option("path", f"{folder}/{name}").format("parquet").saveAsTable(name)
+    """A table in the shared folder, bucketed by page: joining such tables moves nothing.  ``rows`` come dealt by page."""
+    spark = rows.sparkSession
+    rows.write.bucketBy(task_count(spark), "page").option("path", f"{folder}/{name}").format("parquet").saveAsTable(name)
     return spark.table(name)
 
 
@@ -219,33 +286,34 @@ def dynamic_counts(texts: DataFrame, longest: int = LONGEST, threshold: int = TH
     language, and with k = 0 all words of each language.  ``texts``: lang, text (UTF-8 bytes), shard.
     """
     spark = texts.sparkSession
-    if shards * longest > 32:
-        raise ValueError("at most 32 steps fit the mask table")
+    if shards * longest > 16:
+        raise ValueError("at most 16 steps fit the mask table")
     ship(spark)
-    run = uuid.uuid4().hex
+    run, seen = uuid.uuid4().hex, Observation()
     folder = f"{shared_folder(spark)}/phrases-{run}"
-    texts.write.partitionBy("shard").parquet(f"{folder}/texts")
+    texts.observe(seen, F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).write.partitionBy("shard").parquet(f"{folder}/texts")
     texts = spark.read.schema(texts.schema).parquet(f"{folder}/texts")
-    masks, steps, reached, step, last, buckets = _Masks(spark, slots), [], [], 0, -1, task_count(spark)
-    share = -(-threshold // shards)
-    names = []
+    pages = max(1, min(MOST_PAGES, -(-seen.get["bytes"] // PAGE)))
+    masks, names = _Masks(spark, slots), []
+
+    def table(rows: DataFrame, kind: str) -> DataFrame:
+        names.append(f"phrases_{run}_{kind}")
+        return _bucketed(rows, names[-1], folder)
+
+    none = F.lit(b"")
+    reached = table(spark.range(pages).select(F.col("id").cast("int").alias("page"), none.alias("reached"), none.alias("new")).repartition(task_count(spark), "page"), "start")
+    steps, step, last = [], 0, -1
     while step < shards or step <= last + shards:
         window = sum(1 << r for r in range(max(0, step - shards), step))
         shard = texts.where(F.col("shard") == step % shards).select("lang", "text")
-        counts = shard.mapInArrow(_count_step(masks.sent(), window, step < shards, longest), _KEY).groupBy("h").agg(F.sum("f").alias("f"))
-        names.append(f"phrases_{run}_{step}")
-        steps = [*steps, _bucketed(counts, names[-1], folder)][-shards:]
-        # Suspects: their share of the threshold in a shard, not known to have reached it.  Only they move to the tables.
-        suspects = reduce(DataFrame.unionByName, [t.where(F.col("f") >= share).select("h") for t in steps]).repartition(buckets, "h").distinct()
-        if reached:
-            suspects = suspects.join(reduce(DataFrame.unionByName, reached), "h", "left_anti")
-        suspects = cut_lineage(suspects, "suspects")
-        # Dealt once more before they are added up: the union of bucketed tables is not bucketed.
-        sums = reduce(DataFrame.unionByName, [t.join(suspects, "h") for t in steps]).repartition(buckets, "h").groupBy("h").agg(F.sum("f").alias("f"))
-        sums = sums.where(F.col("f") >= threshold).select("h")
-        reached.append(cut_lineage(sums, "reached"))
+        counts = shard.mapInArrow(_count_step(masks.sent(), window, step < shards, longest, pages), _COUNTS).groupBy("page").applyInArrow(_merge, _COUNTS)
+        steps = [*steps, table(counts, f"counts_{step}")][-shards:]
+        joined = reached.select("page", "reached")
+        for i, counted in enumerate(steps):
+            joined = joined.join(counted.select("page", F.col("h").alias(f"h{i}"), F.col("f").alias(f"f{i}")), "page", "left")
+        reached = table(joined.mapInArrow(_reach(threshold, len(steps)), _REACHED), f"reached_{step}")
         # The longest phrases activate nothing.
-        if masks.add(reached[-1], step, longest):
+        if masks.add(reached, step, longest):
             last = step
         step += 1
     counted = texts.select("lang", "text").mapInArrow(_count_words(masks.sent(), longest), "lang string, k int, phrase string, f bigint")
