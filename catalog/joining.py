@@ -159,7 +159,7 @@ def star_join_pivot(spark, d):
     from graphloom.sources.mapping import MappedGraph, TableMap
 
     labels = TableMap("documents", table(spark, d, "labels").select("doc_id", "quality"), ["doc_id"])
-    g = MappedGraph([table_map(spark, d, "documents", skip=["text", "doc_id"]), labels])
+    g = MappedGraph([table_map(spark, d, "documents"), labels])
     return star(g, "?doc", {
         "<documents/source>": ("?source", "string"), "<documents/n_chars>": ("?chars", "long"),
         "<documents/quality>": ("?quality", "long"),

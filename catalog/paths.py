@@ -21,6 +21,29 @@ UNION ALL SELECT '<customer/' || c_custkey || '>', '<nation/' || c_nationkey ||
 UNION ALL SELECT '<nation/' || n_nationkey || '>', '<region/' || n_regionkey || '>' FROM nation) """
 
 
+_DOUBLE = "'\"' || CASE WHEN {0} = floor({0}) THEN {0}::BIGINT::VARCHAR ELSE {0}::VARCHAR END || '\"^^<http://www.w3.org/2001/XMLSchema#double>'"
+_INTEGER = "'\"' || {0} || '\"^^<http://www.w3.org/2001/XMLSchema#integer>'"
+
+
+def _cells_sql(name: str, key: str, /, **cells: str) -> str:
+    """All quads of a table: predicate -> SQL of its object."""
+    predicates = ", ".join(f"'<{name}/{p}>'" for p in cells)
+    return (f"SELECT '<{name}/' || {key} || '>' AS s, unnest(['<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>', {predicates}]) AS p, "
+            f"unnest(['<{name}>', {', '.join(cells.values())}]) AS o FROM {name}")
+
+
+_NATION_CELLS = _cells_sql("nation", "n_nationkey", nationkey=_INTEGER.format("n_nationkey"), name="'\"' || n_name || '\"'", regionkey="'<region/' || n_regionkey || '>'")
+_CUSTOMER_CELLS = _cells_sql(
+    "customer", "c_custkey", custkey=_INTEGER.format("c_custkey"), name="'\"' || c_name || '\"'", nationkey="'<nation/' || c_nationkey || '>'",
+    acctbal=_DOUBLE.format("c_acctbal"), mktsegment="'\"' || c_mktsegment || '\"'")
+_ORDER_CELLS = _cells_sql(
+    "orders", "o_orderkey", orderkey=_INTEGER.format("o_orderkey"), custkey="'<customer/' || o_custkey || '>'", orderstatus="'\"' || o_orderstatus || '\"'",
+    totalprice=_DOUBLE.format("o_totalprice"), orderpriority="'\"' || o_orderpriority || '\"'",
+    orderdate="'\"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '\"^^<http://www.w3.org/2001/XMLSchema#dateTime>'")
+#: All nodes of the graph of the three tables.
+_NODES_SQL = f""", q AS ({_NATION_CELLS} UNION ALL {_CUSTOMER_CELLS} UNION ALL {_ORDER_CELLS}), n AS (SELECT s AS x FROM q UNION SELECT o FROM q) """
+
+
 @query("""SELECT '<orders/' || o_orderkey || '>' AS start, '<nation/' || c_nationkey || '>' AS "end"
 FROM orders JOIN customer ON o_custkey = c_custkey""")
 def path_sequence(spark, d):
@@ -39,16 +62,11 @@ def path_alternative(spark, d):
     return pp.edges(graph(spark, d, "orders", "customer", "nation"), _UP)
 
 
-@query("""SELECT '<nation/' || n_nationkey || '>' AS start, '"' || n_name || '"' AS "end" FROM nation
-UNION ALL SELECT '<nation/' || n_nationkey || '>', '<region/' || n_regionkey || '>' FROM nation
-UNION ALL SELECT '<customer/' || c_custkey || '>', x FROM (SELECT c_custkey, unnest(['<nation/' || c_nationkey || '>',
-'"' || c_name || '"', '"' || c_mktsegment || '"']) AS x FROM customer)
-UNION ALL SELECT x, '<customer/' || c_custkey || '>' FROM (SELECT c_custkey, unnest(['"' || c_name || '"', '"' || c_mktsegment || '"']) AS x FROM customer)
-UNION ALL SELECT '"' || n_name || '"', '<nation/' || n_nationkey || '>' FROM nation""")
+@query(f"""WITH q AS ({_NATION_CELLS} UNION ALL {_CUSTOMER_CELLS})
+SELECT s AS start, o AS "end" FROM q WHERE p <> '<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>'
+UNION ALL SELECT o, s FROM q WHERE p NOT IN ('<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>', '<nation/regionkey>', '<customer/nationkey>')""")
 def path_negated(spark, d):
-    g = MappedGraph([table_map(spark, d, "nation", skip=["n_nationkey"]),
-                     table_map(spark, d, "customer", skip=["c_custkey", "c_acctbal"])])
-    return pp.edges(g, pp.Negated((RDF_TYPE,), (RDF_TYPE, "<nation/regionkey>", "<customer/nationkey>")))
+    return pp.edges(graph(spark, d, "nation", "customer"), pp.Negated((RDF_TYPE,), (RDF_TYPE, "<nation/regionkey>", "<customer/nationkey>")))
 
 
 @query("WITH RECURSIVE " + _UP_SQL + """, r AS (SELECT s, t FROM e UNION SELECT r.s, e.t FROM r JOIN e ON r.t = e.s)
@@ -57,15 +75,11 @@ def transitive_plus(spark, d):
     return pp.edges(graph(spark, d, "orders", "customer", "nation"), _UP.plus())
 
 
-@query("WITH RECURSIVE " + _UP_SQL + """, n AS (SELECT s AS x FROM e UNION SELECT t FROM e),
+@query("WITH RECURSIVE " + _UP_SQL + _NODES_SQL + """,
 r AS (SELECT x AS s, x AS t FROM n UNION SELECT r.s, e.t FROM r JOIN e ON r.t = e.s)
 SELECT s AS start, t AS "end" FROM r""")
 def transitive_star(spark, d):
-    # The graph holds only these predicates, so its nodes are their subjects and objects.
-    parts = [table_map(spark, d, t, skip=[c for c in table(spark, d, t).columns if c not in keep], )
-             for t, keep in (("orders", ["o_custkey"]), ("customer", ["c_nationkey"]), ("nation", ["n_regionkey"]))]
-    quads = MappedGraph(parts).quads(["<orders/custkey>", "<customer/nationkey>", "<nation/regionkey>"])
-    return pp.edges(quads, _UP.star())
+    return pp.edges(graph(spark, d, "orders", "customer", "nation"), _UP.star())
 
 
 @query("WITH " + _UP_SQL + """, h2 AS (SELECT DISTINCT a.s, b.t FROM e a JOIN e b ON a.t = b.s),
@@ -75,13 +89,9 @@ def transitive_bounded(spark, d):
     return pp.edges(graph(spark, d, "orders", "customer", "nation"), _UP.repeat(2, 3))
 
 
-@query("WITH " + _UP_SQL + """, n AS (SELECT s AS x FROM e UNION SELECT t FROM e)
-SELECT s AS start, t AS "end" FROM e UNION SELECT x, x FROM n""")
+@query("WITH " + _UP_SQL + _NODES_SQL + """SELECT s AS start, t AS "end" FROM e UNION SELECT x, x FROM n""")
 def transitive_optional(spark, d):
-    g = graph(spark, d, "orders", "customer", "nation")
-    pairs = pp.edges(g, _UP)
-    nodes = pairs.select(F.explode(F.array("start", "end")).alias("node")).dropDuplicates()
-    return reach(pairs, 0, 1, nodes=nodes)
+    return pp.edges(graph(spark, d, "orders", "customer", "nation"), _UP.repeat(0, 1))
 
 
 @query("WITH RECURSIVE " + _UP_SQL + """, r AS (SELECT s, t FROM e WHERE t = '<region/2>'
@@ -177,16 +187,15 @@ def path_search_edge_properties(spark, d):
     return path_search(rows.where("end is not null"), edge_properties=["price"]).drop("path")
 
 
-@query("""SELECT s, p, o FROM (SELECT * FROM (
-SELECT '<customer/' || c_custkey || '>' AS s, unnest(['<customer/name>', '<customer/address>', '<customer/custkey>']) AS p,
- unnest(['"' || c_name || '"', '_:a' || c_custkey, '"' || c_custkey || '"^^<http://www.w3.org/2001/XMLSchema#integer>']) AS o, c_acctbal, c_nationkey FROM customer
-UNION ALL SELECT '_:a' || c_custkey, '<address/nation>', '_:n' || c_nationkey, c_acctbal, c_nationkey FROM customer)
-WHERE c_acctbal > 9000 UNION SELECT DISTINCT '_:n' || n_nationkey, '<nation/name>', '"' || n_name || '"', 0, 0 FROM nation
-JOIN customer ON c_nationkey = n_nationkey WHERE c_acctbal > 9000)""")
+@query(f"""WITH rich AS (SELECT * FROM customer WHERE c_acctbal > 9000)
+SELECT * FROM ({_CUSTOMER_CELLS}) WHERE s IN (SELECT '<customer/' || c_custkey || '>' FROM rich)
+UNION ALL SELECT '<customer/' || c_custkey || '>', '<customer/address>', '_:a' || c_custkey FROM rich
+UNION ALL SELECT '_:a' || c_custkey, '<address/nation>', '_:n' || c_nationkey FROM rich
+UNION ALL SELECT DISTINCT '_:n' || n_nationkey, '<nation/name>', '"' || n_name || '"' FROM nation JOIN rich ON c_nationkey = n_nationkey""")
 def describe_blank_nodes(spark, d):
     # Addresses and nations as blank nodes: customer -> address -> nation.
     customers = table(spark, d, "customer")
-    base = graph(spark, d, "customer").quads(["<customer/name>", "<customer/custkey>"]).select("s", "p", "o")
+    base = graph(spark, d, "customer").quads().select("s", "p", "o")
     address = F.concat(F.lit("_:a"), F.col("c_custkey"))
     nation = F.concat(F.lit("_:n"), F.col("c_nationkey"))
     who = F.concat(F.lit("<customer/"), F.col("c_custkey"), F.lit(">"))
