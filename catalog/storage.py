@@ -132,9 +132,15 @@ _CELLS = """SELECT '<customer/' || c_custkey || '>' AS s, unnest(['<http://www.w
 '"' || c_mktsegment || '"']) AS o FROM customer WHERE c_custkey = 7"""
 
 
+_STORES: dict[tuple[str, str], QuadStore] = {}
+
+
 def _changed_store(spark, d) -> QuadStore:
-    """Orders and customers, clustered, and changes that no base holds yet."""
-    store = QuadStore(spark, _folder(spark)).create(graph(spark, d, "orders", "customer").quads())
+    """Orders and customers, clustered, and changes that no base holds yet: built on first use in a session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key in _STORES:
+        return _STORES[key]
+    store = _STORES[key] = QuadStore(spark, _folder(spark)).create(graph(spark, d, "orders", "customer").quads())
     store.update(inserts=up.quads_of(spark, [("<customer/7>", "<vip>", '"yes"'), ("<list>", "<member>", "<customer/7>")]),
                  deletes=up.quads_of(spark, [("<customer/7>", "<customer/nationkey>", f"<nation/{n}>") for n in range(25)]))
     return store
