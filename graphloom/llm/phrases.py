@@ -300,6 +300,14 @@ def dynamic_counts(texts: DataFrame, longest: int = LONGEST, threshold: int = TH
         names.append(f"phrases_{run}_{kind}")
         return _bucketed(rows, names[-1], folder)
 
+    def drop(keep: list[str]) -> None:
+        """Remove tables that no later step reads."""
+        for name in [n for n in names if n.removeprefix(f"phrases_{run}_") not in keep]:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            names.remove(name)
+
     none = F.lit(b"")
     reached = table(spark.range(pages).select(F.col("id").cast("int").alias("page"), none.alias("reached"), none.alias("new")).repartition(task_count(spark), "page"), "start")
     steps, step, last = [], 0, -1
@@ -315,11 +323,11 @@ def dynamic_counts(texts: DataFrame, longest: int = LONGEST, threshold: int = TH
         # The longest phrases activate nothing.
         if masks.add(reached, step, longest):
             last = step
+        drop([f"reached_{step}", *[f"counts_{k}" for k in range(step - shards + 2, step + 1)]])
         step += 1
+    drop([])
     counted = texts.select("lang", "text").mapInArrow(_count_words(masks.sent(), longest), "lang string, k int, phrase string, f bigint")
     out = cut_lineage(counted.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f")).where((F.col("k") == 0) | (F.col("f") >= threshold)), "phrase-counts")
-    for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
     return out
 
 
