@@ -220,3 +220,15 @@ def test_mapped_rows_are_one_scan(spark):
     for s, p, o in [("<customer/7>", "<customer/name>", "?n"), ("?c", "<customer/custkey>", f'"7"^^<http://www.w3.org/2001/XMLSchema#integer>'),
                     ("<customer/07>", "<customer/name>", "?n"), ("?c", "<customer/nationkey>", "<region/7>"), ("?c", "<customer/name>", "<x>")]:
         assert rows(pattern(g, s, p, o)) == rows(pattern(g.quads(), s, p, o))
+
+
+def test_sequence_through_one_hub_uses_many_tasks(spark):
+    """Edges of very many subjects to one object, there and back: no task forms the whole product."""
+    def point_to(p):
+        return spark.range(3000).select(F.concat(F.lit(f"<{p}"), "id", F.lit(">")).alias("s"), F.lit(f"<{p}>").alias("p"), F.lit("<hub>").alias("o"))
+
+    quads = up.with_terms(point_to("a").union(point_to("b")).withColumn("g", F.lit("")))
+    got = pp.edges(quads, pp.sequence("<a>", ~pp.Step("<b>")))
+    assert got.columns == ["start", "end"]
+    tasks = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("t")).count().collect()]
+    assert sum(tasks) == 9_000_000 and max(tasks) < 7_000_000
