@@ -14,7 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from graphloom.functions import geo
-from graphloom.session import Rounds, ship, task_count
+from graphloom.plans.skew import spread_join
+from graphloom.session import Rounds, cut_lineage, ship, task_count
 
 GEO_INFO_DDL = (
     "struct<kind:string,n_parts:int,centroid:struct<lng:double,lat:double>,"
@@ -241,10 +242,11 @@ def spatial_join(left: DataFrame, right: DataFrame, predicate: str, left_id: str
                  right_wkt: str, metres: float | None = None) -> DataFrame:
     """Pairs ``(left_id, right_id)`` whose geometries satisfy a predicate; ids must be unique on their side.
 
-    Every geometry picks the grid level whose cells are as large as itself, so it covers at most four of them.  Two
-    geometries meet at the coarser of their levels.  Bounding boxes are tested in the join; a pair is taken only in the
-    cell that holds the lower left corner of the boxes' intersection, so no duplicates arise.  The exact predicate runs
-    on Arrow batches of the remaining pairs.
+    Equal geometries are one shape: shapes are compared, and their pairs are then given back to the ids.  Every shape picks
+    the grid level whose cells are as large as itself, so it covers at most four of them.  Two shapes meet at the coarser
+    of their levels.  Bounding boxes are tested in the join; a pair is taken only in the cell that holds the lower left
+    corner of the boxes' intersection, so no duplicates arise.  The exact predicate runs on Arrow batches of the remaining
+    pairs.
     """
     if predicate not in PREDICATES:
         raise ValueError(f"predicate must be one of {PREDICATES}")
@@ -252,24 +254,35 @@ def spatial_join(left: DataFrame, right: DataFrame, predicate: str, left_id: str
         raise ValueError("within-dist, and only it, takes a distance")
     ship(left.sparkSession)
     grow = 0.0 if metres is None else metres
-    a, b = _boxes(left, left_id, left_wkt, "a", grow), _boxes(right, right_id, right_wkt, "b", 0.0)
-    pairs = _box_pairs(a, b, predicate)
+    shapes_a, rows_a = _shapes(left, left_id, left_wkt, "a", metres is None)
+    shapes_b, rows_b = _shapes(right, right_id, right_wkt, "b", metres is None)
+    pairs = _box_pairs(_boxes(shapes_a, "a_shape", "a_box", "a", grow), _boxes(shapes_b, "b_shape", "b_box", "b", 0.0), predicate)
     if metres is not None:
         # Both parts of a box may meet a wide one.
         pairs = pairs.distinct()
-    geoms_a = left.select(F.col(left_id).alias("a_id"), F.col(left_wkt).alias("a_wkt"))
-    geoms_b = right.select(F.col(right_id).alias("b_id"), F.col(right_wkt).alias("b_wkt"))
-    full = pairs.join(geoms_a, "a_id").join(geoms_b, "b_id")
-    # The exact test costs far more than a shuffle, and a geometry that meets very many others must not run in one task.
-    full = full.repartition(task_count(left.sparkSession), "a_id", "b_id")
+    full = pairs.join(shapes_a.select("a_shape", "a_wkt"), "a_shape").join(shapes_b.select("b_shape", "b_wkt"), "b_shape")
+    # The exact test costs far more than a shuffle, and a shape that meets very many others must not run in one task.
+    full = full.repartition(task_count(left.sparkSession), "a_shape", "b_shape")
     # ``mapInPandas`` and not a filter: Spark would move a filter below the shuffle.
-    kept = full.mapInPandas(_exact(predicate, metres), T.StructType([full.schema["a_id"], full.schema["b_id"]]))
-    return kept.select(F.col("a_id").alias(left_id), F.col("b_id").alias(right_id))
+    kept = cut_lineage(full.mapInPandas(_exact(predicate, metres), "a_shape bigint, b_shape bigint"), "shape-pairs")
+    found = spread_join(spread_join(kept, rows_a, ["a_shape"]).drop("a_shape"), rows_b, ["b_shape"])
+    return found.select(F.col("a_id").alias(left_id), F.col("b_id").alias(right_id))
+
+
+def _shapes(df: DataFrame, id_: str, wkt: str, side: str, by_id: bool) -> tuple[DataFrame, DataFrame]:
+    """Numbered shapes ``(shape, box, wkt)``, where ``box`` is the text that gives the box, and ``(id, shape)`` of the rows."""
+    shape, box, text = f"{side}_shape", f"{side}_box", f"{side}_wkt"
+    rows = df.select(F.col(id_).alias(f"{side}_id"), F.col(wkt).alias(text)).where(f"{side}_id is not null and {text} is not null")
+    boxes = rows.withColumnRenamed(text, box)
+    # An id that repeats against the rule has the boxes of all its rows for each of its geometries.
+    rows = boxes.join(rows, f"{side}_id") if by_id else boxes.withColumn(text, F.col(box))
+    shapes = cut_lineage(rows.select(box, text).distinct().withColumn(shape, F.monotonically_increasing_id()), "shapes")
+    return shapes, rows.join(shapes, [box, text]).select(f"{side}_id", shape)
 
 
 def _boxes(df: DataFrame, id_: str, wkt: str, side: str, metres: float) -> DataFrame:
     # ``inline`` keeps the optimizer from repeating the parse for each of the four numbers.
-    rows = df.select(F.col(id_).alias(f"{side}_id"), F.inline(F.array(geo.bounding_box(wkt)))).where("minx is not null")
+    rows = df.select(id_, F.inline(F.array(geo.bounding_box(wkt)))).where("minx is not null")
     up = math.degrees(metres / (1000 * geo.EARTH_RADIUS_KM)) * (1 + 1e-9)
     lat = F.greatest(F.abs("miny"), F.abs("maxy")) + up
     rows = rows.withColumn("miny", F.col("miny") - up).withColumn("maxy", F.col("maxy") + up)
@@ -283,8 +296,8 @@ def _boxes(df: DataFrame, id_: str, wkt: str, side: str, metres: float) -> DataF
         parts = F.when(around, F.array(box(F.lit(-180.0), F.lit(180.0)))).otherwise(F.filter(F.array(
             box(x0, x1), F.when(x0 < -180, box(x0 + 360, F.lit(180.0))), F.when(x1 > 180, box(F.lit(-180.0), x1 - 360))),
             lambda part: part.isNotNull()))
-        rows = rows.select(f"{side}_id", "miny", "maxy", F.inline(parts))
-    rows = rows.select(f"{side}_id", F.col("minx").alias(f"{side}_x0"), F.col("miny").alias(f"{side}_y0"),
+        rows = rows.select(id_, "miny", "maxy", F.inline(parts))
+    rows = rows.select(id_, F.col("minx").alias(f"{side}_x0"), F.col("miny").alias(f"{side}_y0"),
                        F.col("maxx").alias(f"{side}_x1"), F.col("maxy").alias(f"{side}_y1"))
     extent = F.greatest(F.col(f"{side}_x1") - F.col(f"{side}_x0"), F.col(f"{side}_y1") - F.col(f"{side}_y0"))
     level = F.when(extent <= 360.0 / (1 << _MAX_LEVEL), _MAX_LEVEL).otherwise(
@@ -335,7 +348,7 @@ def _box_pairs(a: DataFrame, b: DataFrame, predicate: str) -> DataFrame:
     return joined.where(_box_condition(predicate)).where(
         (x <= F.least("a_x1", "b_x1")) & (y <= F.least("a_y1", "b_y1"))
         & (F.floor((x + 180.0) / width) == F.col("gx")) & (F.floor((y + 180.0) / width) == F.col("gy"))
-    ).select("a_id", "b_id")
+    ).select("a_shape", "b_shape")
 
 
 def _exact(predicate: str, metres: float | None):
@@ -350,7 +363,7 @@ def _exact(predicate: str, metres: float | None):
 
         for batch in batches:
             hit = [one(x, y) for x, y in zip(batch["a_wkt"], batch["b_wkt"])]
-            yield batch.loc[hit, ["a_id", "b_id"]]
+            yield batch.loc[hit, ["a_shape", "b_shape"]]
 
     return check
 

@@ -122,3 +122,16 @@ def test_geometry_columns(spark):
     assert df[1].geo_info.area_sqm == 0 and df[1].one == "POINT(7 8)"
     assert df[2].len == pytest.approx(2 * math.radians(1) * 6371010) and df[2].s == "LINESTRING(0 0,0 2)"
     assert df[3].geo_info is None and df[4].geo_info is None
+
+
+def test_equal_shapes_are_tested_once(spark, monkeypatch):
+    """Many rows with the same few geometries: the exact test meets each pair of shapes once, the result has all rows."""
+    tested = []
+    monkeypatch.setattr(sp, "cut_lineage", lambda df, name: tested.append((name, c := df.cache())) or c)
+    square = "POLYGON(({0} 0,{1} 0,{1} 2,{0} 2,{0} 0))"
+    many = [(i, square.format(i % 3, i % 3 + 2)) for i in range(60)]
+    few = [(i, square.format(1, 3)) for i in range(10)]
+    got = sp.spatial_join(spark.createDataFrame(many, "a bigint, w string"),
+                          spark.createDataFrame(few, "b bigint, v string"), "overlaps", "a", "w", "b", "v")
+    assert rows(got) == sorted(((i, k) for i in range(60) if i % 3 != 1 for k in range(10)), key=repr)
+    assert [df.count() for name, df in tested if name == "shape-pairs"] == [2]
