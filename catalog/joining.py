@@ -23,7 +23,7 @@ def join_two_variables(spark, d):
     left = bgp(g, [("?c", "<customer/nationkey>", "?n"), ("?c", "<customer/acctbal>", "?b", "double")])
     right = bgp(g, [("?s", "<supplier/nationkey>", "?n"), ("?s", "<supplier/acctbal>", "?b", "double")])
     thousand = F.floor(F.col("b") / 1000).alias("k")
-    return j.natural_join(left.select("c", "n", thousand), right.select("s", "n", thousand))
+    return j.natural_join(left.select("c", "n", thousand), right.select("s", "n", thousand), spread=True)
 
 
 def _docs_labels(spark, d):

@@ -15,14 +15,21 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from graphloom.plans.skew import spread_join
+
 
 def shared(left: DataFrame, right: DataFrame) -> list[str]:
     return [c for c in left.columns if c in right.columns]
 
 
-def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Join on all shared variables, which must be bound; a product if there is none."""
+def natural_join(left: DataFrame, right: DataFrame, spread: bool = False) -> DataFrame:
+    """Join on all shared variables, which must be bound; a product if there is none.
+
+    With ``spread`` values that very many rows of both sides share are dealt over many tasks.
+    """
     on = shared(left, right)
+    if on and spread:
+        return spread_join(left, right, on)
     return left.join(right, on=on, how="inner") if on else product(left, right)
 
 

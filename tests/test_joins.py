@@ -4,6 +4,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from graphloom.operators import joins as j, modifiers as m
@@ -113,3 +114,14 @@ def test_modifiers(spark):
         m.bind(df, "k", F.lit(1))
     inline = m.values(spark, "k int, w string", [(1, "x"), (None, "y")])
     assert rows(m.join_values(df, inline, unbound=["k"]), "k", "w") == [(1, "x"), (1, "y"), (2, "y"), (3, "y")]
+
+
+def test_spread_join_deals_a_product_over_tasks(spark):
+    left = spark.range(1, 3001).select(F.lit(1).alias("x"), F.col("id").alias("l")).union(spark.createDataFrame([(2, 0), (None, 9)], "x int, l bigint"))
+    right = spark.range(1, 3001).select(F.lit(1).alias("x"), F.col("id").alias("r")).union(spark.createDataFrame([(2, 0), (2, 0), (None, 9)], "x int, r bigint"))
+    got = j.natural_join(left, right, spread=True)
+    assert got.columns == ["x", "l", "r"]
+    assert rows(got.where("x <> 1")) == [(2, 0, 0), (2, 0, 0)]
+    assert got.where("x = 1").distinct().count() == 9_000_000
+    tasks = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("t")).count().collect()]
+    assert sum(tasks) == 9_000_002 and max(tasks) < 7_000_000
