@@ -135,3 +135,10 @@ def test_equal_shapes_are_tested_once(spark, monkeypatch):
                           spark.createDataFrame(few, "b bigint, v string"), "overlaps", "a", "w", "b", "v")
     assert rows(got) == sorted(((i, k) for i in range(60) if i % 3 != 1 for k in range(10)), key=repr)
     assert [df.count() for name, df in tested if name == "shape-pairs"] == [2]
+
+
+def test_within_distance_spreads_a_crowd(spark):
+    at = lambda n, short: spark.range(n).select(F.col("id").alias(short), geo.make_point(F.lit(5.0), F.lit(5.0)).alias(f"{short}_at"))
+    got = sp.within_distance(at(3000, "a"), at(3000, "b").repartition(1), 10, "a_at", "b_at", payload=["b"])
+    tasks = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("t")).count().collect()]
+    assert sum(tasks) == 9_000_000 and max(tasks) < 7_000_000
