@@ -11,10 +11,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from graphloom.functions.terms import _c
+from graphloom.functions.terms import _c, let
 from graphloom.operators.scan import as_quads
 from graphloom.plans.skew import lookup_join
-from graphloom.session import Rounds, cut_lineage
+from graphloom.session import Rounds, cut_lineage, task_count
 
 WORDS_DDL = "word string, is_entity int, record bigint, score double"
 DOCS_DDL = "record bigint, text string"
@@ -40,11 +40,24 @@ def read_docs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, record: str = "record", text: str = "text") -> DataFrame:
-    """``(record, word, tf)``; counts combine map-side, and no word gathers its records in one task."""
-    return (
-        docs.select(F.col(record).alias("record"), _each(tokens(text)).alias("word")).where("word is not null")
-        .groupBy("record", "word").agg(F.count(F.lit(1)).alias("tf"))
-    )
+    """``(record, word, tf)``; the texts move once, by record, and no word gathers its records in one task."""
+    rows = _by_record(docs, record, text).select("record", _each(word_counts(tokens("text"))).alias("c")).where("c is not null")
+    return rows.groupBy("record", F.col("c.word").alias("word")).agg(F.sum("c.tf").alias("tf"))
+
+
+def word_counts(words: Column) -> Column:
+    """``array<struct<word, tf>>`` of an array of words: each word once, counted in its own row without a shuffle."""
+    def of_sorted(w: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1)))
+        return let(starts, lambda s: F.zip_with(s, F.concat(F.slice(s, 2, F.size(s)), F.array(F.size(w))), lambda i, k: F.struct(
+            F.get(w, i).alias("word"), (k - i).cast("bigint").alias("tf"))))
+
+    return let(F.sort_array(words), lambda w: F.when(F.size(w) > 0, of_sorted(w)))
+
+
+def _by_record(docs: DataFrame, record: str, text: str) -> DataFrame:
+    """Texts dealt by record: counts of a record, also of one with several texts, then need no further shuffle."""
+    return docs.select(F.col(record).alias("record"), F.col(text).alias("text")).repartition(task_count(docs.sparkSession), "record")
 
 
 def _each(words: Column) -> Column:
@@ -111,12 +124,13 @@ def scored_postings(docs: DataFrame, scoring: Scoring, words: Sequence[str] | No
     With ``words`` only those words are counted, the document statistics still cover all texts.
     """
     # The size of the token array travels along, so document lengths need no join.
-    split = docs.select(F.col(record).alias("record"), tokens(text).alias("t")).withColumn("dl", F.size("t"))
-    lengths = split.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avdl"))
-    rows = split.select("record", "dl", _each(F.col("t")).alias("word")).where("word is not null")
+    sizes = lambda df: df.withColumn("dl", F.size("t"))
+    lengths = sizes(docs.select(tokens(text).alias("t"))).agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avdl"))
+    split = sizes(_by_record(docs, record, text).select("record", tokens("text").alias("t")))
     if words is not None:
-        rows = rows.where(F.col("word").isin(list(words)))
-    counts = rows.groupBy("record", "word").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
+        split = split.withColumn("t", F.filter("t", lambda w: w.isin(list(words))))
+    rows = split.select("record", "dl", _each(word_counts(F.col("t"))).alias("c")).where("c is not null")
+    counts = rows.groupBy("record", F.col("c.word").alias("word")).agg(F.sum("c.tf").alias("tf"), F.max("dl").alias("dl"))
     if scoring.mode == "explicit":
         return counts.select("record", "word", "tf", F.col("tf").cast("double").alias("score"))
     # The texts are tokenized once; the joins below read the counts several times.
@@ -135,8 +149,9 @@ def score_postings(postings: DataFrame, docs: DataFrame, scoring: Scoring) -> Da
     if scoring.mode == "explicit":
         return postings
     owners = next_at_or_after(postings.select("record"), docs.select("record"))
+    given = postings.where(~F.col("is_entity"))
     scores = scored_postings(docs, scoring).select(F.col("record").alias("doc"), "word", F.col("score").alias("__s"))
-    words = postings.where(~F.col("is_entity")).join(owners, "record").join(scores, ["doc", "word"], "left")
+    words = given.join(owners, "record").join(scores, ["doc", "word"], "left")
     words = words.select("word", "is_entity", "record", F.coalesce("__s", F.lit(0.0)).alias("score"))
     return words.unionByName(postings.where("is_entity").select("word", "is_entity", "record", "score"))
 

@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from graphloom.operators.text import Scoring, _each, _score, tokens
+from graphloom.operators.text import Scoring, _each, _score, tokens, word_counts
 from graphloom.session import cut_lineage
 from graphloom.sources.commitlog import CommitLog
 
@@ -66,18 +66,18 @@ class TextStore:
         if self._known(batch):
             return False
         folder = f"segment-{uuid.uuid4().hex}"
-        # The texts are tokenized once: lengths and postings start from the counts of each record.
+        # The texts are tokenized once: lengths and postings start from the counts of each row.  Rows move once, to their
+        # place in the index, and are added up there if a record came in several rows.
         columns = [F.col(record).cast("bigint").alias("record"), *([F.col(entity).alias("entity")] if entity else [])]
         split = docs.select(*columns, tokens(text).alias("t")).withColumn("dl", F.size("t").cast("bigint"))
-        keys = ["record", "dl", *(["entity"] if entity else [])]
-        counts = cut_lineage(split.select(*keys, _each(F.col("t")).alias("word")).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("tf")), "text-counts")
+        counts = cut_lineage(split.select(*[c for c in split.columns if c != "t"], word_counts(F.col("t")).alias("counts")), "text-counts")
         lengths = counts.groupBy("record").agg(F.max("dl").alias("dl"))
-        rows = counts.where("word is not null").groupBy("word", "record").agg(F.sum("tf").cast("double").alias("score"), F.max("dl").alias("dl"))
-        rows = rows.select("word", F.lit(False).alias("is_entity"), "record", "score", "dl")
+        words = counts.select("record", "dl", _each(F.col("counts")).alias("c")).where("c is not null")
+        rows = words.select("c.word", F.lit(False).alias("is_entity"), "record", F.col("c.tf").cast("double").alias("score"), "dl")
         if entity:
-            mentions = counts.where("entity is not null").select("entity", "record", "dl").distinct()
+            mentions = counts.where("entity is not null")
             rows = rows.unionByName(mentions.select(F.col("entity").alias("word"), F.lit(True).alias("is_entity"), "record", F.lit(0.0).alias("score"), "dl"))
-        return self._commit(folder, rows, lengths, batch, replace)
+        return self._commit(folder, rows, lengths, batch, replace, add_up=True)
 
     def add_words(self, words: DataFrame, batch: str | None = None, replace: bool = False) -> bool:
         """Index given words ``(word, is_entity, record, score)``, as ``operators.text.read_words`` reads them from a file."""
@@ -87,15 +87,20 @@ class TextStore:
         rows = words.select("word", "is_entity", "record", "score", F.lit(None).cast("bigint").alias("dl"))
         return self._commit(f"segment-{uuid.uuid4().hex}", rows, lengths, batch, replace)
 
-    def _write(self, folder: str, rows: DataFrame, lengths: DataFrame) -> dict:
+    def _write(self, folder: str, rows: DataFrame, lengths: DataFrame, add_up: bool = False) -> dict:
         seen = Observation()
         lengths.observe(seen, F.count(F.lit(1)).alias("docs"), F.count("dl").alias("texts"), F.coalesce(F.sum("dl"), F.lit(0)).alias("words")).write.parquet(f"{self.path}/{folder}/docs")
         # A frequent word spans many files, so the record is part of the order.
-        rows.repartitionByRange("word", "record").sortWithinPartitions("word", "record").write.parquet(f"{self.path}/{folder}/postings")
+        rows = rows.repartitionByRange("word", "record")
+        if add_up:
+            # Each (word, record) is in one range, so this needs no further shuffle.  Mentions stay apart by length.
+            keys = ["word", "is_entity", "record", F.when(F.col("is_entity"), F.col("dl")).alias("__dl")]
+            rows = rows.groupBy(*keys).agg(F.sum("score").alias("score"), F.max("dl").alias("dl")).drop("__dl")
+        rows.sortWithinPartitions("word", "record").write.parquet(f"{self.path}/{folder}/postings")
         return {"folder": folder, **{k: seen.get[k] for k in ("docs", "texts", "words")}}
 
-    def _commit(self, folder: str, rows: DataFrame, lengths: DataFrame, batch: str | None, replace: bool) -> bool:
-        entry = {"kind": "segment", **self._write(folder, rows, lengths), "batches": [batch] if batch else [],
+    def _commit(self, folder: str, rows: DataFrame, lengths: DataFrame, batch: str | None, replace: bool, add_up: bool = False) -> bool:
+        entry = {"kind": "segment", **self._write(folder, rows, lengths, add_up), "batches": [batch] if batch else [],
                  "hides": f"{folder}/docs" if replace else None}
         return self.commits.append(lambda: None if self._known(batch) else entry) is not None
 

@@ -173,3 +173,15 @@ def test_views(spark, tmp_path):
     views.pin(df, "kept")
     assert views.pinned(spark, "kept").count() == 3
     views.unpin(spark, "kept")
+
+
+def test_index_adds_up_records_that_come_in_several_rows(spark, tmp_path):
+    from graphloom.sources.textstore import TextStore
+
+    store = TextStore(spark, str(tmp_path / "several"))
+    docs = spark.createDataFrame([(1, "b a b", "<e>"), (1, "a c", "<e>"), (1, "a c", "<e>"), (2, None, "<f>"), (None, "z", None)], "record bigint, text string, entity string")
+    store.add(docs, entity="entity")
+    found = {(r["word"], r["is_entity"], r["record"], r["score"]) for r in store.postings().collect()}
+    assert found == {("a", False, 1, 3.0), ("b", False, 1, 2.0), ("c", False, 1, 2.0), ("z", False, None, 1.0), ("<e>", True, 1, 0.0), ("<f>", True, 2, 0.0)}
+    # Two mentions: the record's texts have two lengths.
+    assert store.postings().where("word = '<e>'").count() == 2

@@ -94,3 +94,23 @@ def test_text_limit(spark):
     assert tx.text_limit(df, 3, ["e"], "t", ["s"]).count() == 5
     plan = tx.text_limit(df, 2, ["e"], "t", ["s"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_word_counts_need_no_shuffle(spark):
+    df = spark.createDataFrame([(1, "b a b, c B"), (2, "  "), (3, None), (4, "a")], "record bigint, text string")
+    got = df.select("record", tx.word_counts(tx.tokens("text")).alias("c"))
+    assert {r["record"]: [tuple(x) for x in r["c"]] if r["c"] else None for r in got.collect()} == {
+        1: [("a", 1), ("b", 3), ("c", 1)], 2: None, 3: None, 4: [("a", 1)]}
+    assert exchanges(got) == 0
+
+
+def test_texts_of_one_record_add_up_after_one_shuffle(spark):
+    df = spark.createDataFrame([(1, "b a b"), (1, "a c"), (None, "a"), (2, None)], "record bigint, text string")
+    got = tx.term_counts(df)
+    assert rows(got, "record", "word", "tf") == sorted([(1, "a", 2), (1, "b", 2), (1, "c", 1), (None, "a", 1)], key=repr)
+    # Dealing out the texts is the only shuffle, however many words they have.
+    assert "Exchange hashpartitioning(record" in got._jdf.queryExecution().executedPlan().toString() and exchanges(got) == 1
