@@ -118,10 +118,10 @@ def _score(scoring: Scoring) -> Column:
 
 
 def scored_postings(docs: DataFrame, scoring: Scoring, words: Sequence[str] | None = None,
-                    record: str = "record", text: str = "text") -> DataFrame:
+                    record: str = "record", text: str = "text", only: DataFrame | None = None) -> DataFrame:
     """``(record, word, tf, score)`` of the texts themselves as records.
 
-    With ``words`` only those words are counted, the document statistics still cover all texts.
+    With ``words`` (or ``only``, a table of words) only those words are counted, the document statistics still cover all texts.
     """
     # The size of the token array travels along, so document lengths need no join.
     sizes = lambda df: df.withColumn("dl", F.size("t"))
@@ -131,6 +131,8 @@ def scored_postings(docs: DataFrame, scoring: Scoring, words: Sequence[str] | No
         split = split.withColumn("t", F.filter("t", lambda w: w.isin(list(words))))
     rows = split.select("record", "dl", _each(word_counts(F.col("t"))).alias("c")).where("c is not null")
     counts = rows.groupBy("record", F.col("c.word").alias("word")).agg(F.sum("c.tf").alias("tf"), F.max("dl").alias("dl"))
+    if only is not None:
+        counts = counts.join(only.select("word"), "word", "left_semi").select(counts.columns)
     if scoring.mode == "explicit":
         return counts.select("record", "word", "tf", F.col("tf").cast("double").alias("score"))
     # The texts are tokenized once; the joins below read the counts several times.
@@ -150,7 +152,7 @@ def score_postings(postings: DataFrame, docs: DataFrame, scoring: Scoring) -> Da
         return postings
     owners = next_at_or_after(postings.select("record"), docs.select("record"))
     given = postings.where(~F.col("is_entity"))
-    scores = scored_postings(docs, scoring).select(F.col("record").alias("doc"), "word", F.col("score").alias("__s"))
+    scores = scored_postings(docs, scoring, only=given.select("word").distinct()).select(F.col("record").alias("doc"), "word", F.col("score").alias("__s"))
     words = given.join(owners, "record").join(scores, ["doc", "word"], "left")
     words = words.select("word", "is_entity", "record", F.coalesce("__s", F.lit(0.0)).alias("score"))
     return words.unionByName(postings.where("is_entity").select("word", "is_entity", "record", "score"))
