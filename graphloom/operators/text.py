@@ -181,10 +181,11 @@ def next_at_or_after(records: DataFrame, docs: DataFrame) -> DataFrame:
         # What is left of 64 bits at the last level are at most 2^16 keys, which form one group (with both signs).
         last_level = level == 64 // LEVEL_BITS - 1
         group = F.lit(0) if last_level else F.shiftright("key", LEVEL_BITS)
-        order = Window.partitionBy(group).orderBy("key")
+        # From the highest key down, so that the frame only grows: one that shrinks is read anew for each row.
+        order = Window.partitionBy(group).orderBy(F.desc("key"))
         # A block number above the first level must lie strictly ahead.
-        ahead = order.rowsBetween(min(level, 1), Window.unboundedFollowing)
-        nearest = points.select("key", F.first("doc", ignorenulls=True).over(ahead).alias("doc"))
+        ahead = order.rowsBetween(Window.unboundedPreceding, -min(level, 1))
+        nearest = points.select("key", F.last("doc", ignorenulls=True).over(ahead).alias("doc"))
         hits, _ = rounds.add(wanted.join(nearest, "key").select("key", "record", "doc"))
         left = hits.where("doc is null")
         if left.isEmpty():

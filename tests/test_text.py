@@ -114,3 +114,15 @@ def test_texts_of_one_record_add_up_after_one_shuffle(spark):
     assert rows(got, "record", "word", "tf") == sorted([(1, "a", 2), (1, "b", 2), (1, "c", 1), (None, "a", 1)], key=repr)
     # Dealing out the texts is the only shuffle, however many words they have.
     assert "Exchange hashpartitioning(record" in got._jdf.queryExecution().executedPlan().toString() and exchanges(got) == 1
+
+
+def test_next_document_of_a_full_block_is_quick(spark):
+    """60,000 ids of one block: the time must not grow with the square of them."""
+    import time
+
+    start = time.time()
+    records = spark.range(60_000).select(F.col("id").alias("record"))
+    docs = spark.range(0, 60_000, 7).select(F.col("id").alias("record"))
+    got = tx.next_at_or_after(records, docs)
+    assert got.where("doc < record or doc - record > 6 or doc % 7 <> 0").isEmpty() and got.count() == 59_998 - 59_998 % 7 + 1
+    assert time.time() - start < 8
