@@ -142,3 +142,10 @@ def test_within_distance_spreads_a_crowd(spark):
     got = sp.within_distance(at(3000, "a"), at(3000, "b").repartition(1), 10, "a_at", "b_at", payload=["b"])
     tasks = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("t")).count().collect()]
     assert sum(tasks) == 9_000_000 and max(tasks) < 7_000_000
+
+
+def test_measures_run_in_many_tasks(spark):
+    texts = spark.range(0, 400, 1, 1).select("id", geo.point_wkt(F.col("id") % 90, F.col("id") % 45).alias("wkt"))
+    got = sp.enrich_geometry(texts, "wkt")
+    assert got.where("geo_info.kind = 'POINT'").count() == 400
+    assert got.select(F.spark_partition_id().alias("t")).distinct().count() > 1
