@@ -196,25 +196,35 @@ def _descend(spark, places: DataFrame, tree: dict[int, DataFrame], depth: int, k
     """Per place the finest cells that can hold one of its k nearest points."""
     start = 4.0 if max_metres is None else geo.chord(max_metres) * (1 + 1e-9) + 1e-9
     columns = ", ".join(f"{c} double" for c in [*_PLACE, "bound"]) + ", " + ", ".join(f"{c} bigint" for c in _CELL)
-    state = places.select(_PLACE).mapInPandas(_first_cut(tree[_ROOT].collect(), k, start), columns)
+    slim = ["lng", "lat", "bound", *_CELL]
+    state = places.select(_PLACE).mapInPandas(_first_cut(tree[_ROOT].collect(), k, start), columns).select(slim)
     for level in range(_ROOT + _STEP, depth + 1, _STEP):
         state, _ = Rounds(spark, "frontier").add(state)
         up = [F.shiftright(c, _STEP).alias(f"up_{c}") for c in _CELL]
-        parents = state.select(*_PLACE, "bound", *[F.col(c).alias(f"up_{c}") for c in _CELL])
+        parents = state.select("lng", "lat", "bound", *[F.col(c).alias(f"up_{c}") for c in _CELL])
         rows = parents.join(tree[level].select(*_CELL, "n", *up), [f"up_{c}" for c in _CELL])
-        near, far = _range(level)
-        rows = rows.select(*_PLACE, "bound", *_CELL, "n", near.alias("near"), far.alias("far"))
-        rows = rows.where(F.col("near") <= _slack(F.col("bound")))
+        rows = _ranged(rows, level).where(F.col("near") <= _slack(F.col("bound"))).select(*slim, "n")
+        # Only what cannot be computed again is shuffled; positions and ranges are eight bytes each that do not compress.
+        # Dealt by a hash, as the window would deal doubles anew.
+        rows = _ranged(rows.withColumn("h", F.xxhash64("lng", "lat")).repartition(task_count(spark), "h"), level)
         # The cells of one place are few: those that survived the level above, times their children.
-        place = Window.partitionBy("lng", "lat")
+        place = Window.partitionBy("h", "lng", "lat")
         seen = F.sum("n").over(place.orderBy("far", *_CELL).rowsBetween(Window.unboundedPreceding, 0))
         rows = rows.withColumn("seen", seen)
         sure = F.min(F.when(F.col("seen") >= k, F.col("far"))).over(place)
         rows = rows.withColumn("bound", F.least("bound", sure)).where(F.col("near") <= _slack(F.col("bound")))
-        state = rows.select(*_PLACE, "bound", *_CELL)
+        state = rows.select(slim)
     return state.select(F.col("lng").alias("__lng"), F.col("lat").alias("__lat"), *_CELL)
 
 
+def _ranged(rows: DataFrame, level: int) -> DataFrame:
+    """Rows with the nearest and farthest distance from their place to their cell."""
+    for name, axis in zip("xyz", geo.unit_vector(F.col("lng"), F.col("lat"))):
+        rows = rows.withColumn(name, axis)
+    near, far = _range(level)
+    return rows.withColumn("near", near).withColumn("far", far)
+
+
 def _range(level: int) -> tuple[Column, Column]:
     """Nearest and farthest distance from (x, y, z) to the cell (cx, cy, cz)."""
     width = 2.0 / (1 << level)

@@ -149,3 +149,19 @@ def test_measures_run_in_many_tasks(spark):
     got = sp.enrich_geometry(texts, "wkt")
     assert got.where("geo_info.kind = 'POINT'").count() == 400
     assert got.select(F.spark_partition_id().alias("t")).distinct().count() > 1
+
+
+def test_nearest_keeps_only_what_cannot_be_computed_again(spark, monkeypatch):
+    """Rounds of the search hold places and cells, not positions and ranges; the result stays exact."""
+    held, add = [], sp.Rounds.add
+
+    def seen(self, df):
+        held.append((self.base, df.columns))
+        return add(self, df)
+
+    monkeypatch.setattr(sp.Rounds, "add", seen)
+    pts = [(10 + 0.01 * (i % 20), 50 + 0.01 * (i // 20)) for i in range(200)]
+    got = rows(sp.nearest_neighbors(frame(spark, pts[:3], "a"), frame(spark, pts, "b"), 1, "a_at", "b", "b_at", payload=["b"]).select("a", "b"))
+    assert got == [(0, 0), (1, 1), (2, 2)]
+    frontiers = [columns for base, columns in held if "/frontier-" in base]
+    assert frontiers and all(columns == ["lng", "lat", "bound", "cx", "cy", "cz"] for columns in frontiers)
