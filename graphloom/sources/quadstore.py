@@ -64,7 +64,7 @@ class QuadStore:
         if self.commits.last() >= 0:
             raise ValueError(f"{self.path} already holds a quad store")
         name = f"base-{uuid.uuid4().hex}"
-        copies = write_clustered(up.with_terms(quads), f"{self.path}/{name}", orders)
+        copies = write_clustered(quads, f"{self.path}/{name}", orders)
         if not self.commits.put(0, {"kind": "base", "version": 0, "upto": -1, "path": name, "orders": copies, "feeds": {}}):
             raise ValueError(f"{self.path} already holds a quad store")
         return self

@@ -7,13 +7,14 @@ range holds the constant.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from graphloom.functions.terms import DEFAULT_GRAPH
-from graphloom.session import cut_lineage
+from graphloom.session import shared_folder
 from graphloom.sources.mapping import QuadSource, distinct_quads
 
 PREDICATE_BUCKET = "p_bucket"
@@ -22,6 +23,9 @@ N_BUCKETS = 512
 ORDERS = ("p", "s", "o")
 #: Quads for which the copies by subject and by object have a folder; most folders of one copy.
 BUCKET_ROWS, MOST_BUCKETS = 4_000_000, 8192
+#: Bytes of text that one task sorts into a copy; quads in one file of what the copies are made from.
+TASK_BYTES, FILE_ROWS = 16 << 20, 1_000_000
+_TEXTS = ["s", "p", "o", "g"]
 _SORTED = {"p": ("p", "s"), "s": ("s", "p"), "o": ("o", "p", "s")}
 
 
@@ -34,16 +38,22 @@ def _bucket_column(column: str, buckets: int = N_BUCKETS):
     return (F.crc32(F.col(column)) % buckets).cast("int")
 
 
-def _write_copy(quads: DataFrame, path: str, column: str, mode: str = "error", buckets: int = N_BUCKETS) -> None:
-    """One clustered copy of a quad set.
+def _write_copy(quads: DataFrame, path: str, column: str, mode: str = "error", buckets: int = N_BUCKETS, tasks: int | None = None,
+                distinct: bool = False) -> None:
+    """One clustered copy of a quad set; ``distinct`` makes it a set first.
 
     Range partitioning on (bucket, sort columns) spreads a predicate or object that holds most of the data over many
-    tasks and files.
+    tasks and files.  Equal quads meet in one range, so making them distinct moves nothing more.
     """
     bucket = f"{column}_bucket"
     order = [bucket, *_SORTED[column]]
-    (quads.withColumn(bucket, _bucket_column(column, buckets)).repartitionByRange(*order).sortWithinPartitions(*order)
-     .write.mode(mode).partitionBy(bucket).parquet(path))
+    rows = quads.withColumn(bucket, _bucket_column(column, buckets))
+    rows = rows.repartitionByRange(*order) if tasks is None else rows.repartitionByRange(tasks, *order)
+    if distinct:
+        # In the order of the copy, so equal quads stand side by side and one sort does for both.
+        equal = Window.partitionBy(*dict.fromkeys([*order, *_TEXTS])).orderBy(bucket)
+        rows = rows.withColumn("__n", F.row_number().over(equal)).where("__n = 1").drop("__n")
+    rows.sortWithinPartitions(*order).write.mode(mode).partitionBy(bucket).parquet(path)
 
 
 def write_quads(quads: DataFrame, path: str, mode: str = "error") -> None:
@@ -58,20 +68,26 @@ def read_quads(spark: SparkSession, path: str) -> DataFrame:
 def write_clustered(quads: DataFrame, path: str, orders: Sequence[str] = ORDERS) -> dict[str, int]:
     """Store a quad set in several copies; the number of folders of each.
 
-    The set is de-duplicated once and the other copies are made from the first.  Subjects and objects get a folder for
-    about every BUCKET_ROWS quads, so a lookup opens a bounded part of the files however large the set is.
+    Copies hold texts only; readers decode the objects that they use.  The quads are computed once and written out, which
+    also tells how many tasks the copies need so that each task has a bounded share.  The set is de-duplicated in the
+    first copy and the others are made from it.  Subjects and objects get a folder for about every BUCKET_ROWS quads, so a
+    lookup opens a bounded part of the files however large the set is.
     """
     if not orders or not set(orders) <= set(ORDERS):
         raise ValueError(f"copies are some of {ORDERS}")
-    spark, first, out = quads.sparkSession, orders[0], {}
-    quads = distinct_quads(quads)
-    if first != "p":
-        # Its number of folders needs the number of quads.
-        quads = cut_lineage(quads, "quads")
+    spark, first, out, seen = quads.sparkSession, orders[0], {}, Observation()
+    texts, size = quads.select(*_TEXTS), F.lit(0)
+    for column in _TEXTS:
+        size = size + F.coalesce(F.octet_length(column), F.lit(0))
+    drawn = f"{shared_folder(spark)}/quads-{uuid.uuid4().hex}"
+    texts.observe(seen, F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).write.option("maxRecordsPerFile", FILE_ROWS).parquet(drawn)
+    texts, tasks = spark.read.schema(texts.schema).parquet(drawn), 1 + seen.get["bytes"] // TASK_BYTES
     for n, column in enumerate(orders):
-        source = quads if n == 0 else spark.read.parquet(f"{path}/by_{first}").drop(f"{first}_bucket")
-        out[column] = N_BUCKETS if column == "p" else min(MOST_BUCKETS, max(1, source.count() // BUCKET_ROWS))
-        _write_copy(source, f"{path}/by_{column}", column, buckets=out[column])
+        source = texts if n == 0 else spark.read.parquet(f"{path}/by_{first}").select(*_TEXTS)
+        # The number of folders needs the number of quads, which for a first copy is not written yet.
+        count = 0 if column == "p" else (source.distinct() if n == 0 else source).count()
+        out[column] = N_BUCKETS if column == "p" else min(MOST_BUCKETS, max(1, count // BUCKET_ROWS))
+        _write_copy(source, f"{path}/by_{column}", column, buckets=out[column], tasks=tasks, distinct=n == 0)
     return out
 
 
@@ -91,14 +107,14 @@ class StoredGraph(QuadSource):
         return next((c for c in ("s", "o", "p") if bound[c] and c in self.orders), next(c for c in ORDERS if c in self.orders))
 
     def quads(self, predicates: Sequence[str] | None = None, s: str | None = None, o: str | None = None) -> DataFrame:
-        from graphloom.operators.updates import merge_changes
+        from graphloom.operators.updates import merge_changes, with_terms
 
         held = {"s": None if s is None else [s], "o": None if o is None else [o], "p": None if predicates is None else list(predicates)}
         column = self.copy_for(predicates, s, o)
         base = self.spark.read.parquet(f"{self.path}/by_{column}")
         if held[column] is not None:
             base = base.where(F.col(f"{column}_bucket").isin([predicate_bucket(x, self.orders[column]) for x in held[column]]))
-        out = _restricted(base, held).select("s", "p", "o", "o_term", "g")
+        out = with_terms(_restricted(base, held)).select("s", "p", "o", "o_term", "g")
         if self.changes is not None:
             out = merge_changes(out, _restricted(self.changes, held))
         return self.then(out) if self.then else out

@@ -14,6 +14,7 @@ from graphloom.operators import predicates as pr
 from graphloom.operators import updates as up
 from graphloom.operators.construct import construct
 from graphloom.plans.bgp import star
+from graphloom.sources import store as store_module
 from graphloom.sources.ntriples import parse_lines
 
 
@@ -119,3 +120,17 @@ def test_tags_types_and_ranges_from_columns(spark):
     same = [data.select(st.str_dt(t, d).alias("d")).collect()[i]["d"] for i, d in enumerate([XSD + "int", XSD + "int", XSD + "float", XSD + "boolean"])]
     assert [r["d"] for r in got] == [*same, None]
     assert [r["m"] for r in got] == [True, False, None, True, False]
+
+
+def test_copies_are_written_in_bounded_tasks(spark, tmp_path, monkeypatch):
+    """A task sorts a bounded share of a copy, however many partitions shuffles have; the copies are a set."""
+    monkeypatch.setattr(store_module, "TASK_BYTES", 1000)
+    quads = spark.range(400).selectExpr("concat('<s', id % 100, '>') s", "'<p>' p", "concat('<o', id % 7, '>') o", "'<g>' g")
+    path = str(tmp_path / "copies")
+    store_module.write_clustered(quads, path)
+    wanted = sorted({(f"<s{n % 100}>", "<p>", f"<o{n % 7}>", "<g>") for n in range(400)})
+    for copy in "pso":
+        stored = spark.read.parquet(f"{path}/by_{copy}")
+        assert rows(stored, "s", "p", "o", "g") == wanted
+        assert len(stored.inputFiles()) > 4
+    assert rows(store_module.StoredGraph(spark, path, {"p": 512}).quads().select("o_term.lex")) == sorted((o[1:-1],) for _, _, o, _ in wanted)
