@@ -71,8 +71,7 @@ class PatternStore:
             # Changes that a base has swallowed meanwhile can no longer be told apart.
             return self._write(subject_patterns(store.graph()), None, number)
         changed = cut_lineage(store._logged([b for b in batches if b[0] > seen]).select("s").dropDuplicates(), "changed")
-        quads = store.current().select("s", "p").join(changed, "s", "left_semi")
-        return self._write(subject_patterns(quads), changed, number)
+        return self._write(subject_patterns(store.graph().about(changed)), changed, number)
 
     def subjects(self) -> DataFrame:
         """(s, pattern_id): what the newest segment that speaks for a subject says."""

@@ -16,6 +16,7 @@ from graphloom.operators.construct import construct
 from graphloom.plans.bgp import star
 from graphloom.sources import store as store_module
 from graphloom.sources.ntriples import parse_lines
+from graphloom.sources.quadstore import QuadStore
 
 
 @pytest.mark.parametrize("as_name", [True, False])
@@ -134,3 +135,10 @@ def test_copies_are_written_in_bounded_tasks(spark, tmp_path, monkeypatch):
         assert rows(stored, "s", "p", "o", "g") == wanted
         assert len(stored.inputFiles()) > 4
     assert rows(store_module.StoredGraph(spark, path, {"p": 512}).quads().select("o_term.lex")) == sorted((o[1:-1],) for _, _, o, _ in wanted)
+
+
+def test_quads_about_subjects(spark, tmp_path):
+    store = QuadStore(spark, str(tmp_path / "q")).create(up.quads_of(spark, [("<a>", "<p>", '"x"'), ("<a>", "<q>", '"y"'), ("<b>", "<p>", '"x"')]))
+    store.update(inserts=up.quads_of(spark, [("<a>", "<r>", '"z"'), ("<c>", "<p>", '"x"')]), deletes=up.quads_of(spark, [("<a>", "<q>", '"y"'), ("<b>", "<p>", '"x"')]))
+    asked = spark.createDataFrame([("<a>",), ("<b>",), ("<a>",), (None,)], "s string")
+    assert rows(store.graph().about(asked)) == [("<a>", "<p>"), ("<a>", "<r>")]
