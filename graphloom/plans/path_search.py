@@ -30,9 +30,10 @@ def path_search(edges: DataFrame, sources: DataFrame | None = None, targets: Dat
     if pairs is not None and (sources is not None or targets is not None):
         raise ValueError("give pairs or sources and targets")
     spark = edges.sparkSession
-    base = _numbered_edges(edges, start, end, edge_properties)
+    # Every round reads the edges, and the pairs are read from both sides: they are computed once.
+    base = cut_lineage(_numbered_edges(edges, start, end, edge_properties), "numbered")
     if pairs is not None:
-        pairs = pairs.toDF("source", "target").dropDuplicates()
+        pairs = cut_lineage(pairs.toDF("source", "target").dropDuplicates(), "pairs")
         wanted_sources = pairs.select(F.col("source").alias("node"))
         wanted_targets = pairs.select(F.col("target").alias("node"))
     else:
@@ -100,9 +101,9 @@ def _longer(frontier: DataFrame, steps: DataFrame, depth: int, max_depth: int |
         F.array_append("edges", F.col("__edge")).alias("edges"), F.col("__left").alias("left"))
 
 
-def _as_hits(paths: DataFrame) -> DataFrame:
+def _as_hits(paths: DataFrame, *more: str) -> DataFrame:
     return paths.select(
-        "source", F.col("last").alias("target"), "edges", F.size("edges").alias("length"),
+        *more, "source", F.col("last").alias("target"), "edges", F.size("edges").alias("length"),
         F.md5(F.array_join(F.transform("edges", lambda e: F.to_json(e)), "|")).alias("path_id"))
 
 
@@ -137,11 +138,15 @@ def _grow_towards(spark, steps: DataFrame, first: DataFrame, pairs, targets, per
     ways = reach(plain, targets=ends).select(F.col("start").alias("last"), F.col("end").alias("target"))
     ways = cut_lineage(ways.unionByName(ends.select(F.col("end").alias("last"), F.col("end").alias("target"))).dropDuplicates(), "ways")
 
-    hits, level, depth = Rounds(spark, "hits"), _paths_of_one(first), 1
+    def open_ways():
+        """(source, last): nodes from which a source's paths may still go on."""
+        return cut_lineage(wanted.join(ways, "target").select("source", "last").dropDuplicates(), "leads")
+
+    hits, level, depth, leads = Rounds(spark, "hits"), _paths_of_one(first), 1, open_ways()
     while True:
-        leads = wanted.join(ways, "target").select("source", "last").dropDuplicates()
         frontier, size = Rounds(spark, "paths").add(level.join(leads, ["source", "last"], "left_semi").select(level.columns))
-        here = _as_hits(frontier).join(wanted, ["source", "target"])
+        ended = frontier.join(wanted.select("source", F.col("target").alias("last"), "lacks"), ["source", "last"])
+        here = _as_hits(ended, "lacks")
         if per_target is not None:
             best = Window.partitionBy("source", "target").orderBy("path_id")
             here = here.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= F.col("lacks")).drop("__r")
@@ -150,8 +155,10 @@ def _grow_towards(spark, steps: DataFrame, first: DataFrame, pairs, targets, per
             got = found.groupBy("source", "target").agg(F.count(F.lit(1)).alias("__got"))
             rest = wanted.join(got, ["source", "target"], "left").withColumn("lacks", F.col("lacks") - F.coalesce("__got", F.lit(0)))
             wanted, lack = Rounds(spark, "wanted").add(rest.where("lacks > 0").drop("__got"))
+            # Pairs were finished: some paths may lead nowhere now.
+            leads = open_ways()
+            frontier = frontier.join(leads, ["source", "last"], "left_semi").select(frontier.columns)
         if not size or not lack or max_depth is not None and depth >= max_depth:
             return hits.all()
-        leads = wanted.join(ways, "target").select("source", "last").dropDuplicates()
-        level = _longer(frontier.join(leads, ["source", "last"], "left_semi").select(frontier.columns), steps, depth, max_depth)
+        level = _longer(frontier, steps, depth, max_depth)
         depth += 1

@@ -14,6 +14,7 @@ from graphloom.operators import predicates as pr
 from graphloom.operators import updates as up
 from graphloom.operators.construct import construct
 from graphloom.plans.bgp import star
+from graphloom.plans.path_search import path_search
 from graphloom.sources import store as store_module
 from graphloom.sources.ntriples import parse_lines
 from graphloom.sources.quadstore import QuadStore
@@ -142,3 +143,17 @@ def test_quads_about_subjects(spark, tmp_path):
     store.update(inserts=up.quads_of(spark, [("<a>", "<r>", '"z"'), ("<c>", "<p>", '"x"')]), deletes=up.quads_of(spark, [("<a>", "<q>", '"y"'), ("<b>", "<p>", '"x"')]))
     asked = spark.createDataFrame([("<a>",), ("<b>",), ("<a>",), (None,)], "s string")
     assert rows(store.graph().about(asked)) == [("<a>", "<p>"), ("<a>", "<r>")]
+
+
+def test_path_search_computes_edges_and_pairs_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(row):
+        seen.add(1)
+        return row
+
+    made = lambda data, ddl: spark.createDataFrame(spark.sparkContext.parallelize(data, 2).map(told), ddl, verifySchema=False)
+    edges, pairs = made([(n, n + 1) for n in range(6)], "start int, end int"), made([(0, 3), (2, 6)], "a int, b int")
+    found = path_search(edges, pairs=pairs)
+    assert rows(found, "source", "target", "edge") == sorted([(0, 3, n) for n in range(3)] + [(2, 6, n) for n in range(4)])
+    assert seen.value == 8
