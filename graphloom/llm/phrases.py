@@ -40,8 +40,8 @@ from graphloom.session import cut_lineage, ship, shared_folder, task_count
 LONGEST, THRESHOLD, HIDE = 3, 10, 50
 #: Rows of a language in the result.
 TOP = 2000
-#: Shards of a cycle; bytes of word numbers counted at a time in a task; slots of the mask tables (2 bytes and 1 byte each).
-SHARDS, CHUNK, SLOTS = 2, 16 << 20, 1 << 24
+#: Shards of a cycle; bytes of text counted at a time in a task; slots of the mask tables (2 bytes and 1 byte each).
+SHARDS, CHUNK, SLOTS = 2, 12 << 20, 1 << 24
 #: Bytes of text for which there is a page of hashes; most pages; slots of the mask tables that travel in one row.
 PAGE, MOST_PAGES, _SLICE = 2 << 20, 1 << 20, 1 << 16
 
@@ -64,27 +64,56 @@ def _mix(a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) & ~np.uint64(15)) | np.uint64(length)
 
 
+def _parts(text: bytes):
+    """A text with line ends for the ends of pieces and blanks between words; a very long one in runs that end between pieces."""
+    text, at = text.lower().translate(_PIECES), 0
+    while len(text) - at > CHUNK:
+        end = text.rfind(b"\n", at, at + CHUNK)
+        end = end if end >= 0 else text.find(b"\n", at + CHUNK)
+        if end < 0:
+            break
+        yield text[at:end]
+        at = end + 1
+    yield text[at:] if at else text
+
+
+def _numbered(parts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """Word numbers of some texts, -1 between pieces, and the words."""
+    text = b"\n".join(parts).replace(b"\n", b" \n ")
+    words = pc.split_pattern(pa.array([text], pa.large_binary()), " ").flatten().dictionary_encode()
+    ids, names = words.indices.to_numpy().astype(np.int64), words.dictionary.to_pylist()
+    # Neither blanks in a row nor the ends of pieces are words.
+    number = np.cumsum([name not in (b"", b"\n") for name in names]) - 1
+    real = [name for name in names if name not in (b"", b"\n")]
+    ends = np.array([name == b"\n" for name in names], bool)
+    ids = ids[np.array([name != b"" for name in names], bool)[ids]]
+    return np.where(ends[ids], -1, number[ids]), real
+
+
 def _chunks(batches):
-    """Word numbers (-1 between pieces) of one language, about CHUNK bytes at a time, and the words: (lang, ids, words)."""
-    held: dict[str, tuple[list, dict, int]] = {}
+    """Word numbers (-1 between pieces) of one language, about CHUNK bytes of text at a time, and the words: (lang, ids, words)."""
+    held: dict[str, tuple[list[bytes], int]] = {}
+
+    def told(lang: str, parts: list[bytes]):
+        ids, words = _numbered(parts)
+        if words:
+            yield lang, ids, words
+
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            ids, number, size = held.pop(lang, ([], {}, 0))
-            for words in pieces_of(text):
-                ids += [number.setdefault(w, len(number)) for w in words]
-                ids.append(-1)
-                size += 8 * len(words)
+            parts, size = held.pop(lang, None) or ([], 0)
+            for part in _parts(text):
+                parts.append(part)
+                size += len(part) + 1
                 if size > CHUNK:
-                    yield lang, np.array(ids, np.int64), list(number)
-                    ids, number, size = [], {}, 0
-            held[lang] = (ids, number, size)
-            if sum(x[2] for x in held.values()) > CHUNK:
-                most = max(held, key=lambda x: held[x][2])
-                ids, number, _ = held.pop(most)
-                yield most, np.array(ids, np.int64), list(number)
-    for lang, (ids, number, _) in held.items():
-        if ids:
-            yield lang, np.array(ids, np.int64), list(number)
+                    yield from told(lang, parts)
+                    parts, size = [], 0
+            held[lang] = (parts, size)
+            if sum(x[1] for x in held.values()) > CHUNK:
+                most = max(held, key=lambda x: held[x][1])
+                yield from told(most, held.pop(most)[0])
+    for lang, (parts, _) in held.items():
+        yield from told(lang, parts)
 
 
 def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:

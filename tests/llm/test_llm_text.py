@@ -234,3 +234,15 @@ def test_query_against_its_sql(spark, tmp_path, name):
     columns = [c[0] for c in cursor.description]
     assert sorted(columns) == sorted(got.columns) and got.count() > 0
     assert sorted(map(tuple, got.select(*columns).collect())) == sorted(cursor.fetchall())
+
+
+def test_words_are_numbered_alike_in_runs_of_a_long_text(monkeypatch):
+    text = "Ab  c\td,e\n\n. F ab \xe9\xff".encode() + b"; x y" * 20
+    rows = pa.RecordBatch.from_pydict({"lang": ["en", "de", "en", "xx"], "text": [text, b"", text, b" .\t"]})
+    want = phrases.pieces_of(text) * 2
+    for size in (1 << 20, 16):
+        monkeypatch.setattr(phrases, "CHUNK", size)
+        found = list(phrases._chunks([rows]))
+        assert {lang for lang, _, _ in found} == {"en"} and (len(found) > 1) == (size == 16)
+        got = [[words[i] for i in piece if i >= 0] for _, ids, words in found for piece in np.split(ids, np.flatnonzero(ids < 0))]
+        assert [piece for piece in got if piece] == want
