@@ -4,8 +4,8 @@ Documents are dealt into SHARDS.  Step i scans shard i mod SHARDS and counts sin
 phrase from the step after both phrases it is made of (all its words but the last, all but the first) have reached the threshold,
 for one full cycle.  So pairs start while words are still being counted, and triples while pairs are.
 
-Counting works on 64-bit hashes (language and words; the lowest bits hold the length).  A hash's page, its highest bits, is
-a row that holds sorted hashes and counts as bytes: few rows are moved, and a page is merged as arrays by one task.  There
+Counting works on hashes of 44 bits (language and words) and, in the lowest bits, the length.  A hash's page, its highest bits, is
+a row that holds sorted hashes (their compressed differences) and counts as bytes: few rows are moved, and a page is merged as arrays by one task.  There
 is a page for every PAGE bytes of text.  The tables of a step and the hashes that reached the threshold are bucketed by
 page, so adding up the last SHARDS tables moves nothing.  These hold every shard once, so the sum of a phrase over them is a
 lower bound of its count, and exact when its cycle ends.
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from graphloom.llm.common import table, utf8
-from graphloom.session import cut_lineage, ship, shared_folder, task_count
+from graphloom.session import cut_lineage, ship, shared_folder, shuffles_dropped, task_count
 
 #: Longest phrase; count that makes a candidate; longer phrases hide what they hold from this percentage of its count on.
 LONGEST, THRESHOLD, HIDE = 3, 10, 50
@@ -43,7 +43,11 @@ TOP = 2000
 #: Shards of a cycle; bytes of text counted at a time in a task; slots of the mask tables (2 bytes and 1 byte each).
 SHARDS, CHUNK, SLOTS = 2, 12 << 20, 1 << 24
 #: Bytes of text for which there is a page of hashes; most pages; slots of the mask tables that travel in one row.
-PAGE, MOST_PAGES, _SLICE = 2 << 20, 1 << 20, 1 << 16
+PAGE, MOST_PAGES, _SLICE = 16 << 20, 1 << 20, 1 << 16
+#: Phrases that a task hands on at once.
+ROWS = 1 << 16
+#: Bits of a hash that are kept besides the length.
+_KEPT = ~np.uint64((1 << 20) - 1)
 
 #: Ends of pieces and blanks as bytes.
 _PIECES = bytes(10 if c in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if c == 9 else c for c in range(256))
@@ -61,7 +65,7 @@ def _mix(a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
     x = a * np.uint64(0x9E3779B97F4A7C15) + b
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return ((x ^ (x >> np.uint64(31))) & ~np.uint64(15)) | np.uint64(length)
+    return ((x ^ (x >> np.uint64(31))) & _KEPT) | np.uint64(length)
 
 
 def _parts(text: bytes):
@@ -81,13 +85,17 @@ def _numbered(parts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     """Word numbers of some texts, -1 between pieces, and the words."""
     text = b"\n".join(parts).replace(b"\n", b" \n ")
     words = pc.split_pattern(pa.array([text], pa.large_binary()), " ").flatten().dictionary_encode()
-    ids, names = words.indices.to_numpy().astype(np.int64), words.dictionary.to_pylist()
+    ids, names = words.indices.to_numpy(), words.dictionary.to_pylist()
     # Neither blanks in a row nor the ends of pieces are words.
-    number = np.cumsum([name not in (b"", b"\n") for name in names]) - 1
+    number = np.cumsum([name not in (b"", b"\n") for name in names], dtype=np.int32) - np.int32(1)
     real = [name for name in names if name not in (b"", b"\n")]
     ends = np.array([name == b"\n" for name in names], bool)
     ids = ids[np.array([name != b"" for name in names], bool)[ids]]
-    return np.where(ends[ids], -1, number[ids]), real
+    ids = np.where(ends[ids], np.int32(-1), number[ids])
+    del words
+    # Else Arrow keeps the memory of the largest chunk so far.
+    pa.default_memory_pool().release_unused()
+    return ids, real
 
 
 def _chunks(batches):
@@ -119,7 +127,7 @@ def _chunks(batches):
 def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     head = lang.encode() + b"\0"
     out = np.array([xxhash.xxh3_64_intdigest(head + w) for w in words] or [0], np.uint64)
-    return (out & ~np.uint64(15)) | np.uint64(1)
+    return (out & _KEPT) | np.uint64(1)
 
 
 def _phrases(ids: np.ndarray, words: np.ndarray, longest: int, due) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -149,18 +157,32 @@ def _phrases(ids: np.ndarray, words: np.ndarray, longest: int, due) -> list[tupl
     return out
 
 
+def _packed(h: np.ndarray) -> bytes:
+    """Sorted hashes as compressed differences: all lowest bytes, then all second ones, and so on."""
+    steps = np.ascontiguousarray(np.diff(h, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+    return len(h).to_bytes(8, "little") + pa.compress(steps, "zstd", asbytes=True) if len(h) else b""
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.uint64)
+    size = int.from_bytes(data[:8], "little")
+    steps = np.frombuffer(pa.decompress(data[8:], 8 * size, "zstd"), np.uint8).reshape(8, size)
+    return np.cumsum(np.ascontiguousarray(steps.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def _paged(h: np.ndarray, f: np.ndarray, pages: int) -> pa.RecordBatch:
     """Sorted hashes and their counts as a row for each page that has any."""
     page = (h >> np.uint64(44)).astype(np.int64) * pages >> 20
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(page)) + 1, [len(h)]]) if len(h) else np.zeros(1, np.int64)
-    rows = [(int(page[x]), h[x:y].tobytes(), f[x:y].astype(np.int64).tobytes()) for x, y in zip(cuts[:-1], cuts[1:])]
+    rows = [(int(page[x]), _packed(h[x:y]), f[x:y].astype(np.int64).tobytes()) for x, y in zip(cuts[:-1], cuts[1:])]
     columns = list(zip(*rows)) or [(), (), ()]
     return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["page", "h", "f"])
 
 
 def _added(hashes: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes in order and their summed counts."""
-    h = np.frombuffer(b"".join(hashes), np.uint64)
+    h = np.concatenate([np.zeros(0, np.uint64), *map(_unpacked, hashes)])
     order = np.argsort(h, kind="stable")
     h, f = h[order], np.frombuffer(b"".join(counts), np.int64)[order]
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
@@ -170,7 +192,7 @@ def _added(hashes: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.nda
 def _merge(group: pa.Table) -> pa.Table:
     """The rows of a page as one."""
     h, f = _added(group.column("h").to_pylist(), group.column("f").to_pylist())
-    return pa.table({"page": group.column("page")[:1], "h": pa.array([h.tobytes()], pa.binary()), "f": pa.array([f.tobytes()], pa.binary())})
+    return pa.table({"page": group.column("page")[:1], "h": pa.array([_packed(h)], pa.binary()), "f": pa.array([f.tobytes()], pa.binary())})
 
 
 def _reach(threshold: int, tables: int):
@@ -182,9 +204,9 @@ def _reach(threshold: int, tables: int):
             for row in batch.to_pylist():
                 held = [i for i in range(tables) if row[f"h{i}"] is not None]
                 h, f = _added([row[f"h{i}"] for i in held], [row[f"f{i}"] for i in held])
-                before = np.frombuffer(row["reached"], np.uint64)
+                before = _unpacked(row["reached"])
                 new = np.setdiff1d(h[f >= threshold], before, assume_unique=True)
-                rows.append((row["page"], np.union1d(before, new).tobytes(), new.tobytes()))
+                rows.append((row["page"], _packed(np.union1d(before, new)), _packed(new)))
             columns = list(zip(*rows)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["page", "reached", "new"])
 
@@ -194,7 +216,7 @@ def _reach(threshold: int, tables: int):
 def _slots(h: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
     """Two slots of a hash, from different bits of it."""
     low = np.uint64(slots - 1)
-    return (h >> np.uint64(4)) & low, ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)) & low
+    return (h >> np.uint64(20)) & low, ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)) & low
 
 
 class _Masks:
@@ -212,7 +234,7 @@ class _Masks:
             bits, shorter = np.zeros((2, slots), bool), False
             for batch in batches:
                 for new in batch.column("new").to_pylist():
-                    h = np.frombuffer(new, np.uint64)
+                    h = _unpacked(new)
                     shorter = shorter or bool(((h & np.uint64(15)) < longest).any())
                     for table, slot in zip(bits, _slots(h, slots)):
                         table[slot] = True
@@ -296,9 +318,12 @@ def _count_words(masks, longest: int):
                 _, first, f = np.unique(key, return_index=True, return_counts=True)
                 parts = [names.take(pa.array(ids[at[first] + j])) for j in range(k)]
                 phrase = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(f), pa.string()), pa.array(np.full(len(f), k, np.int32)), phrase, pa.array(f.astype(np.int64))],
+                rows = pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(lang), len(f)), pa.array(np.full(len(f), k, np.int32)), phrase, pa.array(f.astype(np.int64))],
                     ["lang", "k", "phrase", "f"])
+                # In small batches, for the executor holds each batch beside its heap.
+                for a in range(0, len(f), ROWS):
+                    yield rows.slice(a, ROWS)
 
     return run
 
@@ -320,7 +345,7 @@ def dynamic_counts(texts: DataFrame, longest: int = LONGEST, threshold: int = TH
     ship(spark)
     run, seen = uuid.uuid4().hex, Observation()
     folder = f"{shared_folder(spark)}/phrases-{run}"
-    texts.observe(seen, F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).write.partitionBy("shard").parquet(f"{folder}/texts")
+    texts.observe(seen, F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).write.option("compression", "zstd").partitionBy("shard").parquet(f"{folder}/texts")
     texts = spark.read.schema(texts.schema).parquet(f"{folder}/texts")
     pages = max(1, min(MOST_PAGES, -(-seen.get["bytes"] // PAGE)))
     masks, names = _Masks(spark, slots), []
@@ -412,9 +437,12 @@ def collocations(docs: DataFrame, longest: int = LONGEST, threshold: int = THRES
     text = utf8(F.col("text"))
     shard = F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int")
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text.alias("text"), shard.alias("shard"))
-    counts = dynamic_counts(texts, longest, threshold, shards, slots)
+    # Every step ends in files, so the disk holds the shuffle of one step at a time.
+    with shuffles_dropped(docs.sparkSession):
+        counts = dynamic_counts(texts, longest, threshold, shards, slots)
+        best = ranked(without_hidden(cohesion(counts), percent), top)
     n = counts.where(F.col("k") == 0).select("lang", F.col("f").alias("n"))
-    best = ranked(without_hidden(cohesion(counts), percent), top).join(n, "lang")
+    best = best.join(n, "lang")
     return best.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 

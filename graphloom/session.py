@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -60,6 +61,21 @@ def ship(spark: SparkSession) -> None:
     context._graphloom_shipped = True
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """In this block, the shuffle files of a query go as soon as it has ended, not when the driver next collects its garbage.
+
+    For queries whose rows are written or collected once: running the same DataFrame again would shuffle again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def task_count(spark: SparkSession) -> int:
     """Number of tasks of a shuffle, as the session is set up."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

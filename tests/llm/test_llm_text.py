@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from math import floor, log
@@ -194,6 +195,25 @@ def test_no_phrases(spark):
     assert phrases.collocations(frame(spark, ODD[:2]), shards=2, slots=16).count() == 0
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.split("\n") if re.search(r"/shuffle_\d+_[^/]*\.data$", f)}
+
+
+def test_shuffles_of_finished_steps_leave_the_disk(spark):
+    docs = frame(spark, [(i, f"a b c w{i % 7} d e. f g {i}", "en") for i in range(90)])
+    before, kept = shuffle_files(spark), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    got = phrases.collocations(docs, 3, 6, 50, 25, 2, 1 << 12)
+    # Files are removed in the background.
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == kept
+    assert got.collect() == got.collect() and got.count() > 0
+
+
 def test_a_phrase_is_due_as_the_window_says():
     # Due: both halves reached the threshold, one of them within the last steps.
     hashes = phrases._word_hashes("en", [b"a", b"b"])
@@ -216,6 +236,19 @@ def test_pages_hold_every_hash_once():
         assert (got == h).all() and (f == 2).all()
 
 
+def test_pages_and_batches_are_small(monkeypatch):
+    words = [b"w%d" % n for n in range(20_000)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"], "text": [b" ".join(words)]})
+    sent = type("Sent", (), {"value": (zlib.compress(np.ones(1 << 12, np.uint16).tobytes()), zlib.compress(np.ones(1 << 12, np.uint8).tobytes()))})()
+    page, = phrases._count_step(sent, 1, True, 3, 1)(iter([batch]))
+    assert len(phrases._added(page.column("h").to_pylist(), page.column("f").to_pylist())[0]) == 59_997
+    assert len(page.column("h")[0].as_py()) < 6 * 59_997
+    monkeypatch.setattr(phrases, "ROWS", 7_000, raising=False)
+    counted = list(phrases._count_words(sent, 3)(iter([batch])))
+    assert max(b.num_rows for b in counted) == 7_000 and sum(b.num_rows for b in counted) == 1 + 59_997
+    assert sum(sum(b.column("f").to_pylist()) for b in counted[1:]) == 59_997
+
+
 # --- the queries ------------------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("name", ["op11_phrases", "op12_ranked_search", "op13_line_dedup"])
