@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from graphloom import session
 from graphloom.llm import language_model, quality, toxicity
 from graphloom.llm.common import fold
 
@@ -182,3 +183,75 @@ def test_gates_against_brute_force():
     total = language_model.gate_counts(x, p)
     assert total.sum() == pytest.approx(1000) and total[1, 2:].sum() == 0
     assert total[1, 1] == pytest.approx((p[:, 1] > 0).sum(), rel=0.1)
+
+
+def random_texts(n, seed=7):
+    draw = random.Random(seed)
+    texts = [" ".join(f"w{int(draw.paretovariate(0.7)) % 900}" for _ in range(draw.randrange(90))) for _ in range(n)]
+    return [(i, text, "en", "s", None, None) for i, text in enumerate([None, "", "w1", "w1 w1", *texts])]
+
+
+def numbered_blocks(spark, docs, pages):
+    rows = spark.createDataFrame(docs, DOCS).select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), (F.col("doc_id") % 5 != 1).alias("train"))
+    read = language_model.read_blocks(rows, 4).cache()
+    words, _ = language_model.numbered(language_model.cut_lineage(language_model.word_counts(read, 3)))
+    return read, language_model.number_words(read, words, sum(d[0] % 5 != 1 for d in docs), pages)
+
+
+@pytest.mark.parametrize("salted", [0.0, 0.02])
+def test_history_counts_against_brute_force(spark, salted):
+    docs, pages = random_texts(120), 5
+    _, blocks = numbered_blocks(spark, docs, pages)
+    told = [language_model.history_counts(blocks, kind, pages, salted) for kind in range(len(language_model.KINDS))]
+    spread = [x for kind in told for x in [language_model.spread_histories(kind)]]
+    spread = [spread[kind][kind] for kind in range(len(told))]
+    assert all(len(x[0]) > 0 for x in spread) == (salted > 0)
+    answers = [r.asDict() for kind in told for r in kind.where("block is not null").collect()]
+    words = {d[0]: (d[1] or "").encode().split() + [None] for d in docs}
+    for kind, places in enumerate(language_model.KINDS):
+        count, following = Counter(), {}
+        for i, own in words.items():
+            for k, w in enumerate(own):
+                history = tuple(own[k - back] if k >= back else None for back in places)
+                if i % 5 != 1:
+                    count[history, w] += 1
+                    count[history] += 1
+                    following.setdefault(history, set()).add(w)
+        for row in (r.asDict() for r in blocks.collect()):
+            tokens, among = language_model.unpack(row["tokens"]), language_model.unpack(row["words"])
+            met = language_model.met_histories(tokens, among, [x for x in answers if x["block"] == row["block"]], spread, pages, salted)[kind]
+            own = [(tuple(words[i][k - back] if k >= back else None for back in places), words[i][k]) for i in row["doc_id"] for k in range(len(words[i]))]
+            assert list(met["often"][met["before"]]) == [count[h] for h, _ in own]
+            assert list(met["various"][met["before"]]) == [len(following.get(h, ())) for h, _ in own]
+            assert list(met["both"][met["at"]]) == [count[pair] for pair in own]
+
+
+def test_words_are_numbered_by_frequency(spark):
+    docs = random_texts(60)
+    read, _ = numbered_blocks(spark, docs, 3)
+    words, _ = language_model.numbered(language_model.cut_lineage(language_model.word_counts(read, 3)))
+    got = [(r["number"], r["c"]) for r in words.orderBy("number").collect()]
+    count = Counter(w for d in docs if d[0] % 5 != 1 for w in (d[1] or "").split())
+    assert [n for n, _ in got] == list(range(language_model.SHAPES, language_model.SHAPES + len(count)))
+    assert [c for _, c in got] == sorted(count.values(), reverse=True)
+
+
+def test_packed_columns_come_back():
+    draw = np.random.default_rng(4)
+    columns = [np.sort(draw.integers(0, 1 << 63, 100).astype("<u8")), np.zeros(0, "<u4"), draw.integers(0, 255, 7).astype("u1"), np.array([1 << 31], "<u4")]
+    got = language_model.unpack(language_model.pack(language_model.gaps(columns[0]), *columns[1:]))
+    assert [list(x) for x in [np.cumsum(got[0], dtype=np.uint64), *got[1:]]] == [list(x) for x in columns]
+    assert [len(x) for x in language_model.unpack(language_model.pack(np.zeros(0, "<u8")))] == [0]
+    for top in (50, 1 << 62):
+        x = draw.integers(0, top, 1000)
+        assert all((a == b).all() for a, b in zip(language_model.distinct(x), np.unique(x, return_inverse=True)))
+
+
+def test_language_scores_leave_little_on_disk(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(language_model, "STEPS", 2)
+    docs = random_texts(1500)
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    got = language_rows(spark, docs, F.col("doc_id") % 5 != 1)
+    tokens = sum(r["n_tokens"] for r in got.values())
+    # What stays while the scores are read: numbers of words and counts of histories, not a row for each key or token.
+    assert sum(x.stat().st_size for x in tmp_path.rglob("*.parquet")) < 8 * tokens
