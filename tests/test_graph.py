@@ -15,7 +15,7 @@ from graphloom.plans import property_paths as pp
 from graphloom.plans.bgp import bgp, join_order, star
 from graphloom.plans.describe import describe
 from graphloom.plans.path_search import path_search
-from graphloom.plans.skew import lookup_join
+from graphloom.plans.skew import lookup_join, packed_join
 from graphloom.plans.transitive import reach
 
 
@@ -232,3 +232,45 @@ def test_sequence_through_one_hub_uses_many_tasks(spark):
     assert got.columns == ["start", "end"]
     tasks = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("t")).count().collect()]
     assert sum(tasks) == 9_000_000 and max(tasks) < 7_000_000
+
+
+def _copies(df):
+    """Rows that all shuffles of an executed plan wrote, by its final plan."""
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = node.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+        children = node.children()
+        return own + sum(walk(children.apply(n)) for n in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_sequence_moves_few_copies_of_its_edges(spark):
+    """One hub with many more edges on one side: the edges that are shuffled stay few beside the product."""
+    def point_to(p, n):
+        return spark.range(n).select(F.concat(F.lit(f"<{p}"), "id", F.lit(">")).alias("s"), F.lit(f"<{p}>").alias("p"), F.lit("<hub>").alias("o"))
+
+    quads = up.with_terms(point_to("a", 9000).union(point_to("b", 90000)).withColumn("g", F.lit("")))
+    for ends, left, right in (("ab", 9000, 90000), ("ba", 90000, 9000)):
+        got = pp.edges(quads, pp.sequence(f"<{ends[0]}>", ~pp.Step(f"<{ends[1]}>"))).agg(F.count("end").alias("n"))
+        assert got.collect()[0]["n"] == left * right
+        assert _copies(got) < left * right / 700
+
+
+def test_packed_join_keeps_every_pair(spark):
+    """Parts, arrays and copies: equal rows, unbound values, keys on one side only and sides without further columns."""
+    a = [(k, i % 7 or None) for k, n in ((1, 40), (2, 1), (3, 25), (4, 3), (None, 5)) for i in range(n)]
+    b = [(k, i % 5 or None) for k, n in ((1, 30), (2, 33), (3, 1), (5, 3), (None, 5)) for i in range(n)]
+    left, right = spark.createDataFrame(a, "x int, l int"), spark.createDataFrame(b, "x bigint, r int")
+    want = sorted(((k, l, r) for k, l in a for m, r in b if k is not None and k == m), key=repr)
+    for chunk in (1, 3, 10, 1000):
+        got = packed_join(left, right, ["x"], chunk)
+        assert got.columns == ["x", "l", "r"] and rows(got) == want
+    keys = packed_join(left, right.select("x"), ["x"], 3)
+    assert keys.columns == ["x", "l"] and rows(keys) == sorted(((k, l) for k, l, _ in want), key=repr)
+    assert rows(packed_join(left.withColumn("y", F.col("l")), right.withColumn("y", F.col("r")), ["x", "y"], 2)) == sorted(
+        ((k, l, l, r) for k, l, r in want if l is not None and l == r), key=repr)
