@@ -398,8 +398,9 @@ def enrich_geometry(df: DataFrame, wkt: str, info: str = "geo_info") -> DataFram
         return pd.DataFrame({n: pd.Series([m.get(n) for m in found], dtype=object) for n in names})
 
     ship(df.sparkSession)
-    # Measuring costs far more than a shuffle, and a scan of a small table has few tasks.
-    df = df.repartition(task_count(df.sparkSession))
+    # Measuring costs far more than a shuffle, and a scan of a small table has few tasks.  Ranges of places keep the rows' order.
+    placed = df.withColumn("__place", F.monotonically_increasing_id())
+    df = placed.repartitionByRange(task_count(df.sparkSession), "__place").sortWithinPartitions("__place").drop("__place")
     m = F.col("__m")
     built = F.when(m["kind"].isNotNull(), F.struct(
         m["kind"].alias("kind"), m["n_parts"].alias("n_parts"),
